@@ -127,9 +127,22 @@ def color_hex(rgba: Column) -> Column:
     return F.format_string("#%02x%02x%02x", *(F.get(rgba, F.lit(i)) for i in range(3)))
 
 
+def _fixed(value: Column, digits: int) -> Column:
+    """Decimal with ``digits`` places, rounded on the exact binary value with ties to even.
+
+    The nearest 1024th below is taken off first, without loss. What is left is small enough that
+    its digits tell a true tie such as 1.25 from 1.95, whose binary value lies below it.
+    """
+    number = value.cast("double")
+    steps = F.floor(number * 1024)
+    rest = (number - steps / 1024.0).cast("decimal(38,25)")
+    exact = (steps.cast("decimal(20,0)") / F.lit(1024).cast("decimal(4,0)")).cast("decimal(38,20)")
+    return F.bround((exact + rest).cast("decimal(38,20)"), digits).cast(f"decimal(30,{digits})")
+
+
 def format_age(seconds: Column) -> Column:
-    short = F.format_string("%.0f seconds", F.bround(seconds.cast("double"), 0))
-    long = F.format_string("%.1f minutes", F.bround(seconds / 60, 1))
+    short = F.concat(_fixed(seconds, 0).cast("string"), F.lit(" seconds"))
+    long = F.concat(_fixed(seconds / 60, 1).cast("string"), F.lit(" minutes"))
     return F.when(seconds.isNull(), F.lit(UNKNOWN)).when(seconds < 60, short).otherwise(long)
 
 
@@ -138,24 +151,19 @@ def format_count(value: Column, missing: str = "Unavailable") -> Column:
 
 
 def format_decimal(value: Column, suffix: str = "", missing: str = "Unavailable") -> Column:
-    text = F.format_string(f"%,.2f{suffix.replace('%', '%%')}", value.cast("double"))
-    return F.when(value.isNull(), F.lit(missing)).otherwise(text)
+    text = F.concat(F.format_number(_fixed(value, 2), 2), F.lit(suffix))
+    return F.coalesce(text, F.lit(missing))
 
 
 def format_seconds(value: Column) -> Column:
-    text = F.format_string("%.3fs", value.cast("double"))
-    return F.when(value.isNull(), F.lit("n/a")).otherwise(text)
+    return F.coalesce(F.concat(_fixed(value, 3).cast("string"), F.lit("s")), F.lit("n/a"))
 
 
 def format_bytes(size: Column) -> Column:
     """Size with one decimal in the largest binary unit that keeps it at 1 or more."""
     value = size.cast("double")
-    last = len(BYTE_UNITS) - 1
-    chain = None
+    chain = F
     for power, unit in enumerate(BYTE_UNITS):
-        text = F.format_string(f"%.1f {unit}", value / float(1024**power))
-        below = value < float(1024 ** (power + 1))
-        if power == last:
-            return chain.otherwise(F.when(size.isNotNull(), text))
-        chain = F.when(below, text) if chain is None else chain.when(below, text)
-    return chain
+        text = F.concat(_fixed(value / float(1024**power), 1).cast("string"), F.lit(f" {unit}"))
+        chain = chain.when(value < float(1024 ** (power + 1)), text)
+    return chain.otherwise(text)

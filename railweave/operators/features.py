@@ -141,6 +141,31 @@ def historical_delay(
     return scanned.select("row_id", F.try_divide("delay_sum", "delay_count").alias(name))
 
 
+def _target_keys(same_service_day: bool) -> list[str]:
+    return ["vehicle_id", "trip_id", *(["start_date"] if same_service_day else []), "sequence"]
+
+
+def _questions_and_answers(current: DataFrame, stops_ahead: int, same_service_day: bool) -> DataFrame:
+    """Every observation twice, newest first: as a question and as an answer."""
+    keys = _target_keys(same_service_day)
+    base = _clock(current).withColumn("back", -F.col("at"))
+    here = F.col("current_stop_sequence").cast("long")
+    answer = F.struct(
+        F.col("observation_id").alias("target_observation_id"),
+        F.col("event_timestamp").alias("target_event_timestamp"),
+        F.col("current_delay_sec").alias("target_delay_4_stops_sec"),
+    )
+    questions = base.withColumn("sequence", here + stops_ahead).select(
+        "row_id", "observation_id", *keys, "back", F.col("row_id").alias("place"),
+        F.lit(0).cast("long").alias("is_answer"),
+    )
+    answers = base.withColumn("sequence", here).select(
+        *keys, "back", (F.lit(LAST_TIEBREAK) - F.col("observation_id")).alias("place"),
+        F.lit(1).cast("long").alias("is_answer"), answer.alias("answer"),
+    )
+    return questions.unionByName(answers, allowMissingColumns=True)
+
+
 def first_future_target(
     current: DataFrame, stops_ahead: int = STOPS_AHEAD, same_service_day: bool = False,
     hot_rows: int = HOT_ROWS, row_count: int | None = None,
@@ -153,23 +178,9 @@ def first_future_target(
     the polls per stop. Only strictly later answers count: at one instant questions are placed
     before answers, and answers by descending id.
     """
-    keys = ["vehicle_id", "trip_id", *(["start_date"] if same_service_day else []), "sequence"]
-    base = _clock(current).withColumn("back", -F.col("at"))
-    answer = F.struct(
-        F.col("observation_id").alias("target_observation_id"),
-        F.col("event_timestamp").alias("target_event_timestamp"),
-        F.col("current_delay_sec").alias("target_delay_4_stops_sec"),
-    )
-    questions = base.withColumn(
-        "sequence", F.col("current_stop_sequence").cast("long") + stops_ahead
-    ).select("row_id", *keys, "back", F.col("row_id").alias("place"))
-    answers = base.withColumn("sequence", F.col("current_stop_sequence").cast("long")).select(
-        *keys, "back", (F.lit(LAST_TIEBREAK) - F.col("observation_id")).alias("place"),
-        answer.alias("answer"),
-    )
     scanned = exclusive_scan(
-        questions.unionByName(answers, allowMissingColumns=True), keys, "back",
-        [Measure("target", "last", "answer")],
+        _questions_and_answers(current, stops_ahead, same_service_day),
+        _target_keys(same_service_day), "back", [Measure("target", "last", "answer")],
         tiebreak="place", slice_width=30 * DAY_MICROS,
         hot_rows=hot_rows, row_count=None if row_count is None else 2 * row_count,
     )
@@ -178,6 +189,23 @@ def first_future_target(
     ).select("row_id", "target.*")
 
 
+def future_candidate_counts(
+    current: DataFrame, stops_ahead: int = STOPS_AHEAD, same_service_day: bool = False,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """How many later observations could serve as label, per observation that has any."""
+    scanned = exclusive_scan(
+        _questions_and_answers(current, stops_ahead, same_service_day),
+        _target_keys(same_service_day), "back", [Measure("candidates", "sum", "is_answer")],
+        tiebreak="place", slice_width=30 * DAY_MICROS, hot_rows=hot_rows,
+    )
+    return (
+        scanned.filter(F.col("row_id").isNotNull() & (F.col("candidates") > 0))
+        .groupBy("observation_id")
+        .agg(F.sum("candidates").alias("candidates"))
+    )
+
+
 def current_features(staged_positions: DataFrame, staged_stop_times: DataFrame) -> DataFrame:
     """Schedule-matched observations as a written table with a stable ``row_id``.
 

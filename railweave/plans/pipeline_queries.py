@@ -1,0 +1,438 @@
+"""Queries that run the ingestion path, its sinks and its streams over the bundled tables."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from railweave.functions.event_json import (
+    dead_letters,
+    decode_events,
+    to_event_envelope,
+    valid_records,
+)
+from railweave.functions.identity import build_event_id
+from railweave.plans.registry import query
+from railweave.plans.serving_queries import now_of
+from railweave.schemas import DEAD_LETTER_SCHEMA, METRIC_SCHEMA, POSITION_SCHEMA
+from railweave.session import materialize, shared_dir
+from railweave.sinks.archive import archive_jsonl, retention_run, store_dated
+from railweave.sinks.inserts import insert_new
+from railweave.sinks.ledger import read_ledger, record_ingestion
+from railweave.sinks.published import load_history, read_published
+from railweave.sinks.static_snapshot import activate_snapshot, load_manifest
+from railweave.sources.events import read_archived_rows, read_event_files
+from railweave.sources.realtime_feed import flatten_feed
+from railweave.sources.shaped import Tables
+from railweave.sources.static_feed import read_feed, validate_feed
+from railweave.streaming.ingest import (
+    StreamTables,
+    stream_dedupe,
+    stream_minute_rates,
+    stream_to_tables,
+)
+
+
+def _folder(t: Tables, label: str) -> str:
+    """A new folder in the cluster's shared one."""
+    return f"{shared_dir(t.spark)}/railweave/{label}-{uuid.uuid4().hex}"
+
+
+# Decoding
+
+
+query(
+    "decode_validate",
+    'select key, "partition", "offset", error_type, error_reason from v_decoded',
+)(
+    lambda t: decode_events(t.messages).select(
+        "key", "partition", "offset", "error_type", "error_reason"
+    )
+)
+query(
+    "valid_records",
+    """select 'evt-' || p.id event_id, p.* exclude (id, event_id, bearing), p.bearing
+    from v_positions p join v_decoded d on d.key = 'evt-' || p.id where error_type is null""",
+)(lambda t: valid_records(decode_events(t.messages)).drop("topic", "partition", "offset"))
+query(
+    "route_dead_letters",
+    """select case when json_valid(txt) and json_type(txt, '$.event_id') = 'VARCHAR'
+            then json_extract_string(txt, '$.event_id') end original_event_id,
+        topic, "partition", "offset" kafka_offset, error_type, error_reason,
+        case when json_valid(txt) and json_type(txt, '$.vehicle_id') = 'VARCHAR'
+            then nullif(json_extract_string(txt, '$.vehicle_id'), '') end vehicle_id,
+        case when json_valid(txt) and json_type(txt, '$.trip_id') = 'VARCHAR'
+            then nullif(json_extract_string(txt, '$.trip_id'), '') end trip_id,
+        coalesce(octet_length(value), 0) = 0 empty_payload
+    from v_decoded where error_type is not null""",
+)(
+    lambda t: dead_letters(decode_events(t.messages), F.current_timestamp())
+    .withColumn("empty_payload", F.octet_length("raw_payload") == 0)
+    .drop("processed_at", "raw_payload")
+)
+
+
+@query(
+    "write_event_json",
+    "select * exclude (id) from v_positions where event_id is not null"
+    " and coalesce(vehicle_id, '') <> ''",
+)
+def write_event_json(t: Tables) -> DataFrame:
+    """Positions written as event JSON and decoded again; rows without an id are rejected."""
+    envelope = to_event_envelope(t.positions)
+    messages = envelope.select(
+        "key", F.col("value").cast("binary").alias("value"), F.lit("t").alias("topic"),
+        F.lit(0).alias("partition"), F.lit(0).cast("long").alias("offset"),
+    )
+    return valid_records(decode_events(messages)).drop("topic", "partition", "offset")
+
+
+@query(
+    "event_ids",
+    """select id, sha256('{"entity_id": "' || entity_id || '", "feed_timestamp": '
+        || coalesce('"' || strftime(feed_timestamp, '%Y-%m-%dT%H:%M:%S')
+            || case when epoch_us(feed_timestamp) % 1000000 <> 0
+                then strftime(feed_timestamp, '.%f') else '' end || '+00:00"', 'null')
+        || ', "source": "events", "vehicle_id": ' || coalesce('"' || vehicle_id || '"', 'null') || '}')
+        event_hash
+    from v_positions""",
+)
+def event_ids(t: Tables) -> DataFrame:
+    key = build_event_id(*map(F.col, ("source", "entity_id", "vehicle_id", "feed_timestamp")))
+    return t.positions.select("id", key.alias("event_hash"))
+
+
+FEED_SQL = """
+select ingested_at, feed_timestamp, vehicle_timestamp, entity_id, vehicle_id, vehicle_label, trip_id,
+    route_id, direction_id, start_time, start_date, stop_id, current_stop_sequence, current_status,
+    latitude, longitude, bearing, speed, occupancy_status, source
+from (
+    select max(ts) over (partition by event_id // 100) + interval 2 seconds ingested_at,
+        case when (event_id // 100) % 9 <> 0
+            then date_trunc('second', max(ts) over (partition by event_id // 100)) end feed_timestamp,
+        case when event_id % 11 <> 0 then date_trunc('second', ts) end vehicle_timestamp,
+        'entity-' || event_id entity_id,
+        case when event_id % 23 <> 0 and event_id % 29 <> 0 then cast(user_id as varchar) end vehicle_id,
+        case when event_id % 23 <> 0 then 'Bus ' || user_id end vehicle_label,
+        case when event_id % 31 <> 0 then cast(user_id as varchar) end trip_id,
+        case when event_id % 31 <> 0 and event_id % 37 <> 0 then cast(user_id % 25 as varchar) end route_id,
+        case when event_id % 31 <> 0 then event_id % 2 end direction_id,
+        null::varchar start_time,
+        case when event_id % 31 <> 0 then strftime(ts, '%Y%m%d') end start_date,
+        case when event_id % 13 <> 0 then cast(event_id % 1000 as varchar) end stop_id,
+        cast(json_extract_string(props, '$.k') as integer) % 10 + 1 current_stop_sequence,
+        case event_type when 'purchase' then 'INCOMING_AT' when 'view' then 'STOPPED_AT'
+            when 'click' then 'IN_TRANSIT_TO' end current_status,
+        case when event_id % 50 <> 0 then round(value / 4e0 - 10e0, 6) end latitude,
+        case when event_id % 50 <> 0 then round(-71e0 - value / 10e0, 6) end longitude,
+        case when event_id % 50 <> 0 then cast(event_id % 360 as double) end bearing,
+        case when event_id % 50 <> 0 and event_id % 3 <> 0 then value end speed,
+        ['EMPTY', 'MANY_SEATS_AVAILABLE', 'FEW_SEATS_AVAILABLE', 'STANDING_ROOM_ONLY',
+            'CRUSHED_STANDING_ROOM_ONLY', 'FULL', 'NOT_ACCEPTING_PASSENGERS', 'NO_DATA_AVAILABLE',
+            'NOT_BOARDABLE'][event_id % 11 + 1] occupancy_status,
+        'events' source, event_id
+    from events)
+where event_id % 17 <> 0
+"""
+
+
+query("flatten_feed", FEED_SQL)(lambda t: flatten_feed(t.feeds, "events").drop("event_id"))
+
+
+@query(
+    "direct_ingest",
+    f"""select count(*) inserted_rows, count(*) ledger_rows from (
+        select distinct source, entity_id, vehicle_id, feed_timestamp from ({FEED_SQL}))""",
+)
+def direct_ingest(t: Tables) -> DataFrame:
+    """Feed to table without a topic: flatten, insert what is new, and record it."""
+    events = flatten_feed(t.feeds, "events")
+    stored = materialize(insert_new(None, events, ["event_id"], ["ingested_at"]), "positions")
+    again = insert_new(stored, events, ["event_id"], ["ingested_at"])
+    ledger = _folder(t, "ledger")
+    record_ingestion(
+        t.spark, ledger, source="events", file_name="feed.pb", checksum="", raw_path="events",
+        record_count=stored.count() + again.count(), at=now_of(t),
+    )
+    return read_ledger(t.spark, ledger).select(
+        F.lit(stored.count()).alias("inserted_rows"), F.col("record_count").alias("ledger_rows")
+    )
+
+
+# Inserts
+
+
+@query(
+    "idempotent_insert",
+    """select id, event_id from (
+        select *, row_number() over (partition by event_id order by id) place from v_positions)
+    where event_id is null or (place = 1 and event_id not in (
+        select event_id from v_positions where event_id is not null and current_status = 'STOPPED_AT'))""",
+)
+def idempotent_insert(t: Tables) -> DataFrame:
+    """All observations against a table that already holds the stopped ones."""
+    target = t.positions.filter("current_status = 'STOPPED_AT'")
+    return insert_new(target, t.positions, ["event_id"], ["id"]).select("id", "event_id")
+
+
+@query(
+    "idempotent_insert_broadcast",
+    """select id, event_id from (
+        select *, row_number() over (partition by event_id order by id) place
+        from v_positions where current_status = 'STOPPED_AT')
+    where event_id is null or (place = 1 and event_id not in (
+        select event_id from v_positions where event_id is not null
+            and coalesce(current_status, '') <> 'STOPPED_AT'))""",
+)
+def idempotent_insert_broadcast(t: Tables) -> DataFrame:
+    """A smaller batch, whose keys are sent to the table when their number allows it."""
+    batch = t.positions.filter("current_status = 'STOPPED_AT'")
+    target = t.positions.filter("coalesce(current_status, '') <> 'STOPPED_AT'")
+    return insert_new(
+        target, batch, ["event_id"], ["id"], batch_rows=batch.count()
+    ).select("id", "event_id")
+
+
+@query(
+    "dead_letter_sink",
+    """select dead_letter_id, "partition", kafka_offset from v_dead_letters
+    where error_type <> 'ValueError'""",
+)
+def dead_letter_sink(t: Tables) -> DataFrame:
+    """Every letter delivered twice, to a table that already holds the rejected events."""
+    letters = t.dead_letters
+    return insert_new(
+        letters.filter("error_type = 'ValueError'"), letters.unionByName(letters),
+        ["topic", "partition", "kafka_offset"], ["dead_letter_id"],
+    ).select("dead_letter_id", "partition", "kafka_offset")
+
+
+@query(
+    "dead_letter_replay",
+    "select count(*) batch_size, 0 inserted, count(*) duplicates from v_dead_letters",
+)
+def dead_letter_replay(t: Tables) -> DataFrame:
+    letters = t.dead_letters
+    fresh = insert_new(
+        letters, letters, ["topic", "partition", "kafka_offset"], ["dead_letter_id"]
+    ).agg(F.count("*"))
+    return letters.agg(F.count("*").alias("batch_size")).select(
+        "batch_size", fresh.scalar().alias("inserted")
+    ).withColumn("duplicates", F.greatest(F.col("batch_size") - F.col("inserted"), F.lit(0)))
+
+
+# Streams
+
+
+def _message_files(t: Tables, copies: int) -> str:
+    """Messages as files, the whole set ``copies`` times over, as after a replayed topic."""
+    path = _folder(t, "topic")
+    for _ in range(copies):
+        t.messages.repartition(3, "partition").write.mode("append").parquet(path)
+    return path
+
+
+def _run(t: Tables, copies: int = 2) -> StreamTables:
+    root = _folder(t, "stream")
+    messages = read_event_files(t.spark, _message_files(t, copies), files_per_batch=2)
+    stream_to_tables(
+        messages, root, _folder(t, "checkpoint"), available_now=True
+    ).awaitTermination()
+    return StreamTables(root)
+
+
+@query(
+    "stream_to_table",
+    """select d.key event_id, p.vehicle_id, p.trip_id, p.ingested_at, p.feed_timestamp, p.latitude, p.speed
+    from v_decoded d join v_positions p on d.key = 'evt-' || p.id where error_type is null""",
+)
+def stream_to_table(t: Tables) -> DataFrame:
+    """The stored table after the stream has seen every message twice."""
+    return _run(t).read(t.spark, "positions", POSITION_SCHEMA).select(
+        "event_id", "vehicle_id", "trip_id", "ingested_at", "feed_timestamp", "latitude", "speed"
+    )
+
+
+@query(
+    "pipeline",
+    """select 2 * count(*) events_received, count(*) filter (where error_type is null) events_persisted,
+        count(*) filter (where error_type is not null) dead_letter_events,
+        count(*) duplicate_events, 2 * count(*) filter (where error_type is not null) error_count,
+        count(*) filter (where error_type is null) position_rows,
+        count(*) filter (where error_type is null) position_ids,
+        count(*) filter (where error_type is not null) letter_rows
+    from v_decoded""",
+)
+def pipeline(t: Tables) -> DataFrame:
+    """What the metric rows add up to, next to what the tables hold, after a full replay."""
+    tables = _run(t)
+    letters = tables.read(t.spark, "dead_letters", DEAD_LETTER_SCHEMA)
+    stored = tables.read(t.spark, "positions", POSITION_SCHEMA)
+    totals = tables.read(t.spark, "metrics", METRIC_SCHEMA).agg(
+        *(F.sum(c).alias(c) for c in (
+            "events_received", "events_persisted", "dead_letter_events", "duplicate_events",
+            "error_count"))
+    )
+    return totals.withColumns({
+        "position_rows": stored.agg(F.count("*")).scalar(),
+        "position_ids": stored.agg(F.countDistinct("id")).scalar(),
+        "letter_rows": letters.agg(F.count("*")).scalar(),
+    })
+
+
+def _drain(t: Tables, stream: DataFrame, label: str) -> DataFrame:
+    """Run a stream over what is there into a Parquet table and read that."""
+    out = _folder(t, label)
+    stream.writeStream.format("parquet").option("path", out).option(
+        "checkpointLocation", _folder(t, "checkpoint")
+    ).trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.schema(stream.schema).parquet(out)
+
+
+def _event_stream(t: Tables, copies: int) -> DataFrame:
+    messages = read_event_files(t.spark, _message_files(t, copies))
+    return valid_records(decode_events(messages))
+
+
+query("stream_dedupe", "select key event_id from v_decoded where error_type is null")(
+    lambda t: _drain(
+        t, stream_dedupe(_event_stream(t, 2).select("event_id", "ingested_at"), "40 days"), "dedupe"
+    ).select("event_id")
+)
+query(
+    "stream_minute_rates",
+    """with seen as (select ingested_at from v_decoded where error_type is null)
+    select date_trunc('minute', ingested_at) as minute, count(*) events from seen
+    group by 1 having date_trunc('minute', min(ingested_at)) + interval 1 minute
+        <= (select max(ingested_at) from seen) - interval 10 minutes""",
+)(
+    lambda t: _drain(t, stream_minute_rates(_event_stream(t, 1), "10 minutes"), "minutes").select(
+        "minute", "events"
+    )
+)
+
+
+# Schedule feeds
+
+
+def _feed_tables(t: Tables) -> dict[str, DataFrame]:
+    agency = t.routes.select(
+        "agency_id", F.concat(F.lit("Agency \"A\", "), "agency_id").alias("agency_name")
+    ).distinct()
+    dates = t.positions.select(
+        F.lit("P").alias("service_id"), F.col("start_date").alias("date"),
+        F.lit("1").alias("exception_type"),
+    ).distinct()
+    return {
+        "agency": agency, "routes": t.routes, "stops": t.stops, "trips": t.trips,
+        "stop_times": t.stop_times, "calendar_dates": dates,
+    }
+
+
+def _extracted_feed(t: Tables) -> str:
+    """The feed as CSV, one folder of part files per table."""
+    folder = _folder(t, "feed")
+    for name, table in _feed_tables(t).items():
+        table.write.option("header", "true").option("escape", '"').csv(f"{folder}/{name}.txt")
+    return folder
+
+
+@query("scan_static_table", "select * from v_stop_times")
+def scan_static_table(t: Tables) -> DataFrame:
+    return read_feed(t.spark, _extracted_feed(t))["stop_times"]
+
+
+@query(
+    "feed_completeness",
+    """select unnest(['agency', 'routes', 'stops', 'trips', 'stop_times', 'calendar', 'agency',
+            'routes', 'stops', 'trips', 'stop_times']) table_name,
+        unnest(['present', 'present', 'present', 'present', 'present', 'calendar_or_dates_present',
+            'not_empty', 'not_empty', 'not_empty', 'not_empty', 'not_empty']) check_name, true ok""",
+)
+def feed_completeness(t: Tables) -> DataFrame:
+    return validate_feed(read_feed(t.spark, _extracted_feed(t)))
+
+
+@query(
+    "activate_static_snapshot",
+    "select * exclude (shape_id), null::varchar shape_id from v_trips",
+)
+def activate_static_snapshot(t: Tables) -> DataFrame:
+    """Two activations; the second feed lost a column, which stays as NULL."""
+    root = _folder(t, "static")
+    feed = read_feed(t.spark, _extracted_feed(t))
+    activate_snapshot(t.spark, feed, root, "first", "archive/first")
+    activate_snapshot(
+        t.spark, {**feed, "trips": feed["trips"].drop("shape_id")}, root, "second", "archive/second"
+    )
+    return read_published(t.spark, root, "trips")
+
+
+@query(
+    "load_history",
+    """select 1 load_id, 'first' checksum_sha256, (select count(*) from v_routes) routes,
+        (select count(*) from v_stop_times) stop_times""",
+)
+def load_history_of(t: Tables) -> DataFrame:
+    root = _folder(t, "static")
+    activate_snapshot(t.spark, _feed_tables(t), root, "first", "archive/first")
+    return load_history(t.spark, root).select(
+        "load_id", "checksum_sha256",
+        F.col("row_counts")["routes"].alias("routes"),
+        F.col("row_counts")["stop_times"].alias("stop_times"),
+    )
+
+
+@query(
+    "load_manifest",
+    """select 'c' checksum_sha256, 'archive/c.zip' archive_path, (select count(*) from v_routes) routes,
+        (select count(*) from v_stops) stops, (select count(*) from v_trips) trips,
+        (select count(*) from v_stop_times) stop_times""",
+)
+def manifest(t: Tables) -> DataFrame:
+    names = ("routes", "stops", "trips", "stop_times")
+    tables = {name: getattr(t, name) for name in names}
+    return load_manifest(tables, "c", "archive/c.zip").select(
+        "checksum_sha256", "archive_path", *(F.col("row_counts")[n].alias(n) for n in names)
+    )
+
+
+# Archive and retention
+
+
+@query("archive_jsonl", "select * from v_positions")
+def archive_round_trip(t: Tables) -> DataFrame:
+    path, _, _ = archive_jsonl(t.positions, _folder(t, "archive"))
+    return read_archived_rows(t.spark, path, t.positions.schema)
+
+
+@query(
+    "retention_job",
+    """select 'positions' table_name, id, ingested_at as "at" from v_positions, v_now
+        where ingested_at >= now_ts - interval 14 days
+    union all select 'dead_letters', dead_letter_id, processed_at from v_dead_letters, v_now
+        where processed_at >= now_ts - interval 30 days
+    union all select 'metrics', metric_id, metric_timestamp from v_metrics, v_now
+        where metric_timestamp >= now_ts - interval 30 days""",
+)
+def retention_job(t: Tables) -> DataFrame:
+    """Rows that survive one clean-up of the three tables."""
+    root = _folder(t, "tables")
+    keys = {
+        "positions": ("id", "ingested_at"), "dead_letters": ("dead_letter_id", "processed_at"),
+        "metrics": ("metric_id", "metric_timestamp"),
+    }
+    for name, (_, column) in keys.items():
+        store_dated(getattr(t, name), root, name, column)
+    retention_run(t.spark, root, _folder(t, "archive"), now_of(t))
+    left = [
+        read_published(t.spark, root, name).select(
+            F.lit(name).alias("table_name"), F.col(key).alias("id"), F.col(column).alias("at")
+        )
+        for name, (key, column) in keys.items()
+    ]
+    return left[0].unionByName(left[1]).unionByName(left[2])
+
+

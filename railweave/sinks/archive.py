@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from railweave.operators.retention import METRIC_DAYS, POSITION_DAYS, expired, kept
 from railweave.sinks.published import current_version, publish, read_entries, write_parts
+from railweave.sources.events import ARCHIVE_TIME_FORMAT
 
 
 class ArchiveMismatch(RuntimeError):
@@ -17,7 +18,8 @@ class ArchiveMismatch(RuntimeError):
 
 
 def as_json_lines(df: DataFrame) -> DataFrame:
-    return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+    options = {"ignoreNullFields": "false", "timestampFormat": ARCHIVE_TIME_FORMAT}
+    return df.select(F.to_json(F.struct(*df.columns), options).alias("value"))
 
 
 def content_digest(lines: DataFrame) -> tuple[int, str]:

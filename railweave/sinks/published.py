@@ -15,11 +15,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MANIFEST_SCHEMA = T.StructType.fromDDL(
-    """
-    version BIGINT, activated_at TIMESTAMP, checksum_sha256 STRING, archive_path STRING,
-    entries ARRAY<STRUCT<table_name: STRING, part: STRING, path: STRING, row_count: BIGINT>>
-    """
+from railweave.schemas import columns
+
+MANIFEST_SCHEMA = T.StructType(
+    [
+        *columns("BIGINT", "version"),
+        *columns("TIMESTAMP", "activated_at"),
+        *columns("STRING", "checksum_sha256 archive_path"),
+        T.StructField(
+            "entries",
+            T.ArrayType(
+                T.StructType([*columns("STRING", "table_name part path"), *columns("BIGINT", "row_count")])
+            ),
+        ),
+    ]
 )
 
 
@@ -76,13 +85,18 @@ def write_folder(df: DataFrame, root: str, name: str) -> Entry:
 
 
 def write_parts(df: DataFrame, root: str, name: str, part_column: str) -> list[Entry]:
-    """Write one new folder per value of ``part_column`` (a date, so their number is bounded)."""
+    """Write one new folder per value of ``part_column`` (a date, so their number is bounded).
+
+    Rebalancing gathers each date into few files, and splits a date too large for one task.
+    """
     path = f"{root}/data/{name}-{uuid.uuid4().hex}"
-    df.withColumn("_part", F.col(part_column).cast("string")).write.partitionBy("_part").parquet(path)
-    written = df.sparkSession.read.parquet(path).groupBy(F.col("_part").cast("string").alias("part"))
+    divided = df.withColumn("_part", F.col(part_column).cast("string"))
+    divided.hint("rebalance", "_part").write.partitionBy("_part").parquet(path)
+    # With its schema given, a result without any rows can be read back as well.
+    written = df.sparkSession.read.schema(divided.schema).parquet(path)
     return [
         Entry(name, f"{path}/_part={row.part}", row["count"], row.part)
-        for row in written.count().collect()
+        for row in written.groupBy(F.col("_part").alias("part")).count().collect()
     ]
 
 

@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from railweave.schemas import MESSAGE_SCHEMA
 
+# The default format would cut times to milliseconds.
+ARCHIVE_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 
 def read_kafka_events(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     """Topic messages from the earliest offset; needs Spark's Kafka package on the cluster."""
@@ -27,4 +30,5 @@ def read_event_files(spark: SparkSession, path: str, files_per_batch: int | None
 
 def read_archived_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Rows archived as (compressed) JSON lines."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    reader = spark.read.schema(schema).option("timestampFormat", ARCHIVE_TIME_FORMAT)
+    return reader.option("mode", "FAILFAST").json(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,14 +40,15 @@ def read_gtfs_table(spark: SparkSession, directory: str, name: str) -> DataFrame
 
 
 def read_feed(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    """Every known table that the extracted feed folder holds."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(directory)
-    found = {row.name for row in files.select(F.substring_index("path", "/", -1).alias("name")).collect()}
-    return {
-        name: read_gtfs_table(spark, directory, name)
-        for name in FEED_TABLES
-        if f"{name}.txt" in found
-    }
+    """Every known table that the extracted feed folder holds; other files are ignored."""
+    tables = {}
+    for name in FEED_TABLES:
+        try:
+            tables[name] = read_gtfs_table(spark, directory, name)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return tables
 
 
 def check_feed_tables(names) -> None:
