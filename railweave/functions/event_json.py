@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railweave.functions.gtfs_time import iso_text
-from railweave.functions.labels import WHITESPACE
 from railweave.schemas import EVENT_FIELDS
 
 # Error classes and texts that the quality counts look for.
@@ -22,6 +21,10 @@ NAIVE_INGESTED_AT = "ingested_at must include a timezone"
 BAD_TIMESTAMP = "Invalid isoformat string: "
 REASON_LENGTH = 2_000
 
+# The form nearly all times have; Spark's own cast reads it.
+USUAL_ISO_PATTERN = (
+    r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-]\d{2}:\d{2})$"
+)
 # Date, then optionally a separator, hours, minutes, seconds, fraction and offset.
 ISO_PATTERN = (
     r"^(\d{4})-?(\d{2})-?(\d{2})"
@@ -35,7 +38,7 @@ def _iso_part(text: Column, group: int) -> Column:
 
 
 def has_iso_offset(text: Column) -> Column:
-    return _iso_part(text, 8) != ""
+    return text.rlike(USUAL_ISO_PATTERN) | (_iso_part(text, 8) != "")
 
 
 def parse_iso(text: Column) -> Column:
@@ -60,7 +63,9 @@ def parse_iso(text: Column) -> Column:
         part(7, "0"),
         zone,
     )
-    return F.when(text.rlike(ISO_PATTERN), rebuilt.try_cast("timestamp"))
+    return F.when(text.rlike(USUAL_ISO_PATTERN), text.try_cast("timestamp")).when(
+        text.rlike(ISO_PATTERN), rebuilt.try_cast("timestamp")
+    )
 
 
 def to_event_envelope(records: DataFrame) -> DataFrame:
@@ -85,21 +90,36 @@ def _text(name: str) -> Column:
     return F.when(_kind(name) == "STRING", F.col(f"text_{name}"))
 
 
+def is_one_json_value(text: Column) -> Column:
+    """Whether the whole text is a single JSON value.
+
+    The parsers stop behind the first value and ignore what follows. Wrapped in an object and in
+    an array, only a text that is exactly one value parses both times.
+    """
+    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    in_array = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    return in_object.isNotNull() & F.coalesce(in_array == 1, F.lit(False))
+
+
 def _opened(messages: DataFrame) -> DataFrame:
     """Adds the parsed message with the JSON type and the text of each field."""
-    parsed = messages.withColumn("text", F.try_validate_utf8(F.col("value").cast("string")))
-    parsed = parsed.withColumn("event", F.try_parse_json("text"))
     names = [field.name for field in EVENT_FIELDS]
-    return parsed.select(
-        "*",
-        F.schema_of_variant("event").alias("kind"),
-        *(F.try_variant_get("event", f"$.{n}", "variant").alias(f"part_{n}") for n in names),
+    kinds, texts = (", ".join(f"{name} {kind}" for name in names) for kind in ("VARIANT", "STRING"))
+    parsed = messages.withColumn("text", F.try_validate_utf8(F.col("value").cast("string")))
+    return parsed.withColumns(
+        {
+            "is_json": is_one_json_value(F.col("text")),
+            "is_object": F.col("text").rlike(r"^[ \t\r\n]*\{"),
+            "kinds": F.from_json("text", kinds),
+            "texts": F.from_json("text", texts),
+        }
     ).select(
         *messages.columns,
         "text",
-        "kind",
-        *(F.schema_of_variant(f"part_{n}").alias(f"kind_{n}") for n in names),
-        *(F.try_variant_get(f"part_{n}", "$", "string").alias(f"text_{n}") for n in names),
+        "is_json",
+        "is_object",
+        *(F.schema_of_variant(f"kinds.{n}").alias(f"kind_{n}") for n in names),
+        *(F.col(f"texts.{n}").alias(f"text_{n}") for n in names),
     )
 
 
@@ -128,17 +148,15 @@ def _verdict() -> Column:
     missing = F.concat_ws(
         ", ",
         *(
-            F.when(
-                F.coalesce(F.btrim(_text(name), F.lit(WHITESPACE)), F.lit("")) == "", F.lit(name)
-            )
+            F.when(~F.coalesce(_text(name).rlike(r"\S"), F.lit(False)), F.lit(name))
             for name in REQUIRED_FIELDS
         ),
     )
     verdict = (
         F.when(F.col("value").isNull(), broken("ValueError", NO_VALUE))
         .when(F.col("text").isNull(), broken("UnicodeDecodeError", NOT_UTF8))
-        .when(F.col("kind").isNull(), broken("JSONDecodeError", NOT_JSON))
-        .when(~F.col("kind").startswith("OBJECT"), broken("TypeError", NOT_OBJECT))
+        .when(~F.col("is_json"), broken("JSONDecodeError", NOT_JSON))
+        .when(~F.col("is_object"), broken("TypeError", NOT_OBJECT))
         .when(missing != "", broken("ValueError", F.concat(F.lit(MISSING_FIELDS), missing)))
         .when(F.col("at_ingested_at").isNull(), broken("ValueError", BAD_INGESTED_AT))
         .when(~has_iso_offset(_text("ingested_at")), broken("ValueError", NAIVE_INGESTED_AT))
@@ -163,13 +181,14 @@ def decode_events(messages: DataFrame) -> DataFrame:
         .withColumns({f"at_{name}": parse_iso(_text(name)) for name in times})
         .withColumn("verdict", _verdict())
     )
+    is_event = F.col("is_json") & F.col("is_object")
     record = F.struct(*(_typed(field).alias(field.name) for field in EVENT_FIELDS))
     decoded = F.struct(
         F.when(F.col("verdict").isNull(), record).alias("record"),
         F.col("verdict.type").alias("error_type"),
         F.substring(F.col("verdict.reason"), 1, REASON_LENGTH).alias("error_reason"),
         *(
-            F.nullif(_text(name), F.lit("")).alias(f"context_{name}")
+            F.when(is_event, F.nullif(_text(name), F.lit(""))).alias(f"context_{name}")
             for name in ("event_id", "vehicle_id", "trip_id")
         ),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -136,7 +137,7 @@ def _fixed(value: Column, digits: int) -> Column:
     number = value.cast("double")
     steps = F.floor(number * 1024)
     rest = (number - steps / 1024.0).cast("decimal(38,25)")
-    exact = (steps.cast("decimal(20,0)") / F.lit(1024).cast("decimal(4,0)")).cast("decimal(38,20)")
+    exact = steps.cast("decimal(18,0)") * F.lit(Decimal("0.0009765625"))
     return F.bround((exact + rest).cast("decimal(38,20)"), digits).cast(f"decimal(30,{digits})")
 
 
@@ -147,7 +148,7 @@ def format_age(seconds: Column) -> Column:
 
 
 def format_count(value: Column, missing: str = "Unavailable") -> Column:
-    return F.coalesce(F.format_string("%,d", value.cast("long")), F.lit(missing))
+    return F.coalesce(F.format_number(value.cast("long"), 0), F.lit(missing))
 
 
 def format_decimal(value: Column, suffix: str = "", missing: str = "Unavailable") -> Column:

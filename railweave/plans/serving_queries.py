@@ -178,7 +178,8 @@ query(
 )
 query(
     "route_legend",
-    "select route, '#ffc72c' color, count(*) vehicles from v_map group by route"
+    "select route, case min(marker_color) when '120,120,120,210' then '#787878' else '#ffc72c' end color,"
+    " count(*) vehicles from v_map group by route"
     " order by vehicles desc, route nulls last limit 6",
 )(lambda t: serving.route_legend(serving.vehicle_map(_vehicles(t))))
 query(
