@@ -229,16 +229,17 @@ def dead_letter_replay(t: Tables) -> DataFrame:
 def _message_files(t: Tables, copies: int) -> str:
     """Messages as files, the whole set ``copies`` times over, as after a replayed topic."""
     path = _folder(t, "topic")
+    messages = materialize(t.messages, "messages")
     for _ in range(copies):
-        t.messages.repartition(3, "partition").write.mode("append").parquet(path)
+        messages.repartitionByRange(8, "partition", "offset").write.mode("append").parquet(path)
     return path
 
 
-def _run(t: Tables, copies: int = 2) -> StreamTables:
+def _run(t: Tables, copies: int = 2, **options) -> StreamTables:
     root = _folder(t, "stream")
-    messages = read_event_files(t.spark, _message_files(t, copies), files_per_batch=2)
+    messages = read_event_files(t.spark, _message_files(t, copies), files_per_batch=8)
     stream_to_tables(
-        messages, root, _folder(t, "checkpoint"), available_now=True
+        messages, root, _folder(t, "checkpoint"), available_now=True, **options
     ).awaitTermination()
     return StreamTables(root)
 
@@ -255,6 +256,15 @@ def stream_to_table(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "stream_to_table_by_feed_date",
+    "select key event_id from v_decoded where error_type is null",
+)
+def stream_to_table_by_feed_date(t: Tables) -> DataFrame:
+    """The same, looking for known ids only on the feed dates of each batch."""
+    return _run(t, ids_name_feed_time=True).read(t.spark, "positions", POSITION_SCHEMA).select("event_id")
+
+
 @query(
     "pipeline",
     """select 2 * count(*) events_received, count(*) filter (where error_type is null) events_persisted,

@@ -5,9 +5,10 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,10 +22,18 @@ from railweave.sinks.inserts import insert_new
 # assigning them needs no look at the stored table.
 BATCH_IDS = 1 << 32
 
+POSITIONS, DEAD_LETTERS, METRICS = "positions", "dead_letters", "metrics"
+# More dates than this in one batch are not worth listing in a filter.
+MAX_PRUNED_DATES = 366
+FEED_DATE = T.StructField("feed_date", T.DateType())
+
 
 @dataclass(frozen=True)
 class StreamTables:
-    """Folders of the three tables a stream writes; rows of a batch lie under its own folder."""
+    """Folders of the three tables a stream writes.
+
+    Rows lie under the id of their batch, positions also under the date of their feed time.
+    """
 
     root: str
 
@@ -32,8 +41,9 @@ class StreamTables:
         return f"{self.root.rstrip('/')}/{table}"
 
     def read(self, spark: SparkSession, table: str, schema: T.StructType) -> DataFrame | None:
-        """All stored rows with their ``batch_id``; None before the first batch."""
-        stored = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+        """All stored rows with their partition columns; None before the first batch."""
+        dates = [FEED_DATE] if table == POSITIONS else []
+        stored = T.StructType([*schema.fields, *dates, T.StructField("batch_id", T.LongType())])
         try:
             return spark.read.schema(stored).parquet(self.folder(table))
         except AnalysisException as error:
@@ -47,7 +57,17 @@ class StreamTables:
         return None if stored is None else stored.filter(F.col("batch_id") < batch_id)
 
     def replace_batch(self, rows: DataFrame, table: str, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.folder(table)}/batch_id={batch_id}")
+        """Write the rows of one batch in place of what an earlier attempt of it left."""
+        parts = [FEED_DATE.name, "batch_id"] if table == POSITIONS else ["batch_id"]
+        of_batch = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        # Few files per date, and several for a date too large for one task.
+        of_batch.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            *parts
+        ).parquet(self.folder(table))
+
+    def batch_rows(self, spark: SparkSession, table: str, schema: T.StructType, batch_id: int) -> int:
+        stored = self.read(spark, table, schema)
+        return 0 if stored is None else stored.filter(F.col("batch_id") == batch_id).count()
 
 
 def numbered(rows: DataFrame, first: int, id_column: str, offset: str = "offset") -> DataFrame:
@@ -70,12 +90,14 @@ def numbered(rows: DataFrame, first: int, id_column: str, offset: str = "offset"
 
 
 def _metric_row(spark: SparkSession, batch_id: int, at: datetime, kind: str, number: int, **values):
-    counters = spark.createDataFrame(
-        [(values["topic"], values["batch_size"], values["persisted"], values["dead_letters"],
-          values["errors"], values["duration"], values.get("source_time"), values.get("ingested"))],
-        "topic STRING, batch_size INT, persisted INT, dead_letters INT, errors INT,"
-        " duration DOUBLE, latest_source_event_timestamp TIMESTAMP,"
-        " latest_ingestion_timestamp TIMESTAMP",
+    types = {
+        "topic": "string", "batch_size": "int", "persisted": "int", "dead_letters": "int",
+        "errors": "int", "duration": "double", "latest_source_event_timestamp": "timestamp",
+        "latest_ingestion_timestamp": "timestamp",
+    }
+    # Literals over one row: this needs no Python worker, as createDataFrame would.
+    counters = spark.range(1).select(
+        *(F.lit(values.get(name)).cast(kind_).alias(name) for name, kind_ in types.items())
     )
     return batch_metric(counters).select(
         F.lit(batch_id * 2 + number).cast("long").alias("metric_id"),
@@ -90,24 +112,42 @@ def _metric_row(spark: SparkSession, batch_id: int, at: datetime, kind: str, num
 
 
 class BatchWriter:
-    """``foreachBatch`` function. Every write replaces the batch's own folder, so running a batch
-    again after a failure gives the same tables; offsets advance only after it returns."""
+    """``foreachBatch`` function for decoded messages.
+
+    Every write replaces the batch's own partitions, so running a batch again after a failure
+    gives the same tables; offsets advance only after it returns.
 
-    def __init__(self, tables: StreamTables, clock: Column | None = None):
+    An event id is unique over the whole history, which means reading the id column of the whole
+    table per batch. Ids made by ``build_event_id`` name their feed time: with
+    ``ids_name_feed_time`` only the feed dates that occur in the batch are read.
+    """
+
+    def __init__(self, tables: StreamTables, ids_name_feed_time: bool = False):
         self.tables = tables
-        self.clock = clock if clock is not None else F.current_timestamp()
+        self.ids_name_feed_time = ids_name_feed_time
 
-    def __call__(self, messages: DataFrame, batch_id: int) -> None:
+    def __call__(self, decoded: DataFrame, batch_id: int) -> None:
         started = time.monotonic()
-        spark, tables = messages.sparkSession, self.tables
-        at = spark.range(1).select(self.clock.alias("at")).first().at
-        decoded = decode_events(messages).persist()
+        decoded = decoded.persist()
         try:
-            self._write(spark, decoded, batch_id, at, started)
+            self._write(decoded.sparkSession, decoded, batch_id, started)
         finally:
             decoded.unpersist()
 
-    def _write(self, spark, decoded: DataFrame, batch_id: int, at: datetime, started: float) -> None:
+    def _stored_positions(self, spark: SparkSession, fresh: DataFrame, batch_id: int):
+        stored = self.tables.before(spark, POSITIONS, POSITION_SCHEMA, batch_id)
+        if stored is None or not self.ids_name_feed_time:
+            return stored
+        dates = fresh.select(FEED_DATE.name).distinct().limit(MAX_PRUNED_DATES + 1).collect()
+        if len(dates) > MAX_PRUNED_DATES:
+            return stored
+        known = [row[0] for row in dates if row[0] is not None]
+        wanted = F.col(FEED_DATE.name).isin(known)
+        if len(known) < len(dates):
+            wanted = wanted | F.col(FEED_DATE.name).isNull()
+        return stored.filter(wanted)
+
+    def _write(self, spark: SparkSession, decoded: DataFrame, batch_id: int, started: float) -> None:
         tables = self.tables
         arrived = decoded.agg(
             F.max("topic").alias("topic"),
@@ -115,47 +155,56 @@ class BatchWriter:
             F.count_if(F.col("error_type").isNotNull()).alias("rejected"),
             F.max(F.coalesce("record.vehicle_timestamp", "record.feed_timestamp")).alias("source"),
             F.max("record.ingested_at").alias("ingested"),
+            F.first(F.current_timestamp()).alias("now"),
         ).first()
         metrics = []
         if arrived.valid:
-            stored = tables.before(spark, "positions", POSITION_SCHEMA, batch_id)
+            records = valid_records(decoded).withColumn(FEED_DATE.name, F.to_date("feed_timestamp"))
             fresh = insert_new(
-                stored, valid_records(decoded), ["event_id"], ["topic", "partition", "offset"],
-                batch_rows=arrived.valid,
+                self._stored_positions(spark, records, batch_id), records, ["event_id"],
+                ["topic", "partition", "offset"], batch_rows=arrived.valid,
             )
             rows = numbered(fresh, batch_id * BATCH_IDS + 1, "id")
-            tables.replace_batch(rows.select(*POSITION_SCHEMA.names), "positions", batch_id)
-            persisted = spark.read.parquet(f"{tables.folder('positions')}/batch_id={batch_id}").count()
+            tables.replace_batch(
+                rows.select(*POSITION_SCHEMA.names, FEED_DATE.name), POSITIONS, batch_id
+            )
             metrics.append(_metric_row(
-                spark, batch_id, at, "valid_batch", 0, topic=arrived.topic, batch_size=arrived.valid,
-                persisted=persisted, dead_letters=0, errors=0, duration=time.monotonic() - started,
-                source_time=arrived.source, ingested=arrived.ingested,
+                spark, batch_id, arrived.now, "valid_batch", 0, topic=arrived.topic,
+                batch_size=arrived.valid,
+                persisted=tables.batch_rows(spark, POSITIONS, POSITION_SCHEMA, batch_id),
+                dead_letters=0, errors=0, duration=time.monotonic() - started,
+                latest_source_event_timestamp=arrived.source,
+                latest_ingestion_timestamp=arrived.ingested,
             ))
         if arrived.rejected:
-            letters = dead_letters(decoded, F.lit(at))
-            stored = tables.before(spark, "dead_letters", DEAD_LETTER_SCHEMA, batch_id)
+            letters = dead_letters(decoded, F.lit(arrived.now))
             fresh = insert_new(
-                stored, letters, ["topic", "partition", "kafka_offset"], ["kafka_offset"],
+                tables.before(spark, DEAD_LETTERS, DEAD_LETTER_SCHEMA, batch_id), letters,
+                ["topic", "partition", "kafka_offset"], ["kafka_offset"],
                 batch_rows=arrived.rejected,
             )
             rows = numbered(fresh, batch_id * BATCH_IDS + 1, "dead_letter_id", "kafka_offset")
-            tables.replace_batch(rows.select(*DEAD_LETTER_SCHEMA.names), "dead_letters", batch_id)
-            kept = spark.read.parquet(
-                f"{tables.folder('dead_letters')}/batch_id={batch_id}"
-            ).count()
+            tables.replace_batch(rows.select(*DEAD_LETTER_SCHEMA.names), DEAD_LETTERS, batch_id)
             metrics.append(_metric_row(
-                spark, batch_id, at, "dead_letter", 1, topic=arrived.topic,
-                batch_size=arrived.rejected, persisted=0, dead_letters=kept, errors=arrived.rejected,
-                duration=time.monotonic() - started,
+                spark, batch_id, arrived.now, "dead_letter", 1, topic=arrived.topic,
+                batch_size=arrived.rejected, persisted=0,
+                dead_letters=tables.batch_rows(spark, DEAD_LETTERS, DEAD_LETTER_SCHEMA, batch_id),
+                errors=arrived.rejected, duration=time.monotonic() - started,
             ))
         if metrics:
-            rows = metrics[0] if len(metrics) == 1 else metrics[0].unionByName(metrics[1])
-            tables.replace_batch(rows.select(*METRIC_SCHEMA.names).coalesce(1), "metrics", batch_id)
+            rows = reduce(DataFrame.unionByName, metrics).select(*METRIC_SCHEMA.names)
+            tables.replace_batch(rows, METRICS, batch_id)
 
 
-def stream_to_tables(messages: DataFrame, root: str, checkpoint: str, *, available_now: bool = False):
+def stream_to_tables(
+    messages: DataFrame, root: str, checkpoint: str, *, available_now: bool = False,
+    ids_name_feed_time: bool = False,
+):
     """Start the stream. ``available_now`` works off what is there and stops."""
-    writer = messages.writeStream.foreachBatch(BatchWriter(StreamTables(root)))
+    # Decoding is part of the streaming plan, so it is analysed once and not once per batch.
+    writer = decode_events(messages).writeStream.foreachBatch(
+        BatchWriter(StreamTables(root), ids_name_feed_time)
+    )
     writer = writer.option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -163,16 +163,28 @@ def test_a_batch_run_twice_gives_the_same_tables(spark, tmp_path):
     write = BatchWriter(tables)
     batch = messages(spark, [event(), event(event_id="e2"), event(), b"bad", None])
     for _ in range(2):
-        write(batch, 0)
+        write(decode_events(batch), 0)
     assert tables.read(spark, "positions", POSITION_SCHEMA).count() == 2
     assert totals(tables, spark) == {"valid_batch": (3, 2, 1, 0, 0), "dead_letter": (2, 0, 0, 2, 2)}
     # The same messages again under a later batch id: nothing new, all counted as repeats.
-    write(batch, 1)
+    write(decode_events(batch), 1)
     assert tables.read(spark, "positions", POSITION_SCHEMA).count() == 2
     assert tables.read(spark, "dead_letters", DEAD_LETTER_SCHEMA).count() == 2
     assert totals(tables, spark) == {"valid_batch": (6, 2, 4, 0, 0), "dead_letter": (4, 0, 2, 2, 4)}
 
 
+def test_known_ids_are_looked_up_on_their_feed_date(spark, tmp_path):
+    write = BatchWriter(StreamTables(str(tmp_path / "s")), ids_name_feed_time=True)
+    first = [event(feed_timestamp="2026-08-30T11:00:00Z"), event(event_id="e2")]
+    second = [*first, event(event_id="e3", feed_timestamp="2026-08-29T11:00:00Z")]
+    for batch_id, values in enumerate((first, second, second)):
+        write(decode_events(messages(spark, values)), batch_id)
+    rows = write.tables.read(spark, "positions", POSITION_SCHEMA).collect()
+    assert sorted((r.event_id, r.batch_id, str(r.feed_date)) for r in rows) == [
+        ("e1", 0, "2026-08-30"), ("e2", 0, "None"), ("e3", 1, "2026-08-29"),
+    ]
+
+
 def test_ids_follow_topic_order_and_grow_over_batches(spark, tmp_path):
     tables = StreamTables(str(tmp_path / "s"))
     write = BatchWriter(tables)
@@ -181,7 +193,7 @@ def test_ids_follow_topic_order_and_grow_over_batches(spark, tmp_path):
             messages(spark, [event(event_id=f"{batch_id}-{p}-{i}") for i in range(3)], p, 10 * batch_id)
             for p in range(2)
         ]
-        write(parts[1].unionByName(parts[0]), batch_id)
+        write(decode_events(parts[1].unionByName(parts[0])), batch_id)
     rows = tables.read(spark, "positions", POSITION_SCHEMA).orderBy("id").collect()
     assert [r.event_id for r in rows] == [f"{b}-{p}-{i}" for b in range(2) for p in range(2) for i in range(3)]
     assert len({r.id for r in rows}) == 12
