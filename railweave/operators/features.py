@@ -12,7 +12,14 @@ from railweave.functions.gtfs_time import (
     is_weekend,
     service_timestamp,
 )
-from railweave.operators.scan import DAY_MICROS, HOT_ROWS, HOUR_MICROS, Measure, exclusive_scan
+from railweave.operators.scan import (
+    DAY_MICROS,
+    HOT_ROWS,
+    HOUR_MICROS,
+    Measure,
+    exclusive_scan,
+    large_keys,
+)
 from railweave.session import materialize
 
 STOPS_AHEAD = 4
@@ -26,7 +33,7 @@ LAST_TIEBREAK = (1 << 63) - 1
 
 
 def schedule_features(
-    staged_stop_times: DataFrame, hot_rows: int | None = HOT_ROWS, row_count: int | None = None
+    staged_stop_times: DataFrame, hot_rows: int | None = HOT_ROWS, sliced: bool | None = None
 ) -> DataFrame:
     """Schedule clock as seconds, dwell at the stop and travel time to the trip's next stop."""
     arrival = gtfs_seconds(F.col("arrival_time"))
@@ -54,7 +61,7 @@ def schedule_features(
         [Measure("next_stop", "last", "arrival_here")],
         slice_width=SEQUENCE_SLICE,
         hot_rows=hot_rows,
-        row_count=row_count,
+        sliced=sliced,
     )
     travel = (F.col("next_stop.arrival") - F.col("scheduled_departure_seconds")).cast("int")
     return scanned.withColumn("scheduled_travel_time_to_next_stop_sec", travel).unionByName(
@@ -104,7 +111,7 @@ def _clock(df: DataFrame) -> DataFrame:
     return df.withColumn("at", F.unix_micros("event_timestamp"))
 
 
-def previous_delay(current: DataFrame, hot_rows: int = HOT_ROWS, row_count: int | None = None):
+def previous_delay(current: DataFrame, hot_rows: int = HOT_ROWS, sliced: bool | None = None):
     """Delay at the same vehicle and trip's previous observation, per ``row_id``."""
     rows = _clock(current).select(
         "row_id", "vehicle_id", "trip_id", "at", "observation_id",
@@ -113,7 +120,7 @@ def previous_delay(current: DataFrame, hot_rows: int = HOT_ROWS, row_count: int
     scanned = exclusive_scan(
         rows, ["vehicle_id", "trip_id"], "at", [Measure("previous", "last", "delay")],
         tiebreak="observation_id", slice_width=7 * DAY_MICROS,
-        hot_rows=hot_rows, row_count=row_count,
+        hot_rows=hot_rows, sliced=sliced,
     )
     return scanned.select(
         "row_id", F.col("previous.current_delay_sec").alias("previous_observed_delay_sec")
@@ -122,7 +129,7 @@ def previous_delay(current: DataFrame, hot_rows: int = HOT_ROWS, row_count: int
 
 def historical_delay(
     current: DataFrame, key: str, name: str, slice_width: int = HOUR_MICROS,
-    hot_rows: int = HOT_ROWS, row_count: int | None = None,
+    hot_rows: int = HOT_ROWS, sliced: bool | None = None,
 ):
     """Mean delay over all earlier observations with the same ``key``, per ``row_id``."""
     rows = _clock(current).select(
@@ -136,7 +143,7 @@ def historical_delay(
         rows, ["has_key", "key"], "at",
         [Measure("delay_sum", "sum", "delay"), Measure("delay_count", "sum", "known")],
         tiebreak="observation_id", slice_width=slice_width,
-        hot_rows=hot_rows, row_count=row_count,
+        hot_rows=hot_rows, sliced=sliced,
     )
     return scanned.select("row_id", F.try_divide("delay_sum", "delay_count").alias(name))
 
@@ -168,7 +175,7 @@ def _questions_and_answers(current: DataFrame, stops_ahead: int, same_service_da
 
 def first_future_target(
     current: DataFrame, stops_ahead: int = STOPS_AHEAD, same_service_day: bool = False,
-    hot_rows: int = HOT_ROWS, row_count: int | None = None,
+    hot_rows: int = HOT_ROWS, sliced: bool | None = None,
 ):
     """First later observation of the vehicle and trip at stop sequence + ``stops_ahead``.
 
@@ -182,7 +189,7 @@ def first_future_target(
         _questions_and_answers(current, stops_ahead, same_service_day),
         _target_keys(same_service_day), "back", [Measure("target", "last", "answer")],
         tiebreak="place", slice_width=30 * DAY_MICROS,
-        hot_rows=hot_rows, row_count=None if row_count is None else 2 * row_count,
+        hot_rows=hot_rows, sliced=sliced,
     )
     return scanned.filter(
         F.col("row_id").isNotNull() & F.col("target").isNotNull()
@@ -228,16 +235,27 @@ def delay_features(
     ``current`` is the table of ``current_features``. Each scan moves only its own few columns
     and the wide rows are shuffled once, for the final join on ``row_id``.
     """
-    sizes = {"hot_rows": hot_rows, "row_count": current.count()}
-    targets = first_future_target(current, same_service_day=same_service_day, **sizes)
-    joined = (
-        current.join(previous_delay(current, **sizes), "row_id", "left")
-        .join(historical_delay(current, "route_id", "historical_route_delay_sec", **sizes),
-              "row_id", "left")
-        .join(historical_delay(current, "scheduled_stop_id", "historical_stop_delay_sec",
-                               slice_width=DAY_MICROS, **sizes), "row_id", "left")
-        .join(targets, "row_id", "left")
+    keys = {"vehicle": ["vehicle_id", "trip_id"], "route": ["route_id"], "stop": ["scheduled_stop_id"]}
+    # The label scan takes every row twice, hence half the limit. A small table needs no check.
+    limit = max(hot_rows // 2, 1)
+    large = set() if current.count() <= limit else large_keys(current, keys, limit)
+
+    def options(key: str) -> dict:
+        return {"hot_rows": hot_rows, "sliced": key in large}
+
+    route = historical_delay(
+        current, "route_id", "historical_route_delay_sec", **options("route")
+    )
+    stop = historical_delay(
+        current, "scheduled_stop_id", "historical_stop_delay_sec", slice_width=DAY_MICROS,
+        **options("stop"),
+    )
+    targets = first_future_target(
+        current, same_service_day=same_service_day, **options("vehicle")
     )
+    joined = current.join(previous_delay(current, **options("vehicle")), "row_id", "left")
+    for found in (route, stop, targets):
+        joined = joined.join(found, "row_id", "left")
     return joined.select(
         "observation_id", "event_id", "ingested_at", "feed_timestamp", "vehicle_timestamp",
         "event_timestamp", "entity_id", "vehicle_id", "vehicle_label", "trip_id", "route_id",

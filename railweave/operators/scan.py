@@ -14,6 +14,7 @@ A slice that still holds more than ``hot_rows`` rows is cut further, each level
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -87,11 +88,14 @@ def _carry(totals: DataFrame, keys: list[str], levels: list[str], measures) -> D
     ).drop(*(f"_outer_{m.name}" for m in measures))
 
 
-def _has_large_key(rows: DataFrame, keys: list[str], hot_rows: int, row_count: int | None) -> bool:
-    if row_count is not None and row_count <= hot_rows:
-        return False
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    return not sizes.filter(F.col("_rows") > hot_rows).isEmpty()
+def large_keys(df: DataFrame, keys: dict[str, list[str]], limit: int) -> set[str]:
+    """Names of the key sets of which some value holds more than ``limit`` rows, in one job."""
+    found = [
+        df.groupBy(*columns).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit)
+        .select(F.lit(name).alias("name")).limit(1)
+        for name, columns in keys.items()
+    ]
+    return {row.name for row in reduce(DataFrame.unionByName, found).collect()}
 
 
 def _cut_hot_slices(
@@ -131,29 +135,31 @@ def exclusive_scan(
     tiebreak: str | None = None,
     slice_width: int = HOUR_MICROS,
     hot_rows: int | None = HOT_ROWS,
-    row_count: int | None = None,
+    sliced: bool | None = None,
 ) -> DataFrame:
     """Adds one column per measure, computed over the rows of the same key that come earlier.
 
     ``position`` (BIGINT) orders the rows; ``tiebreak`` (BIGINT) orders rows at one position and
     must make them distinct. ``keys`` must not be NULL. ``rows`` is read more than once and
     should be a table or cheap to recompute. While no key holds more than ``hot_rows`` rows, one
-    plain window does it; a caller that knows the input to be that small passes ``row_count`` and
-    saves the check. ``hot_rows=None`` always slices and skips the checks, for callers whose
+    plain window does it; a caller that knows whether slices are needed passes ``sliced`` and
+    saves that check. ``hot_rows=None`` always slices and skips both checks, for callers whose
     ``slice_width`` alone bounds a slice.
     """
     order_by = [position] + ([tiebreak] if tiebreak else [])
-    if hot_rows is not None and not _has_large_key(rows, keys, hot_rows, row_count):
+    if sliced is None:
+        sliced = hot_rows is None or bool(large_keys(rows, {"rows": keys}, hot_rows))
+    if not sliced:
         window = (
             Window.partitionBy(*keys).orderBy(*order_by)
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         return rows.select("*", *(_before(m, m.column, window).alias(m.name) for m in measures))
 
-    sliced = rows.withColumn("_slice", _start(F.col(position), slice_width))
-    sliced, levels = _cut_hot_slices(sliced, keys, position, tiebreak, slice_width, hot_rows)
+    cut = rows.withColumn("_slice", _start(F.col(position), slice_width))
+    cut, levels = _cut_hot_slices(cut, keys, position, tiebreak, slice_width, hot_rows)
     group = [*keys, *levels]
-    totals = sliced.groupBy(*group).agg(
+    totals = cut.groupBy(*group).agg(
         *(_total(m, F.struct(*order_by)).alias(f"_total_{m.name}") for m in measures)
     )
     carried = _carry(totals, keys, levels, measures).select(
@@ -162,7 +168,7 @@ def exclusive_scan(
     window = (
         Window.partitionBy(*group).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
     )
-    inside = sliced.select(
+    inside = cut.select(
         "*", *(_before(m, m.column, window).alias(f"_in_{m.name}") for m in measures)
     )
     joined = inside.join(carried, group)

@@ -209,8 +209,9 @@ query("total_lag", f"select sum(lag) total_lag from ({LAG_SQL})")(
 
 @query(
     "freshness_status",
-    """select metric_id, round(greatest((epoch_us(now_ts - interval 2 days)
-            - epoch_us(latest_source_event_timestamp)) / 1e6, 0), 6) freshness_seconds,
+    """select metric_id, case when latest_source_event_timestamp is not null then
+            round(greatest((epoch_us(now_ts - interval 2 days)
+                - epoch_us(latest_source_event_timestamp)) / 1e6, 0), 6) end freshness_seconds,
         case when latest_source_event_timestamp is null then 'UNKNOWN'
             when greatest((epoch_us(now_ts - interval 2 days)
                 - epoch_us(latest_source_event_timestamp)) / 1e6, 0) <= 86400 then 'HEALTHY'
@@ -219,16 +220,10 @@ query("total_lag", f"select sum(lag) total_lag from ({LAG_SQL})")(
 )
 def freshness_status(t: Tables) -> DataFrame:
     """Judged two days before the newest event, so that every status and the clamp occur."""
-    # DuckDB's greatest() also skips NULL, so ages of unknown batches are 0 there: see the fill.
-    judged = metrics.with_freshness(
+    return metrics.with_freshness(
         t.metrics.select("metric_id", "latest_source_event_timestamp"),
         "latest_source_event_timestamp", now_of(t) - timedelta(days=2), 86_400.0,
-    )
-    return judged.select(
-        "metric_id",
-        F.coalesce("freshness_seconds", F.lit(0.0)).alias("freshness_seconds"),
-        "freshness_status",
-    )
+    ).select("metric_id", "freshness_seconds", "freshness_status")
 
 
 @query(

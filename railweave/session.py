@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_workspace: dict[str, str] = {}
+_written: list[str] = []
 
 
 def build_session(app: str = "railweave", master: str | None = None, **conf: str) -> SparkSession:
@@ -52,4 +53,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/railweave/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the intermediate tables this process wrote; returns how many.
+
+    For the end of a job, when its results are stored: frames built on them cannot be read after.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    count = len(_written)
+    while _written:
+        path = hadoop.Path(_written.pop())
+        path.getFileSystem(configuration).delete(path, True)
+    return count

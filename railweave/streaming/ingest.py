@@ -65,6 +65,24 @@ class StreamTables:
             *parts
         ).parquet(self.folder(table))
 
+    def newest_positions(self, spark: SparkSession, rows: int) -> DataFrame | None:
+        """The batches that hold at least the newest ``rows`` positions (all, if there are fewer).
+
+        The metric rows say how many positions each batch added, so the batches are chosen from
+        that small table and all others are skipped by partition.
+        """
+        stored = self.read(spark, POSITIONS, POSITION_SCHEMA)
+        metrics = self.read(spark, METRICS, METRIC_SCHEMA)
+        if stored is None or metrics is None:
+            return stored
+        # Every batch listed adds a row or more, so this many are enough.
+        added = metrics.filter("events_persisted > 0").select("batch_id", "events_persisted")
+        last = added.orderBy(F.col("batch_id").desc()).limit(rows)
+        newer = Window.orderBy(F.col("batch_id").desc()).rowsBetween(Window.unboundedPreceding, -1)
+        needed = last.withColumn("newer", F.coalesce(F.sum("events_persisted").over(newer), F.lit(0)))
+        first = needed.filter(F.col("newer") < rows).agg(F.min("batch_id")).first()[0]
+        return stored if first is None else stored.filter(F.col("batch_id") >= first)
+
     def batch_rows(self, spark: SparkSession, table: str, schema: T.StructType, batch_id: int) -> int:
         stored = self.read(spark, table, schema)
         return 0 if stored is None else stored.filter(F.col("batch_id") == batch_id).count()

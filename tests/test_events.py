@@ -8,6 +8,7 @@ from datetime import UTC, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from railweave.operators.serving import newest_by_id
 from railweave.functions.event_json import (
     dead_letters,
     decode_events,
@@ -199,6 +200,21 @@ def test_ids_follow_topic_order_and_grow_over_batches(spark, tmp_path):
     assert len({r.id for r in rows}) == 12
 
 
+def test_newest_positions_skip_older_batches(spark, tmp_path):
+    tables = StreamTables(str(tmp_path / "s"))
+    write = BatchWriter(tables)
+    assert tables.newest_positions(spark, 5) is None
+    for batch_id in range(4):
+        values = [b"[]"] if batch_id == 2 else [event(event_id=f"{batch_id}-{i}") for i in range(3)]
+        write(decode_events(messages(spark, values, first=10 * batch_id)), batch_id)
+    for rows, batches in ((1, {3}), (3, {3}), (4, {1, 3}), (7, {0, 1, 3}), (100, {0, 1, 3})):
+        found = tables.newest_positions(spark, rows)
+        assert {r.batch_id for r in found.collect()} == batches
+        newest = newest_by_id(found, rows).select("event_id").collect()
+        every = newest_by_id(tables.read(spark, "positions", POSITION_SCHEMA), rows).select("event_id").collect()
+        assert newest == every
+
+
 def test_stream_resumes_after_a_restart(spark, tmp_path):
     source, root, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     messages(spark, [event(), event(event_id="e2"), b"[]"]).write.parquet(source)

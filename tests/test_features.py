@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import timedelta
 
 import pytest
@@ -9,6 +10,9 @@ from warehouse import position, positions, stop_times, utc
 from railweave.operators import features as feat
 from railweave.operators import incremental, quality, staging
 from railweave.plans.delay_training import build_features, build_training
+from railweave.session import materialize, release
+from railweave.sinks.mart import append_staging, refresh_training
+from railweave.sinks.published import current_version, read_published
 
 
 def test_fixture_gives_one_training_row(spark):
@@ -150,3 +154,42 @@ def test_lookback_admits_late_labels_and_keeps_dropped_rows(spark):
         (1, "old"), (2, "y"), (3, "late"), (4, "gone"),
     ]
     assert incremental.refreshed_training(fresh, None).count() == 4
+
+
+def test_stored_mart_rewrites_only_touched_dates(spark, tmp_path):
+    root, staged = str(tmp_path / "mart"), str(tmp_path / "staged")
+
+    def day(number, minute):
+        return utc(2026, 8, number, 12, minute, 0)
+
+    def at(id_, number, minute, sequence):
+        return position(id_, day(number, minute), sequence, start_date=f"202608{number:02d}", trip_id="CI_TRIP", vehicle_id=f"V{number}")
+
+    early = [at(1, 10, 1, 1), at(2, 10, 22, 5), at(3, 20, 1, 1), at(4, 20, 22, 5), at(5, 20, 23, 1)]
+    late = [at(6, 20, 40, 5), at(7, 21, 1, 1), at(8, 21, 22, 5)]
+
+    def run(rows):
+        added = append_staging(spark, positions(spark, rows), staged)
+        current = feat.current_features(spark.read.parquet(staged), staging.stg_stop_times(stop_times(spark)))
+        refresh_training(spark, feat.training_projection(feat.delay_features(current)), root)
+        return added
+
+    assert run(early) == 5
+    before = {e.part: e.path for e in current_version(spark, root)[1]}
+    assert set(before) == {"2026-08-10", "2026-08-20"}
+    assert run(early + late) == 3
+    after = {e.part: e.path for e in current_version(spark, root)[1]}
+    assert after["2026-08-10"] == before["2026-08-10"] and after["2026-08-20"] != before["2026-08-20"]
+    mart = read_published(spark, root, "ml_delay_training")
+    # Observation 5 got its label only from the second run.
+    assert sorted(r.observation_id for r in mart.collect()) == [1, 3, 5, 7]
+    assert run(early + late) == 0
+    assert read_published(spark, root, "ml_delay_training").count() == 4
+
+
+def test_intermediate_tables_can_be_released(spark):
+    table = materialize(spark.range(3), "t")
+    folder = table.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    assert os.path.isdir(folder)
+    assert release(spark) >= 1 and not os.path.isdir(folder)
+    assert release(spark) == 0

@@ -51,8 +51,9 @@ def sample(seed, rows=400, span=50_000):
 @pytest.mark.parametrize(
     "options",
     [
-        {"row_count": 400},
+        {"sliced": False},
         {"hot_rows": 1_000_000},
+        {"hot_rows": 1_000_000, "sliced": True, "slice_width": 9_000},
         {"hot_rows": 60, "slice_width": 10_000},
         {"hot_rows": 1, "slice_width": 20_000},
         {"hot_rows": 2, "slice_width": 10_000_000},
