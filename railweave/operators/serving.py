@@ -102,6 +102,12 @@ def recent_observations(positions: DataFrame, oldest: datetime | Column) -> Data
     return at_or_after(bounded, "event_timestamp", oldest)
 
 
+VEHICLE_COLUMNS = [
+    "id", "vehicle_id", "vehicle_label", "entity_id", "trip_id", "route_id", "stop_id",
+    "current_status", "latitude", "longitude", "vehicle_timestamp", "feed_timestamp", "ingested_at",
+]
+
+
 def current_vehicles(
     positions: DataFrame, routes: DataFrame, trips: DataFrame, stops: DataFrame,
     oldest: datetime | Column, route_id: str | None = None,
@@ -111,7 +117,8 @@ def current_vehicles(
     The route filter comes after the newest row is chosen, so a vehicle that changed route does
     not reappear on the old one.
     """
-    latest = on_route(latest_per_vehicle(recent_observations(positions, oldest)), route_id)
+    recent = recent_observations(positions.select(*VEHICLE_COLUMNS), oldest)
+    latest = on_route(latest_per_vehicle(recent), route_id)
     named = look_up(latest, routes, "route_id", ["route_short_name", "route_long_name"])
     named = look_up(named, trips, "trip_id", ["trip_headsign"])
     named = look_up(named, stops, "stop_id", ["stop_name"])
@@ -128,7 +135,9 @@ def current_vehicles(
 
 def route_options(positions: DataFrame, routes: DataFrame, oldest: datetime | Column) -> DataFrame:
     """Routes seen recently, by short name, long name and id; missing names last."""
-    recent = with_nonblank_route(recent_observations(positions, oldest)).select("route_id").distinct()
+    times = ["vehicle_timestamp", "feed_timestamp", "ingested_at"]
+    recent = recent_observations(positions.select("id", "route_id", *times), oldest)
+    recent = with_nonblank_route(recent).select("route_id").distinct()
     return (
         look_up(recent, routes, "route_id", ["route_short_name", "route_long_name"])
         .distinct()
