@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from railweave.plans import (  # noqa: F401
+    ingest_queries,
     model_queries,
     operations_queries,
-    pipeline_queries,
     serving_queries,
 )
 from railweave.plans.registry import CHECKS, QUERIES

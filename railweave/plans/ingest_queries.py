@@ -31,6 +31,7 @@ from railweave.sinks.mart import append_staging, refresh_training
 from railweave.sinks.published import load_history, read_published
 from railweave.sinks.static_snapshot import activate_snapshot, load_manifest
 from railweave.sources.events import read_archived_rows, read_event_files
+from railweave.sources.payloads import store_payloads
 from railweave.sources.realtime_feed import flatten_feed
 from railweave.sources.shaped import Tables
 from railweave.sources.static_feed import read_feed, validate_feed
@@ -273,7 +274,7 @@ def stream_to_table_by_feed_date(t: Tables) -> DataFrame:
 
 
 @query(
-    "pipeline",
+    "ingest_totals",
     """select 2 * count(*) events_received, count(*) filter (where error_type is null) events_persisted,
         count(*) filter (where error_type is not null) dead_letter_events,
         count(*) duplicate_events, 2 * count(*) filter (where error_type is not null) error_count,
@@ -282,7 +283,7 @@ def stream_to_table_by_feed_date(t: Tables) -> DataFrame:
         count(*) filter (where error_type is not null) letter_rows
     from v_decoded""",
 )
-def pipeline(t: Tables) -> DataFrame:
+def ingest_totals(t: Tables) -> DataFrame:
     """What the metric rows add up to, next to what the tables hold, after a full replay."""
     tables = _run(t)
     letters = tables.read(t.spark, "dead_letters", DEAD_LETTER_SCHEMA)
@@ -313,6 +314,14 @@ def _event_stream(t: Tables, copies: int) -> DataFrame:
     return valid_records(decode_events(messages))
 
 
+query(
+    "event_stream_source",
+    'select key, topic, "partition", "offset", value is null as empty from v_messages',
+)(
+    lambda t: _drain(t, read_event_files(t.spark, _message_files(t, 1)), "events").select(
+        "key", "topic", "partition", "offset", F.col("value").isNull().alias("empty")
+    )
+)
 query("stream_dedupe", "select key event_id from v_decoded where error_type is null")(
     lambda t: _drain(
         t, stream_dedupe(_event_stream(t, 2).select("event_id", "ingested_at"), "40 days"), "dedupe"
@@ -419,6 +428,21 @@ def manifest(t: Tables) -> DataFrame:
 # Archive and retention
 
 
+@query(
+    "raw_date_partition",
+    """select cast(ingested_at as date) ingest_date, count(*) payloads from v_messages
+    where value is not null group by 1""",
+)
+def raw_date_partition(t: Tables) -> DataFrame:
+    """Message bodies stored by ingestion date, counted per date folder."""
+    root = _folder(t, "payloads")
+    bodies = t.messages.filter("value is not null")
+    store_payloads(
+        bodies.select(F.col("timestamp").alias("ingested_at"), F.col("value").alias("content")), root
+    )
+    return t.spark.read.parquet(root).groupBy("ingest_date").agg(F.count("*").alias("payloads"))
+
+
 @query("archive_jsonl", "select * from v_positions")
 def archive_round_trip(t: Tables) -> DataFrame:
     path, _, _ = archive_jsonl(t.positions, _folder(t, "archive"))

@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "12g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
     )

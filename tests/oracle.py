@@ -85,7 +85,7 @@ def main() -> int:
     spark = build_session(
         master="local[8]",
         **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g",
-           "spark.ui.showConsoleProgress": "false"},
+           "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection, checks, failed = open_duckdb(data_dir), entry.oracle_sql(), 0
