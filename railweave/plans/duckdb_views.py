@@ -63,7 +63,7 @@ select event_id id,
         else cast(user_id % 25 as varchar) end route_id,
     event_id % 2 direction_id, '08:00:00' start_time, strftime(ts, '%Y%m%d') start_date,
     case when event_id % 13 <> 0 then cast(event_id % 1000 as varchar) end stop_id,
-    cast(json_extract_string(props, '$.k') as integer) % 10 + 1 current_stop_sequence,
+    cast(json_extract_string(props, '$.k') as bigint) % 10 + 1 current_stop_sequence,
     case event_type when 'click' then 'IN_TRANSIT_TO' when 'view' then 'STOPPED_AT'
         when 'purchase' then 'INCOMING_AT' when 'signup' then 'out_of_service' end current_status,
     case when event_id % 50 <> 0 then value / 4e0 - 10e0 end latitude,
@@ -185,15 +185,15 @@ from v_positions
 """
 
 VIEWS["v_schedule"] = """
-select trip_id, stop_id scheduled_stop_id, cast(stop_sequence as integer) stop_sequence,
+select trip_id, stop_id scheduled_stop_id, cast(stop_sequence as bigint) stop_sequence,
     arrival_time, departure_time, a scheduled_arrival_seconds, d scheduled_departure_seconds,
     d - a scheduled_dwell_time_sec,
-    lead(a) over (partition by trip_id order by cast(stop_sequence as integer)) - d
+    lead(a) over (partition by trip_id order by cast(stop_sequence as bigint)) - d
         scheduled_travel_time_to_next_stop_sec
 from (
     select *,
-        list_sum(list_transform([3600, 60, 1], lambda w, i: w * cast(split_part(arrival_time, ':', cast(i as integer)) as integer)))::bigint a,
-        list_sum(list_transform([3600, 60, 1], lambda w, i: w * cast(split_part(departure_time, ':', cast(i as integer)) as integer)))::bigint d
+        list_sum(list_transform([3600, 60, 1], lambda w, i: w * cast(split_part(arrival_time, ':', cast(i as bigint)) as bigint)))::bigint a,
+        list_sum(list_transform([3600, 60, 1], lambda w, i: w * cast(split_part(departure_time, ':', cast(i as bigint)) as bigint)))::bigint d
     from v_stop_times)
 """
 

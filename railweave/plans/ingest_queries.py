@@ -130,7 +130,7 @@ from (
         null::varchar start_time,
         case when event_id % 31 <> 0 then strftime(ts, '%Y%m%d') end start_date,
         case when event_id % 13 <> 0 then cast(event_id % 1000 as varchar) end stop_id,
-        cast(json_extract_string(props, '$.k') as integer) % 10 + 1 current_stop_sequence,
+        cast(json_extract_string(props, '$.k') as bigint) % 10 + 1 current_stop_sequence,
         case event_type when 'purchase' then 'INCOMING_AT' when 'view' then 'STOPPED_AT'
             when 'click' then 'IN_TRANSIT_TO' end current_status,
         case when event_id % 50 <> 0 then round(value / 4e0 - 10e0, 6) end latitude,
@@ -219,7 +219,7 @@ def dead_letter_sink(t: Tables) -> DataFrame:
 
 @query(
     "dead_letter_replay",
-    "select count(*) batch_size, 0 inserted, count(*) duplicates from v_dead_letters",
+    "select count(*) batch_size, 0::bigint inserted, count(*) duplicates from v_dead_letters",
 )
 def dead_letter_replay(t: Tables) -> DataFrame:
     letters = t.dead_letters
@@ -398,7 +398,7 @@ def activate_static_snapshot(t: Tables) -> DataFrame:
 
 @query(
     "load_history",
-    """select 1 load_id, 'first' checksum_sha256, (select count(*) from v_routes) routes,
+    """select 1::bigint load_id, 'first' checksum_sha256, (select count(*) from v_routes) routes,
         (select count(*) from v_stop_times) stop_times""",
 )
 def load_history_of(t: Tables) -> DataFrame:

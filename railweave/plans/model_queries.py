@@ -310,7 +310,7 @@ query(
 )(lambda t: quality.duplicate_event_ids(_staged(t)))
 query(
     "duplicate_schedule_rows",
-    "select l_orderkey, l_linenumber, count(*) copies from lineitem group by 1, 2 having count(*) > 1",
+    "select l_orderkey, l_linenumber::bigint l_linenumber, count(*) copies from lineitem group by 1, 2 having count(*) > 1",
 )(
     lambda t: quality.unique_violations(
         t.raw("lineitem").select(F.struct("l_orderkey", "l_linenumber").alias("key")), "key"

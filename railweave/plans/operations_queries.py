@@ -37,14 +37,14 @@ query(
 )
 
 THROUGHPUT_SQL = """
-select sum(events_received) events_received_total, sum(events_persisted) events_persisted_total,
-    sum(failed_batch_count) batches_failed_total, sum(dead_letter_events) events_dead_lettered_total,
-    sum(duplicate_events) duplicate_records_total, sum(retry_count) retry_count_total,
+select sum(events_received)::bigint events_received_total, sum(events_persisted)::bigint events_persisted_total,
+    sum(failed_batch_count)::bigint batches_failed_total, sum(dead_letter_events)::bigint events_dead_lettered_total,
+    sum(duplicate_events)::bigint duplicate_records_total, sum(retry_count)::bigint retry_count_total,
     count(*) filter (where metric_kind = 'valid_batch') batches_processed_total,
     round(coalesce(sum(events_persisted) filter (where metric_timestamp >= now_ts - interval 1440 minutes), 0)
         / 1440.0::double, 6) current_events_per_minute,
     (select max(events)::double from (
-        select sum(events_persisted) events from v_metrics, v_now
+        select sum(events_persisted)::bigint events from v_metrics, v_now
         where metric_kind = 'valid_batch'
             and metric_timestamp between now_ts - interval 20 days and now_ts
         group by date_trunc('minute', metric_timestamp))) peak_events_per_minute
@@ -56,13 +56,13 @@ query("throughput_totals", THROUGHPUT_SQL)(
 )
 query(
     "peak_minute_rate",
-    """select max(events) peak_events_per_minute from (
-        select sum(events_persisted) events from v_metrics where metric_kind = 'valid_batch'
+    """select max(events)::bigint peak_events_per_minute from (
+        select sum(events_persisted)::bigint events from v_metrics where metric_kind = 'valid_batch'
         group by date_trunc('minute', metric_timestamp))""",
 )(lambda t: metrics.peak_minute_rate(t.metrics))
 query(
     "minute_tumbling",
-    """select date_trunc('minute', metric_timestamp) as minute, sum(events_persisted) events
+    """select date_trunc('minute', metric_timestamp) as minute, sum(events_persisted)::bigint events
     from v_metrics where metric_kind = 'valid_batch' group by 1""",
 )(lambda t: metrics.minute_rates(t.metrics))
 query(
@@ -144,8 +144,8 @@ query(
     "health_summary",
     """select max(latest_source_event_timestamp) latest_source_event_timestamp,
         max(latest_ingestion_timestamp) latest_ingestion_timestamp,
-        sum(events_received) events_received, sum(events_persisted) events_persisted,
-        sum(duplicate_events) duplicate_events, sum(error_count) error_count,
+        sum(events_received)::bigint events_received, sum(events_persisted)::bigint events_persisted,
+        sum(duplicate_events)::bigint duplicate_events, sum(error_count)::bigint error_count,
         arg_max(batch_size, (metric_timestamp, metric_id)) filter (where metric_kind = 'valid_batch')
             recent_batch_size,
         round(arg_max(processing_duration_seconds, (metric_timestamp, metric_id))
@@ -167,7 +167,7 @@ query(
     """select date_trunc('day', metric_timestamp) as day, ok, failed,
         case when ok + failed > 0 then round(ok / (ok + failed)::double, 6) end success_rate
     from (select date_trunc('day', metric_timestamp) metric_timestamp,
-            count(*) filter (where metric_kind = 'valid_batch') ok, sum(failed_batch_count) failed
+            count(*) filter (where metric_kind = 'valid_batch') ok, sum(failed_batch_count)::bigint failed
         from v_metrics group by 1)""",
 )
 def success_rate(t: Tables) -> DataFrame:
@@ -202,7 +202,7 @@ from (select *, case "partition" when 0 then null when 1 then high - 5 else high
 query("consumer_lag", LAG_SQL)(
     lambda t: metrics.consumer_lag(t.committed_offsets, t.watermark_offsets)
 )
-query("total_lag", f"select sum(lag) total_lag from ({LAG_SQL})")(
+query("total_lag", f"select sum(lag)::bigint total_lag from ({LAG_SQL})")(
     lambda t: metrics.total_lag(metrics.consumer_lag(t.committed_offsets, t.watermark_offsets))
 )
 
@@ -285,7 +285,7 @@ def _static(t: Tables) -> dict[str, DataFrame]:
 
 
 SNAPSHOT_SQL = f"""
-select now_ts generated_at, 1440 rate_window_minutes, 4320 latency_window_minutes, th.*,
+select now_ts generated_at, 1440::bigint rate_window_minutes, 4320::bigint latency_window_minutes, th.*,
     round(batches_processed_total / (batches_processed_total + batches_failed_total)::double, 6) success_rate,
     la.*, qu.*,
     (select count(*) from v_routes) routes, (select count(*) from v_stops) stops,
@@ -295,7 +295,7 @@ select now_ts generated_at, 1440 rate_window_minutes, 4320 latency_window_minute
     fr.src latest_source_event_timestamp,
     round(greatest((epoch_us(now_ts) - epoch_us(fr.src)) / 1e6, 0), 6) freshness_seconds,
     case when (epoch_us(now_ts) - epoch_us(fr.src)) / 1e6 <= 60 then 'HEALTHY' else 'STALE' end freshness_status,
-    (select sum(lag) from ({LAG_SQL})) total_lag
+    (select sum(lag)::bigint from ({LAG_SQL})) total_lag
 from v_now, ({THROUGHPUT_SQL.replace('20 days', '30 days')}) th, ({LATENCY_SQL}) la,
     ({QUALITY_SQL.format(days=30)}) qu,
     (select max(latest_source_event_timestamp) src from v_metrics) fr
