@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from railweave.functions.event_json import dead_letters, decode_events, valid_records
 from railweave.functions.gtfs_time import source_time
 from railweave.operators.metrics import batch_metric
+from railweave.operators.scan import HOT_ROWS, Measure, exclusive_scan
 from railweave.schemas import DEAD_LETTER_SCHEMA, METRIC_SCHEMA, POSITION_SCHEMA
 from railweave.sinks.inserts import insert_new
 
@@ -22,6 +23,8 @@ from railweave.sinks.inserts import insert_new
 # assigning them needs no look at the stored table.
 BATCH_IDS = 1 << 32
 
+OFFSET_RUN = 1 << 17
+
 POSITIONS, DEAD_LETTERS, METRICS = "positions", "dead_letters", "metrics"
 # More dates than this in one batch are not worth listing in a filter.
 MAX_PRUNED_DATES = 366
@@ -88,22 +91,29 @@ class StreamTables:
         return 0 if stored is None else stored.filter(F.col("batch_id") == batch_id).count()
 
 
-def numbered(rows: DataFrame, first: int, id_column: str, offset: str = "offset") -> DataFrame:
+def numbered(
+    rows: DataFrame, first: int, id_column: str, offset: str = "offset", sliced: bool = False
+) -> DataFrame:
     """Ids from ``first`` in topic order, the same on every attempt.
 
     Rows are numbered within their source partition and shifted by the sizes of the partitions
-    before it, so no task holds the whole batch.
+    before it. ``sliced`` numbers a large batch in runs of offsets instead of whole partitions;
+    offsets are unique in a partition, so a run holds at most ``OFFSET_RUN`` rows.
     """
     place = ["topic", "partition"]
     sizes = rows.groupBy(*place).agg(F.count("*").alias("_size"))
+    # One row per source partition, so this window is small whatever the batch.
     earlier = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(*place, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_shift"))
-    number = F.row_number().over(Window.partitionBy(*place).orderBy(offset))
+    counted = exclusive_scan(
+        rows.withColumn("_one", F.lit(1).cast("long")), place, offset,
+        [Measure("_before", "sum", "_one")],
+        slice_width=OFFSET_RUN, hot_rows=None, sliced=sliced,
+    )
     return (
-        rows.withColumn("_number", number)
-        .join(shifts, place)
-        .withColumn(id_column, F.lit(first) + F.col("_shift") + F.col("_number") - 1)
-        .drop("_number", "_shift")
+        counted.join(shifts, place)
+        .withColumn(id_column, F.lit(first) + F.col("_shift") + F.coalesce("_before", F.lit(0)))
+        .drop("_one", "_before", "_shift")
     )
 
 
@@ -182,7 +192,9 @@ class BatchWriter:
                 self._stored_positions(spark, records, batch_id), records, ["event_id"],
                 ["topic", "partition", "offset"], batch_rows=arrived.valid,
             )
-            rows = numbered(fresh, batch_id * BATCH_IDS + 1, "id")
+            rows = numbered(
+                fresh, batch_id * BATCH_IDS + 1, "id", sliced=arrived.valid > HOT_ROWS
+            )
             tables.replace_batch(
                 rows.select(*POSITION_SCHEMA.names, FEED_DATE.name), POSITIONS, batch_id
             )
@@ -201,7 +213,10 @@ class BatchWriter:
                 ["topic", "partition", "kafka_offset"], ["kafka_offset"],
                 batch_rows=arrived.rejected,
             )
-            rows = numbered(fresh, batch_id * BATCH_IDS + 1, "dead_letter_id", "kafka_offset")
+            rows = numbered(
+                fresh, batch_id * BATCH_IDS + 1, "dead_letter_id", "kafka_offset",
+                sliced=arrived.rejected > HOT_ROWS,
+            )
             tables.replace_batch(rows.select(*DEAD_LETTER_SCHEMA.names), DEAD_LETTERS, batch_id)
             metrics.append(_metric_row(
                 spark, batch_id, arrived.now, "dead_letter", 1, topic=arrived.topic,

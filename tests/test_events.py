@@ -8,13 +8,13 @@ from datetime import UTC, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from railweave.operators.serving import newest_by_id
 from railweave.functions.event_json import (
     dead_letters,
     decode_events,
     to_event_envelope,
     valid_records,
 )
+from railweave.operators.serving import newest_by_id
 from railweave.schemas import (
     DEAD_LETTER_SCHEMA,
     MESSAGE_SCHEMA,
@@ -23,6 +23,7 @@ from railweave.schemas import (
 )
 from railweave.sinks.inserts import insert_new
 from railweave.sources.events import read_event_files
+from railweave.streaming import ingest
 from railweave.streaming.ingest import BatchWriter, StreamTables, stream_to_tables
 from warehouse import positions
 
@@ -200,6 +201,16 @@ def test_ids_follow_topic_order_and_grow_over_batches(spark, tmp_path):
     assert len({r.id for r in rows}) == 12
 
 
+@pytest.mark.parametrize("sliced", [False, True])
+def test_numbers_are_dense_in_topic_order(spark, monkeypatch, sliced):
+    monkeypatch.setattr(ingest, "OFFSET_RUN", 16)
+    rows = spark.range(300).selectExpr(
+        "'t' topic", "cast(if(id % 3 > 0, 1, id % 7) as int) partition", "id * 5 offset"
+    )
+    found = ingest.numbered(rows, 1000, "id", sliced=sliced).orderBy("partition", "offset").collect()
+    assert [r.id for r in found] == list(range(1000, 1300))
+
+
 def test_newest_positions_skip_older_batches(spark, tmp_path):
     tables = StreamTables(str(tmp_path / "s"))
     write = BatchWriter(tables)
