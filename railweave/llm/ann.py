@@ -9,8 +9,8 @@ A bucket of any size is cut into blocks of about ``BLOCK`` vectors by ``BLOCK``
 vectors in a block are compared once and stand for their smallest ids. A query that finds fewer than ``k`` is
 compared with all vectors, in the same blocks.
 
-Recall at 5, measured against brute force with the default 8 tables and 10 probes: above 0.97 on 51,282 vectors of 64
-dimensions, most of them without any near neighbour (their fifth has a cosine of about 0.45).
+Recall at 5, measured against brute force with the default 12 tables and 12 probes: 0.999 on 51,282 vectors of 64 dimensions,
+most of them without any near neighbour (their fifth has a cosine of about 0.45), and above 0.95 on 500 (about 0.35).
 
 Defined results: vectors that are null, zero, or hold null or non-finite numbers neither ask nor answer. Vectors are
 compared with those of their own length only. Ties go to the smaller id. Rows that repeat an id count as one
@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from railweave.session import materialize
 
-TABLES, PROBES, BLOCK, TASK_ROWS, SEED = 8, 10, 2048, 8192, 20
+TABLES, PROBES, BLOCK, TASK_ROWS, SEED = 12, 12, 2048, 8192, 20
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -111,20 +111,26 @@ def _nearest(k: int):
             vectors, member = np.unique(vectors, axis=0, return_inverse=True)
             ids: list[list[int]] = [[] for _ in vectors]
             for vector_id, m in zip(answers.id_.tolist(), member.ravel().tolist()):
-                if len(ids[m]) <= k:  # one more than asked for, as the query itself does not count
+                # One more than asked for, as the query itself does not count.
+                if len(ids[m]) <= k and ids[m][-1:] != [vector_id]:
                     ids[m].append(vector_id)
             unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
             unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
             questions = np.stack(asking.vector_.to_numpy()).astype(np.float64)
-            # The query may be a candidate itself, and rounding may swap neighbours: take a few more.
-            most = min(len(vectors), k + 3)
+            # The query may be a candidate itself, ids may repeat, and rounding may swap neighbours: take a few more.
+            most = min(len(vectors), k + 3 + len(answers) - answers.id_.nunique())
             for low in range(0, len(questions), 256):
                 rough = (questions[low : low + 256] / np.abs(questions[low : low + 256]).max(axis=1, keepdims=True)) @ unit.T
                 best = np.argpartition(-rough, most - 1, axis=1)[:, :most]
                 for query_id, query, places in zip(asking.id_.tolist()[low : low + 256], questions[low:], best):
                     scores = cosines(query, vectors[places]).tolist()
-                    found = [(-s, i) for s, p in zip(scores, places) for i in ids[p] if i != query_id]
-                    out.extend((query_id, i, -s) for s, i in sorted(found)[:k])
+                    found: dict[int, float] = {}
+                    for score, place in zip(scores, places):
+                        for i in ids[place]:
+                            if i != query_id:
+                                found[i] = max(score, found.get(i, -2.0))
+                    ranked = sorted((-score, i) for i, score in found.items())
+                    out.extend((query_id, i, -score) for score, i in ranked[:k])
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
     return nearest

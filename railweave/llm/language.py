@@ -104,9 +104,10 @@ def fit_text_model(rows: DataFrame, languages: tuple[str, ...], sample: int) ->
             chosen.mapInArrow(_count(languages), "label_ int, bucket_ int, n_ long")
             .groupBy("label_", "bucket_")
             .agg(F.sum("n_").alias("n_"))
-            .toPandas()
+            .toArrow()
         )
-        counts[table.label_.to_numpy(int), table.bucket_.to_numpy(int)] = table.n_.to_numpy(float)
+        label, bucket, n = (table.column(name).to_numpy() for name in ("label_", "bucket_", "n_"))
+        counts[label, bucket] = n
     smooth = counts + 0.5
     return np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
 
