@@ -2,12 +2,13 @@
 
 1. Every whole text becomes its set of shingle hashes, 64 MinHash values and a digest of the set. Equal
    sets form a class; only class representatives go on.
-2. ``trees`` independent trees branch the representatives. A node chooses ``branches`` of the 64 values
-   (from a hash of its path) and deals its members to children by them. A node of at most ``small``
-   members is compared exhaustively, on the MinHash estimates; a larger one is branched again, down to ``depth``.
-   Estimates only sort out pairs: similar pairs are kept down to ``MARGIN`` below the threshold, which is over five
-   standard deviations, and members that are still together at the full depth all stay
-   together. What is kept forms clusters of candidates.
+2. ``TREES`` independent trees branch the representatives. A node chooses ``BRANCHES`` of the 64 values
+   (from a hash of its path) and deals its members to children by them. A node of at most ``SMALL``
+   members is compared exhaustively, on the MinHash estimates. In a larger one every member is compared with its least
+   member. Members like it are tied to it; if the others are few, they are compared with all, else the node is
+   branched again, down to ``DEPTH``. Estimates only sort out pairs: they are kept down to ``MARGIN`` below the
+   threshold, which is over five standard deviations, and members of large nodes that are still together at the full
+   depth all stay together. What is kept forms clusters of candidates.
 3. Candidates are compared on their full sets, blockwise, by counting common shingles. A cluster of any size is dealt out in blocks;
    each block holds the cluster's least member too, so that the links inside blocks join most of the cluster.
    What they leave apart is compared with every block of the cluster, in chunks of bounded size.
@@ -40,6 +41,8 @@ from railweave.session import materialize
 THRESHOLD_PERCENT = 75
 VALUES, TREES, BRANCHES, DEPTH, SMALL = 64, 6, 2, 4, 256
 MARGIN = 0.29
+# A larger node is compared as well if it has at most so many members and pairs to compare.
+WIDE, PAIRS = 16_384, 4_000_000
 #: Members per block, and rows that a task holds at once, about.
 BLOCK, TASK_ROWS = 512, 2048
 
@@ -96,18 +99,22 @@ def _forest(pairs: np.ndarray, n: int) -> Iterator[tuple[int, int]]:
 
 
 def _compare_estimates(least: float):
-    """Spanning candidate links inside every node of a frame (node_, id_, values_)."""
+    """Spanning candidate links inside every node of a frame (node_, first_, id_, values_): members marked ``first_`` are
+    compared with all."""
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         links = []
         for _, node in frame.groupby("node_"):
-            values = np.stack(node.values_.to_numpy())
-            agree = np.zeros((len(node), len(node)), dtype=np.uint8)
-            for column in values.T:
-                agree += column[:, None] == column
-            pairs = np.argwhere(np.triu(agree >= least * values.shape[1], 1))
+            node = node.sort_values(["first_", "id_"], ascending=[False, True])
+            values, marked = np.stack(node.values_.to_numpy()).T.copy(), int(node.first_.sum())
             ids = node.id_.tolist()
-            links.extend((ids[a], ids[b]) for a, b in _forest(pairs, len(ids)))
+            for low in range(0, marked, SMALL):
+                high = min(low + SMALL, marked)
+                agree = np.zeros((high - low, len(node)), dtype=np.uint8)
+                for column in values:
+                    agree += column[low:high, None] == column
+                pairs = np.argwhere(agree >= least * len(values)) + [low, 0]
+                links.extend((ids[a], ids[b]) for a, b in _forest(pairs[pairs[:, 0] < pairs[:, 1]], len(ids)))
         return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
 
     return compare
@@ -170,32 +177,48 @@ def _candidate_links(reps: DataFrame, least: float) -> DataFrame:
         *(F.xxhash64(F.lit(c // BRANCHES), F.lit(c), F.col("values_")[c]) for c in range(TREES * BRANCHES))
     )
     members = reps.select(F.explode(roots).alias("node_"), "id_")
-    links = []
+    compare, links = _compare_estimates(least), []
+
+    def compared(chosen: DataFrame, label: str) -> None:
+        """Compares the members of whole nodes; those marked with all."""
+        chosen = materialize(chosen.select("node_", "first_", "id_"), "path-chosen")
+        rows = chosen.count()
+        if rows:
+            links.append(materialize(_in_tasks(chosen.join(reps, "id_"), F.col("node_"), rows, compare).distinct(), label))
+
     for level in range(1, DEPTH + 1):
         members = materialize(members, "path-members")
         nodes = materialize(
-            members.groupBy("node_").agg(F.count("*").alias("size_"), F.min("id_").alias("first_")).where("size_ > 1"),
+            members.groupBy("node_").agg(F.count("*").alias("size_"), F.min("id_").alias("least_")).where("size_ > 1"),
             "path-nodes",
         )
-        small = members.join(nodes.where(F.col("size_") <= SMALL), "node_").join(reps, "id_")
-        rows = nodes.where(F.col("size_") <= SMALL).agg(F.sum("size_")).first()[0] or 0
-        links.append(
-            materialize(
-                _in_tasks(small.select("node_", "id_", "values_"), F.col("node_"), rows, _compare_estimates(least)).distinct(),
-                "path-links",
-            )
+        small = nodes.where(F.col("size_") <= SMALL)
+        compared(members.join(small, "node_").withColumn("first_", F.lit(True)), "path-links")
+        large = nodes.where(F.col("size_") > SMALL)
+        if large.isEmpty():
+            break
+        heads = large.join(reps.select(F.col("id_").alias("least_"), F.col("values_").alias("head_")), "least_")
+        agree = F.size(F.filter(F.zip_with("values_", "head_", lambda a, b: a == b), lambda same: same))
+        faced = members.join(materialize(heads, "path-heads"), "node_").join(reps, "id_")
+        faced = materialize(
+            faced.select("node_", "id_", "least_", "size_", (agree < least * VALUES).alias("first_")), "path-faced"
         )
-        large = members.join(nodes.where(F.col("size_") > SMALL), "node_")
+        links.append(faced.where("not first_ and id_ <> least_").select(F.col("least_").alias("u"), F.col("id_").alias("v")).distinct())
+        apart = faced.groupBy("node_").agg(F.count_if("first_").alias("apart_"), F.count("*").alias("size_")).where("apart_ > 0")
+        few = (F.col("size_") <= WIDE) & (F.col("size_") * F.col("apart_") <= PAIRS)
+        apart = materialize(apart.select("node_", few.alias("few_")), "path-apart")
+        compared(faced.join(apart.where("few_"), "node_"), "path-links")
+        wide = faced.join(apart.where("not few_"), "node_").select("node_", "id_", "least_")
         if level == DEPTH:
-            links.append(large.where("id_ <> first_").select(F.col("first_").alias("u"), F.col("id_").alias("v")).distinct())
-            break
-        if nodes.where(F.col("size_") > SMALL).isEmpty():
+            links.append(wide.where("id_ <> least_").select(F.col("least_").alias("u"), F.col("id_").alias("v")).distinct())
+        elif wide.isEmpty():
             break
-        chosen = [F.pmod(F.xxhash64("node_", F.lit(i)), F.lit(VALUES)).cast("int") for i in range(BRANCHES)]
-        children = F.array(*(F.xxhash64("node_", c, F.element_at("values_", c + 1)) for c in chosen))
-        members = large.select("node_", "id_").join(reps, "id_").select(F.explode(children).alias("node_"), "id_").distinct()
-    out = links[0]
-    for more in links[1:]:
+        else:
+            chosen = [F.pmod(F.xxhash64("node_", F.lit(i)), F.lit(VALUES)).cast("int") for i in range(BRANCHES)]
+            children = F.array(*(F.xxhash64("node_", c, F.element_at("values_", c + 1)) for c in chosen))
+            members = wide.join(reps, "id_").select(F.explode(children).alias("node_"), "id_").distinct()
+    out = reps.select(F.col("id_").alias("u"), F.col("id_").alias("v")).limit(0)
+    for more in links:
         out = out.unionByName(more)
     return out
 
