@@ -9,11 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railweave.functions.gtfs_time import elapsed_seconds, source_time
-from railweave.operators.serving import newest_by_id
+from railweave.operators.percentiles import exact_percentiles
 
 RATE_WINDOW_MINUTES = 5
 LATENCY_WINDOW_MINUTES = 5
-LATENCY_SCAN_ROWS = 25_000
 MAX_LATENCY_SECONDS = 86_400
 METRICS_RETENTION_DAYS = 30
 STALE_SECONDS = 60.0
@@ -26,7 +25,15 @@ SCHEMA_ERROR_TYPES = ("JSONDecodeError", "UnicodeDecodeError", "TypeError")
 VALIDATION_ERROR_TYPE = "ValueError"
 
 
-def within(df: DataFrame, column: str, start: datetime, end: datetime) -> DataFrame:
+Moment = datetime | Column
+
+
+def before(now: Moment, **span: int) -> Column:
+    """The moment ``span`` (days, minutes, ... as for timedelta) before ``now``, which may be a scalar query."""
+    return F.lit(now) - F.lit(timedelta(**span))
+
+
+def within(df: DataFrame, column: str, start: Moment, end: Moment) -> DataFrame:
     """Rows in a time range, both ends included."""
     return df.filter(F.col(column).between(F.lit(start), F.lit(end)))
 
@@ -36,8 +43,8 @@ def _check_window(*minutes: int) -> None:
         raise ValueError("Metrics windows must be at least one minute")
 
 
-def _retained(df: DataFrame, column: str, now: datetime, days: int) -> DataFrame:
-    return within(df, column, now - timedelta(days=days), now)
+def _retained(df: DataFrame, column: str, now: Moment, days: int) -> DataFrame:
+    return within(df, column, before(now, days=days), now)
 
 
 def minute_rates(metrics: DataFrame) -> DataFrame:
@@ -56,10 +63,10 @@ def peak_minute_rate(metrics: DataFrame) -> DataFrame:
     )
 
 
-def trailing_rate(metrics: DataFrame, now: datetime, minutes: int = RATE_WINDOW_MINUTES) -> DataFrame:
+def trailing_rate(metrics: DataFrame, now: Moment, minutes: int = RATE_WINDOW_MINUTES) -> DataFrame:
     """Events persisted per minute over the trailing window, all kinds of metric rows."""
     _check_window(minutes)
-    recent = within(metrics, "metric_timestamp", now - timedelta(minutes=minutes), now)
+    recent = within(metrics, "metric_timestamp", before(now, minutes=minutes), now)
     return recent.agg(
         F.coalesce(F.sum("events_persisted") / F.lit(float(minutes)), F.lit(0.0)).alias(
             "events_per_minute"
@@ -82,7 +89,7 @@ def success_rate(succeeded: Column, failed: Column) -> Column:
 
 
 def throughput_totals(
-    metrics: DataFrame, now: datetime, rate_minutes: int = RATE_WINDOW_MINUTES,
+    metrics: DataFrame, now: Moment, rate_minutes: int = RATE_WINDOW_MINUTES,
     retention_days: int = METRICS_RETENTION_DAYS,
 ) -> DataFrame:
     """Totals over the retained metric rows, with current and peak rate, as one row.
@@ -100,9 +107,7 @@ def throughput_totals(
         "retry_count_total": "retry_count",
     }
     valid = F.col("metric_kind") == "valid_batch"
-    in_rate = F.col("metric_timestamp").between(
-        F.lit(now - timedelta(minutes=rate_minutes)), F.lit(now)
-    )
+    in_rate = F.col("metric_timestamp").between(before(now, minutes=rate_minutes), F.lit(now))
     per_minute = (
         _retained(metrics, "metric_timestamp", now, retention_days)
         .groupBy(F.date_trunc("minute", "metric_timestamp").alias("minute"))
@@ -124,7 +129,7 @@ def throughput_totals(
     )
 
 
-def valid_latency(now: datetime, max_seconds: int = MAX_LATENCY_SECONDS) -> dict[str, Column]:
+def valid_latency(now: Moment, max_seconds: int = MAX_LATENCY_SECONDS) -> dict[str, Column]:
     """Ingestion latency and event age in seconds; NULL when missing, negative or too large."""
     ingested, feed, source = F.col("ingested_at"), F.col("feed_timestamp"), source_time()
     limit = F.make_dt_interval(secs=F.lit(max_seconds))
@@ -140,29 +145,45 @@ def valid_latency(now: datetime, max_seconds: int = MAX_LATENCY_SECONDS) -> dict
 
 
 def latency_distribution(
-    positions: DataFrame, now: datetime, window_minutes: int = LATENCY_WINDOW_MINUTES,
-    scan_rows: int = LATENCY_SCAN_ROWS,
+    positions: DataFrame, now: Moment, window_minutes: int = LATENCY_WINDOW_MINUTES
 ) -> DataFrame:
-    """Count, mean, percentiles and maximum of both latencies, as one row.
+    """Count, mean, percentiles and maximum of both latencies over the whole window, as one row.
 
-    Only the newest ``scan_rows`` rows are looked at, which bounds the exact percentiles.
+    Percentiles are exact, from counts per microsecond value, however many rows the window holds.
     """
     _check_window(window_minutes)
-    bounded = newest_by_id(
-        positions.select("id", "ingested_at", "feed_timestamp", "vehicle_timestamp"), scan_rows
+    recent = within(positions, "ingested_at", before(now, minutes=window_minutes), now)
+    latencies = valid_latency(now)
+    micros = recent.select(
+        *(F.round(expr * 1_000_000).cast("long").alias(name) for name, expr in latencies.items())
     )
-    recent = within(bounded, "ingested_at", now - timedelta(minutes=window_minutes), now)
-    values = recent.select(*(expr.alias(name) for name, expr in valid_latency(now).items()))
 
-    def numbers(name: str) -> list[Column]:
-        return [
-            F.count(name).alias(f"{name}_count"),
-            F.avg(name).alias(f"{name}_avg"),
-            *(F.percentile(name, p / 100).alias(f"{name}_p{p}") for p in (50, 95, 99)),
-            F.max(name).alias(f"{name}_max"),
-        ]
-
-    return values.agg(*numbers("ingestion_latency"), *numbers("event_age"))
+    def seconds(value: Column) -> Column:
+        return value / 1_000_000
+
+    totals = micros.agg(
+        *(
+            column
+            for name in latencies
+            for column in (
+                F.count(name).alias(f"{name}_count"),
+                seconds(F.avg(name)).alias(f"{name}_avg"),
+                seconds(F.max(name)).alias(f"{name}_max"),
+            )
+        )
+    )
+    percentiles = [
+        exact_percentiles(micros, name, {f"{name}_p{p}": p / 100 for p in (50, 95, 99)})
+        for name in latencies
+    ]
+    every = side_by_side(totals, *percentiles)
+    return every.select(
+        *(
+            seconds(F.col(f"{name}_{what}")).alias(f"{name}_{what}") if what[0] == "p" else f"{name}_{what}"
+            for name in latencies
+            for what in ("count", "avg", "p50", "p95", "p99", "max")
+        )
+    )
 
 
 def is_missing_identifier() -> Column:
@@ -174,7 +195,7 @@ def is_schema_failure() -> Column:
 
 
 def quality_counts(
-    dead_letters: DataFrame, now: datetime, retention_days: int = METRICS_RETENTION_DAYS
+    dead_letters: DataFrame, now: Moment, retention_days: int = METRICS_RETENTION_DAYS
 ) -> DataFrame:
     """Rejected messages in total and by reason."""
     return _retained(dead_letters, "processed_at", now, retention_days).agg(
@@ -270,7 +291,7 @@ def total_lag(lag: DataFrame) -> DataFrame:
     return lag.agg(F.coalesce(F.sum("lag"), F.lit(0)).alias("total_lag"))
 
 
-def with_freshness(df: DataFrame, latest: str, now: datetime, stale_seconds: float = STALE_SECONDS):
+def with_freshness(df: DataFrame, latest: str, now: Moment, stale_seconds: float = STALE_SECONDS):
     """Adds age in seconds (never negative) and HEALTHY, STALE or UNKNOWN."""
     # greatest() skips NULL, so an unknown age must be kept NULL explicitly.
     age = F.when(
@@ -292,7 +313,7 @@ def latest_progress(ledger: DataFrame, metrics: DataFrame, source: str) -> DataF
     )
 
 
-def with_progress_health(df: DataFrame, latest: str, now: datetime,
+def with_progress_health(df: DataFrame, latest: str, now: Moment,
                          max_age: float = PROGRESS_MAX_AGE_SECONDS) -> DataFrame:
     """Healthy while the age is between zero and ``max_age``; unknown or future is unhealthy."""
     age = elapsed_seconds(F.lit(now), F.col(latest))
@@ -344,7 +365,7 @@ def static_counts(load_history: DataFrame | None, tables: dict[str, DataFrame])
 
 def production_snapshot(
     positions: DataFrame, metrics: DataFrame, dead_letters: DataFrame, lag: DataFrame,
-    load_history: DataFrame | None, tables: dict[str, DataFrame], now: datetime,
+    load_history: DataFrame | None, tables: dict[str, DataFrame], now: Moment,
     rate_minutes: int = RATE_WINDOW_MINUTES, latency_minutes: int = LATENCY_WINDOW_MINUTES,
 ) -> DataFrame:
     """Everything an operator looks at, as one row."""

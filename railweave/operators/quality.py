@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railweave.functions.gtfs_time import event_time
@@ -50,22 +50,34 @@ def missing_in_staging(source: DataFrame, staged: DataFrame) -> DataFrame:
     )
 
 
+def has_other_event_time() -> Column:
+    return ~F.col("event_timestamp").eqNullSafe(event_time())
+
+
 def event_time_mismatch(staged: DataFrame) -> DataFrame:
     """Staged rows whose event time is not the preferred one; NULL equals NULL."""
-    return staged.filter(~F.col("event_timestamp").eqNullSafe(event_time())).select("observation_id")
+    return staged.filter(has_other_event_time()).select("observation_id")
 
 
 def duplicate_event_ids(staged: DataFrame) -> DataFrame:
     return unique_violations(staged, "event_id").select(F.col("value").alias("event_id"))
 
 
-def unreasonable_delays(training: DataFrame, limit: int = DELAY_LIMIT_SECONDS) -> DataFrame:
+def has_unreasonable_delay(limit: int = DELAY_LIMIT_SECONDS) -> Column:
     current, target = F.col("current_delay_sec"), F.col("target_delay_4_stops_sec")
-    return training.filter(~current.between(-limit, limit) | ~target.between(-limit, limit))
+    return ~current.between(-limit, limit) | ~target.between(-limit, limit)
+
+
+def unreasonable_delays(training: DataFrame, limit: int = DELAY_LIMIT_SECONDS) -> DataFrame:
+    return training.filter(has_unreasonable_delay(limit))
+
+
+def has_early_target() -> Column:
+    return F.col("target_event_timestamp") <= F.col("prediction_timestamp")
 
 
 def target_not_after_prediction(training: DataFrame) -> DataFrame:
-    return training.filter(F.col("target_event_timestamp") <= F.col("prediction_timestamp"))
+    return training.filter(has_early_target())
 
 
 def label_sequence_mismatch(
@@ -89,6 +101,12 @@ def dq_report(checks: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
+def row_report(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """(check, violations) of conditions on single rows, all in one pass. A NULL condition is no violation."""
+    counted = df.agg(*(F.count_if(condition).alias(name) for name, condition in checks.items()))
+    return counted.unpivot([], list(checks), "check", "violations")
+
+
 def not_null_report(table: str, df: DataFrame, columns: list[str]) -> DataFrame:
     """``not_null_violations`` in the layout of ``dq_report``."""
     check = F.concat(F.lit(f"not_null_{table}_"), F.col("column_name"))

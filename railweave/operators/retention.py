@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 POSITION_DAYS = 14
@@ -12,22 +12,22 @@ METRIC_DAYS = 30
 PAYLOAD_DAYS = 7
 
 
-def expired(df: DataFrame, column: str, now: datetime, days: int) -> DataFrame:
-    return df.filter(F.col(column) < F.lit(now - timedelta(days=days)))
+def expired(df: DataFrame, column: str, now: datetime | Column, days: int) -> DataFrame:
+    return df.filter(F.col(column) < F.lit(now) - F.lit(timedelta(days=days)))
 
 
-def kept(df: DataFrame, column: str, now: datetime, days: int) -> DataFrame:
+def kept(df: DataFrame, column: str, now: datetime | Column, days: int) -> DataFrame:
     """Complement of ``expired``: rows without a time are kept too."""
-    limit = F.lit(now - timedelta(days=days))
+    limit = F.lit(now) - F.lit(timedelta(days=days))
     return df.filter((F.col(column) >= limit) | F.col(column).isNull())
 
 
-def expired_count(df: DataFrame, column: str, now: datetime, days: int) -> DataFrame:
+def expired_count(df: DataFrame, column: str, now: datetime | Column, days: int) -> DataFrame:
     """What a dry run reports."""
     return expired(df, column, now, days).agg(F.count("*").alias("eligible"))
 
 
-def oldest_batch(df: DataFrame, column: str, key: str, now: datetime, days: int, rows: int) -> DataFrame:
+def oldest_batch(df: DataFrame, column: str, key: str, now: datetime | Column, days: int, rows: int) -> DataFrame:
     """The ``rows`` oldest expired rows, the unit of a bounded clean-up."""
     return expired(df, column, now, days).orderBy(column, key).limit(rows)
 

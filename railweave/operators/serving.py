@@ -18,8 +18,6 @@ from railweave.functions.labels import (
     route_marker_color,
 )
 
-RECENT_SCAN_ROWS = 5_000
-CURRENT_VEHICLE_ROWS = 1_000
 RECENT_ACTIVITY_ROWS = 25
 TOP_ROUTE_ROWS = 25
 LEGEND_ROWS = 6
@@ -68,14 +66,8 @@ def with_nonblank_route(df: DataFrame) -> DataFrame:
 
 
 def look_up(rows: DataFrame, dimension: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Left join of a bounded row set to a dimension of any size.
-
-    ``rows`` must come from a limit (at most ``RECENT_SCAN_ROWS`` rows): its keys are broadcast
-    to filter the dimension where it is read, so the dimension is never shuffled.
-    """
-    wanted = rows.select(key).distinct()
-    matching = dimension.select(key, *columns).join(F.broadcast(wanted), key, "left_semi")
-    return rows.join(matching, key, "left")
+    """Left join to a dimension of which only the named columns are read. Spark picks the strategy from the sizes it sees."""
+    return rows.join(dimension.select(key, *columns), key, "left")
 
 
 def latest_per_vehicle(recent: DataFrame) -> DataFrame:
@@ -97,9 +89,17 @@ def latest_per_vehicle(recent: DataFrame) -> DataFrame:
 
 
 def recent_observations(positions: DataFrame, oldest: datetime | Column) -> DataFrame:
-    """Newest rows first bounded by id, then filtered by age."""
-    bounded = newest_by_id(positions, RECENT_SCAN_ROWS).withColumn("event_timestamp", event_time())
-    return at_or_after(bounded, "event_timestamp", oldest)
+    """All rows whose event time is not older than ``oldest``.
+
+    The event time is the first clock that was sent, so the condition is spelled out clock by clock:
+    in that form it reaches the scan as a pushed filter, and skips files by their statistics.
+    """
+    limit = oldest if isinstance(oldest, Column) else F.lit(oldest)
+    vehicle, feed, ingested = (F.col(c) for c in ("vehicle_timestamp", "feed_timestamp", "ingested_at"))
+    recent = (vehicle >= limit) | (
+        vehicle.isNull() & ((feed >= limit) | (feed.isNull() & (ingested >= limit)))
+    )
+    return positions.filter(recent).withColumn("event_timestamp", event_time())
 
 
 VEHICLE_COLUMNS = [
@@ -110,11 +110,11 @@ VEHICLE_COLUMNS = [
 
 def current_vehicles(
     positions: DataFrame, routes: DataFrame, trips: DataFrame, stops: DataFrame,
-    oldest: datetime | Column, route_id: str | None = None,
+    oldest: datetime | Column, route_id: str | None = None, limit: int | None = None,
 ) -> DataFrame:
     """Where each vehicle was last seen, with the names of its route, trip and stop.
 
-    The route filter comes after the newest row is chosen, so a vehicle that changed route does
+    ``limit`` keeps the vehicles seen last; without it all are returned. The route filter comes after the newest row is chosen, so a vehicle that changed route does
     not reappear on the old one.
     """
     recent = recent_observations(positions.select(*VEHICLE_COLUMNS), oldest)
@@ -122,14 +122,12 @@ def current_vehicles(
     named = look_up(latest, routes, "route_id", ["route_short_name", "route_long_name"])
     named = look_up(named, trips, "trip_id", ["trip_headsign"])
     named = look_up(named, stops, "stop_id", ["stop_name"])
-    return (
-        named.orderBy(F.col("event_timestamp").desc(), F.col("id").desc())
-        .limit(CURRENT_VEHICLE_ROWS)
-        .select(
-            "event_timestamp", "vehicle_id", "vehicle_label", "entity_id", "trip_id",
-            "trip_headsign", "route_id", "route_short_name", "route_long_name", "stop_id",
-            "stop_name", "current_status", "ingested_at", "latitude", "longitude",
-        )
+    if limit is not None:
+        named = named.orderBy(F.col("event_timestamp").desc(), F.col("id").desc()).limit(limit)
+    return named.select(
+        "event_timestamp", "vehicle_id", "vehicle_label", "entity_id", "trip_id",
+        "trip_headsign", "route_id", "route_short_name", "route_long_name", "stop_id",
+        "stop_name", "current_status", "ingested_at", "latitude", "longitude",
     )
 
 
@@ -173,7 +171,7 @@ def recent_events(
     )
 
 
-def route_summary(routes: DataFrame, trips: DataFrame) -> DataFrame:
+def route_summary(routes: DataFrame, trips: DataFrame, rows: int = TOP_ROUTE_ROWS) -> DataFrame:
     """Names with the most distinct trips. Routes that share both names count as one."""
     names = ["route_short_name", "route_long_name"]
     # Inner join: AQE can split a route with very many trips, which it may not on the outer side.
@@ -194,7 +192,7 @@ def route_summary(routes: DataFrame, trips: DataFrame) -> DataFrame:
             F.col("route_short_name").asc_nulls_last(),
             F.col("route_long_name").asc_nulls_last(),
         )
-        .limit(TOP_ROUTE_ROWS)
+        .limit(rows)
     )
 
 

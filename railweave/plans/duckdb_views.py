@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from railweave.functions.labels import FAMILY_COLORS, KNOWN_ALPHA, ROUTE_PALETTE, UNKNOWN_COLOR
+
 VIEWS: dict[str, str] = {}
 
 VIEWS["v_routes"] = """
@@ -87,6 +89,8 @@ select 'evt-' || id as key,
         when 5 then encode(replace(js, '+00:00"', '"'))
         when 6 then encode(replace(js, '"ingested_at":"', '"ingested_at":"soon '))
         when 7 then null
+        when 8 then encode('{"source":"earlier",' || js[2:])
+        when 9 then encode('{"noise":NaN,' || js[2:])
         else encode(js) end as value,
     'vehicle_positions' topic, id % 3 as "partition", id // 3 as "offset", ingested_at
 from (
@@ -131,7 +135,7 @@ from (
                 or trim(json_extract_string(txt, '$.entity_id')) = '' then 'entity_id' end,
             case when coalesce(json_type(txt, '$.source') <> 'VARCHAR', true)
                 or trim(json_extract_string(txt, '$.source')) = '' then 'source' end) end missing
-        from (select *, try(decode(value)) txt from v_messages)))
+        from (select *, replace(try(decode(value)), '"noise":NaN', '"noise":null') txt from v_messages)))
 """
 
 VIEWS["v_metrics"] = """
@@ -192,8 +196,12 @@ select trip_id, stop_id scheduled_stop_id, cast(stop_sequence as bigint) stop_se
         scheduled_travel_time_to_next_stop_sec
 from (
     select *,
-        list_sum(list_transform([3600, 60, 1], lambda w, i: w * cast(split_part(arrival_time, ':', cast(i as bigint)) as bigint)))::bigint a,
-        list_sum(list_transform([3600, 60, 1], lambda w, i: w * cast(split_part(departure_time, ':', cast(i as bigint)) as bigint)))::bigint d
+        cast(split_part(arrival_time, ':', 1) as bigint) * 3600
+            + cast(split_part(arrival_time, ':', 2) as bigint) * 60
+            + cast(split_part(arrival_time, ':', 3) as bigint) a,
+        cast(split_part(departure_time, ':', 1) as bigint) * 3600
+            + cast(split_part(departure_time, ':', 2) as bigint) * 60
+            + cast(split_part(departure_time, ':', 3) as bigint) d
     from v_stop_times)
 """
 
@@ -264,7 +272,7 @@ from v_features where has_target_delay_4_stops
 
 VIEWS["v_recent"] = """
 select *, coalesce(vehicle_timestamp, feed_timestamp, ingested_at) event_timestamp
-from v_positions order by id desc limit 5000
+from v_positions
 """
 
 VIEWS["v_latest"] = """
@@ -282,7 +290,6 @@ select l.event_timestamp, l.vehicle_id, l.vehicle_label, l.entity_id, l.trip_id,
     l.ingested_at, l.latitude, l.longitude
 from v_latest l left join v_routes r on r.route_id = l.route_id
 left join v_trips t on t.trip_id = l.trip_id left join v_stops s on s.stop_id = l.stop_id
-order by l.event_timestamp desc, l.id desc limit 1000
 """
 
 
@@ -318,13 +325,6 @@ STATUS_LABEL = f"""case {_informative('current_status')} when 'Unknown' then 'Un
         array_to_string(list_transform(string_split(replace(trim(current_status), '_', ' '), ' '),
             lambda w: upper(w[1]) || lower(w[2:])), ' ') end"""
 
-COLOR = {
-    "red": "218,41,28,220", "orange": "237,139,0,220", "blue": "0,61,165,220",
-    "green": "0,132,61,220", "silver": "124,135,142,220", "rail": "128,0,128,220",
-    "ferry": "0,142,170,220", "bus": "255,199,44,220",
-}
-
-
 def route_color(column: str) -> str:
     """SQL for the marker colour as "r,g,b,a"; the checksum is a bitwise CRC-32."""
     key = _informative(column)
@@ -334,20 +334,21 @@ def route_color(column: str) -> str:
         " lambda x, unused: xor(x >> 1, 3988292384::bigint * (x & 1))), 4294967295::bigint),"
         " 4294967295::bigint)"
     )
-    palette = (
-        "['230,57,70,220', '42,157,143,220', '244,162,97,220', '69,123,157,220',"
-        " '239,71,111,220', '118,104,175,220', '38,166,154,220', '241,143,1,220']"
-    )
+    def color(rgb: tuple[int, ...]) -> str:
+        return "'" + ",".join(map(str, (*rgb, KNOWN_ALPHA))) + "'"
+
+    palette = f"[{', '.join(map(color, ROUTE_PALETTE))}]"
+    family = {name: color(rgb) for name, rgb in FAMILY_COLORS.items()}
     upper = f"upper({key})"
-    return f"""case when {key} = 'Unknown' then '120,120,120,210'
-        when {upper} like 'RED%' or {upper} like 'MATTAPAN%' then '{COLOR["red"]}'
-        when {upper} like 'ORANGE%' then '{COLOR["orange"]}'
-        when {upper} like 'BLUE%' then '{COLOR["blue"]}'
-        when {upper} like 'GREEN%' then '{COLOR["green"]}'
-        when {upper} like 'SL%' then '{COLOR["silver"]}'
-        when {upper} like 'CR-%' then '{COLOR["rail"]}'
-        when {upper} like '%FERRY%' or {upper} like 'BOAT%' then '{COLOR["ferry"]}'
-        when regexp_matches({upper}, '^[0-9]') then '{COLOR["bus"]}'
+    return f"""case when {key} = 'Unknown' then '{",".join(map(str, UNKNOWN_COLOR))}'
+        when {upper} like 'RED%' or {upper} like 'MATTAPAN%' then {family["RED"]}
+        when {upper} like 'ORANGE%' then {family["ORANGE"]}
+        when {upper} like 'BLUE%' then {family["BLUE"]}
+        when {upper} like 'GREEN%' then {family["GREEN"]}
+        when {upper} like 'SL%' then {family["SILVER"]}
+        when {upper} like 'CR-%' then {family["COMMUTER_RAIL"]}
+        when {upper} like '%FERRY%' or {upper} like 'BOAT%' then {family["FERRY"]}
+        when regexp_matches({upper}, '^[0-9]') then {family["BUS"]}
         else ({palette})[{crc} % 8 + 1] end"""
 
 

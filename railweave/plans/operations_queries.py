@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +30,7 @@ query(
     " where metric_timestamp between now_ts - interval 20 days and now_ts",
 )(
     lambda t: metrics.within(
-        t.metrics, "metric_timestamp", now_of(t) - timedelta(days=RETENTION_DAYS), now_of(t)
+        t.metrics, "metric_timestamp", metrics.before(now_of(t), days=RETENTION_DAYS), now_of(t)
     ).withColumn("now_ts", F.lit(now_of(t)))
 )
 
@@ -94,8 +92,7 @@ from (
             then epoch_us(ingested_at - feed_timestamp) / 1e6 end l,
         case when src <= now_ts and src >= now_ts - interval 86400 seconds
             then (epoch_us(now_ts) - epoch_us(src)) / 1e6 end a
-    from (select *, coalesce(vehicle_timestamp, feed_timestamp) src from v_positions
-        order by id desc limit 25000), v_now
+    from (select *, coalesce(vehicle_timestamp, feed_timestamp) src from v_positions), v_now
     where ingested_at between now_ts - interval 4320 minutes and now_ts)
 """
 query("latency_distribution", LATENCY_SQL)(
@@ -222,7 +219,7 @@ def freshness_status(t: Tables) -> DataFrame:
     """Judged two days before the newest event, so that every status and the clamp occur."""
     return metrics.with_freshness(
         t.metrics.select("metric_id", "latest_source_event_timestamp"),
-        "latest_source_event_timestamp", now_of(t) - timedelta(days=2), 86_400.0,
+        "latest_source_event_timestamp", metrics.before(now_of(t), days=2), 86_400.0,
     ).select("metric_id", "freshness_seconds", "freshness_status")
 
 
@@ -237,7 +234,7 @@ def freshness_status(t: Tables) -> DataFrame:
 def progress_probe(t: Tables) -> DataFrame:
     return metrics.with_progress_health(
         t.metrics.select("metric_id", "latest_ingestion_timestamp"),
-        "latest_ingestion_timestamp", now_of(t) - timedelta(days=2), 86_400,
+        "latest_ingestion_timestamp", metrics.before(now_of(t), days=2), 86_400,
     ).select("metric_id", "age_seconds", "healthy")
 
 
@@ -369,6 +366,6 @@ query(
     " order by id desc limit 25000",
 )(
     lambda t: newest_by_id(
-        t.positions.select("id", source_time().alias("source_time")), metrics.LATENCY_SCAN_ROWS
+        t.positions.select("id", source_time().alias("source_time")), 25_000
     )
 )

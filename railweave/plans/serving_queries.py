@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railweave.functions.gtfs_time import event_time, iso_text
@@ -36,13 +36,13 @@ MAX_AGE_SECONDS = 12 * 3600
 ROUTE = "7"
 
 
-def now_of(t: Tables) -> datetime:
-    """Newest ingestion time, which stands for the wall clock."""
-    return t.positions.agg(F.max("ingested_at").alias("now")).first().now
+def now_of(t: Tables) -> Column:
+    """Newest ingestion time, which stands for the wall clock, as a scalar query."""
+    return t.positions.agg(F.max("ingested_at").alias("now")).scalar()
 
 
-def _oldest(t: Tables) -> datetime:
-    return now_of(t) - timedelta(seconds=MAX_AGE_SECONDS)
+def _oldest(t: Tables) -> Column:
+    return now_of(t) - F.lit(timedelta(seconds=MAX_AGE_SECONDS))
 
 
 def _vehicles(t: Tables, route_id: str | None = None) -> DataFrame:
@@ -50,7 +50,7 @@ def _vehicles(t: Tables, route_id: str | None = None) -> DataFrame:
 
 
 query("bounded_recent", "select * from v_positions order by id desc limit 5000")(
-    lambda t: serving.newest_by_id(t.positions, serving.RECENT_SCAN_ROWS)
+    lambda t: serving.newest_by_id(t.positions, 5000)
 )
 query(
     "freshness_cutoff",
@@ -98,8 +98,13 @@ where p.route_id is not null and trim(p.route_id) <> ''
 query("route_options", ROUTE_OPTIONS_SQL)(
     lambda t: serving.route_options(t.positions, t.routes, _oldest(t))
 )
-query("distinct_routes", ROUTE_OPTIONS_SQL)(
-    lambda t: serving.route_options(t.positions, t.routes, _oldest(t))
+query(
+    "distinct_routes",
+    """select distinct route_id from v_recent, v_now
+    where event_timestamp >= now_ts - interval 12 hours and trim(coalesce(route_id, '')) <> ''""",
+)(
+    lambda t: serving.with_nonblank_route(serving.recent_observations(t.positions, _oldest(t)))
+    .select("route_id").distinct()
 )
 query(
     "route_option_labels",
@@ -132,7 +137,9 @@ group by 1, 2
 order by trips desc, route_short_name nulls last, route_long_name nulls last limit 25
 """
 query("route_summary", ROUTE_SUMMARY_SQL)(lambda t: serving.route_summary(t.routes, t.trips))
-query("top_routes", ROUTE_SUMMARY_SQL)(lambda t: serving.route_summary(t.routes, t.trips))
+query("top_routes", ROUTE_SUMMARY_SQL.replace("limit 25", "limit 5"))(
+    lambda t: serving.route_summary(t.routes, t.trips, rows=5)
+)
 query(
     "static_summary",
     """select (select count(*) from v_routes) routes, (select count(*) from v_stops) stops,
