@@ -19,7 +19,6 @@ MISSING_FIELDS = "Missing or invalid required event fields: "
 BAD_INGESTED_AT = "ingested_at must be a valid ISO-8601 timestamp"
 NAIVE_INGESTED_AT = "ingested_at must include a timezone"
 BAD_TIMESTAMP = "Invalid isoformat string: "
-REASON_LENGTH = 2_000
 
 # The form nearly all times have; Spark's own cast reads it.
 USUAL_ISO_PATTERN = (
@@ -90,6 +89,22 @@ def _text(name: str) -> Column:
     return F.when(_kind(name) == "STRING", F.col(f"text_{name}"))
 
 
+# A JSON string, or what lies between two of them; and the numbers that only some writers emit.
+_STRING_OR_REST = r'"(?:[^"\\]|\\.)*+"|[^"]+'
+_NOT_FINITE = r"(?<![\w.])-?(?:NaN|Infinity)(?![\w.])"
+
+
+def with_finite_numbers(text: Column) -> Column:
+    """The text with ``NaN`` and infinities outside of strings replaced by another number, so that strict
+    parsers take it. Their values are read from the text itself."""
+    def finite(part: Column) -> Column:
+        return F.when(part.startswith('"'), part).otherwise(F.regexp_replace(part, _NOT_FINITE, "0.5"))
+
+    parts = F.regexp_extract_all(text, F.lit(_STRING_OR_REST), 0)
+    odd = text.contains("NaN") | text.contains("Infinity")
+    return F.when(odd, F.array_join(F.transform(parts, finite), "")).otherwise(text)
+
+
 def is_one_json_value(text: Column) -> Column:
     """Whether the whole text is a single JSON value.
 
@@ -106,11 +121,12 @@ def _opened(messages: DataFrame) -> DataFrame:
     names = [field.name for field in EVENT_FIELDS]
     kinds, texts = (", ".join(f"{name} {kind}" for name in names) for kind in ("VARIANT", "STRING"))
     parsed = messages.withColumn("text", F.try_validate_utf8(F.col("value").cast("string")))
+    parsed = parsed.withColumn("finite", with_finite_numbers(F.col("text")))
     return parsed.withColumns(
         {
-            "is_json": is_one_json_value(F.col("text")),
+            "is_json": is_one_json_value(F.col("finite")),
             "is_object": F.col("text").rlike(r"^[ \t\r\n]*\{"),
-            "kinds": F.from_json("text", kinds),
+            "kinds": F.from_json("finite", kinds),
             "texts": F.from_json("text", texts),
         }
     ).select(
@@ -136,7 +152,9 @@ def _typed(field: T.StructField) -> Column:
         number, target = kind == "BIGINT", "int"
     else:
         number, target = kind.startswith("DECIMAL") | kind.isin("BIGINT", "DOUBLE", "FLOAT"), "double"
-    return F.coalesce(value, F.when(number, F.col(f"text_{name}"))).try_cast(target)
+    # The reader puts numbers that are not finite in quotes.
+    text = F.btrim(F.col(f"text_{name}"), F.lit('"'))
+    return F.coalesce(value, F.when(number, text)).try_cast(target)
 
 
 def _verdict() -> Column:
@@ -171,9 +189,9 @@ def _verdict() -> Column:
 def decode_events(messages: DataFrame) -> DataFrame:
     """Adds ``record`` (typed event) or ``error_type`` and ``error_reason`` to every message.
 
-    Row-wise and without Python, so it runs the same on a batch and on a stream. Two inputs are
-    judged differently from a permissive JSON reader: ``NaN`` and repeated names in one object
-    count as invalid JSON.
+    Row-wise and without Python, so it runs the same on a batch and on a stream. As permissive readers
+    do, it takes ``NaN`` and infinities for numbers and the last of repeated names; the latter needs
+    ``spark.sql.variant.allowDuplicateKeys``, which ``build_session`` sets.
     """
     times = [f.name for f in EVENT_FIELDS if isinstance(f.dataType, T.TimestampType)]
     judged = (
@@ -186,7 +204,7 @@ def decode_events(messages: DataFrame) -> DataFrame:
     decoded = F.struct(
         F.when(F.col("verdict").isNull(), record).alias("record"),
         F.col("verdict.type").alias("error_type"),
-        F.substring(F.col("verdict.reason"), 1, REASON_LENGTH).alias("error_reason"),
+        F.col("verdict.reason").alias("error_reason"),
         *(
             F.when(is_event, F.nullif(_text(name), F.lit(""))).alias(f"context_{name}")
             for name in ("event_id", "vehicle_id", "trip_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,10 +20,9 @@ from railweave.operators.features import (
     delay_features,
     training_projection,
 )
+from railweave.operators.metrics import static_counts
 from railweave.operators.staging import stg_stop_times
 from railweave.plans.registry import query
-from railweave.plans.serving_queries import now_of
-from railweave.schemas import DEAD_LETTER_SCHEMA, METRIC_SCHEMA, POSITION_SCHEMA
 from railweave.session import materialize, shared_dir
 from railweave.sinks.archive import archive_jsonl, retention_run, store_dated
 from railweave.sinks.inserts import insert_new
@@ -31,16 +31,27 @@ from railweave.sinks.mart import append_staging, refresh_training
 from railweave.sinks.published import load_history, read_published
 from railweave.sinks.static_snapshot import activate_snapshot, load_manifest
 from railweave.sources.events import read_archived_rows, read_event_files
-from railweave.sources.payloads import store_payloads
+from railweave.sources.payloads import (
+    archive_expired_payloads,
+    archived_payloads,
+    latest_snapshot,
+    scan_payloads,
+    store_payloads,
+)
 from railweave.sources.realtime_feed import flatten_feed
 from railweave.sources.shaped import Tables
 from railweave.sources.static_feed import read_feed, validate_feed
 from railweave.streaming.ingest import (
-    StreamTables,
     stream_dedupe,
     stream_minute_rates,
     stream_to_tables,
 )
+from railweave.streaming.tables import StreamTables, stream_retention
+
+
+def _now_value(t: Tables) -> datetime:
+    """``now_of`` as a value, for jobs that write."""
+    return t.positions.agg(F.max("ingested_at").alias("now")).first().now
 
 
 def _folder(t: Tables, label: str) -> str:
@@ -162,7 +173,7 @@ def direct_ingest(t: Tables) -> DataFrame:
     ledger = _folder(t, "ledger")
     record_ingestion(
         t.spark, ledger, source="events", file_name="feed.pb", checksum="", raw_path="events",
-        record_count=stored.count() + again.count(), at=now_of(t),
+        record_count=stored.count() + again.count(), at=_now_value(t),
     )
     return read_ledger(t.spark, ledger).select(
         F.lit(stored.count()).alias("inserted_rows"), F.col("record_count").alias("ledger_rows")
@@ -234,21 +245,19 @@ def dead_letter_replay(t: Tables) -> DataFrame:
 # Streams
 
 
-def _message_files(t: Tables, copies: int) -> str:
+def _message_files(t: Tables, copies: int, messages: DataFrame | None = None) -> str:
     """Messages as files, the whole set ``copies`` times over, as after a replayed topic."""
     path = _folder(t, "topic")
-    messages = materialize(t.messages, "messages")
+    messages = materialize(t.messages if messages is None else messages, "messages")
     for _ in range(copies):
         messages.repartitionByRange(8, "partition", "offset").write.mode("append").parquet(path)
     return path
 
 
-def _run(t: Tables, copies: int = 2, **options) -> StreamTables:
+def _run(t: Tables, copies: int = 2, messages: DataFrame | None = None, **options) -> StreamTables:
     root = _folder(t, "stream")
-    messages = read_event_files(t.spark, _message_files(t, copies), files_per_batch=8)
-    stream_to_tables(
-        messages, root, _folder(t, "checkpoint"), available_now=True, **options
-    ).awaitTermination()
+    source = read_event_files(t.spark, _message_files(t, copies, messages), files_per_batch=8)
+    stream_to_tables(source, root, _folder(t, "checkpoint"), available_now=True, **options).awaitTermination()
     return StreamTables(root)
 
 
@@ -259,18 +268,43 @@ def _run(t: Tables, copies: int = 2, **options) -> StreamTables:
 )
 def stream_to_table(t: Tables) -> DataFrame:
     """The stored table after the stream has seen every message twice."""
-    return _run(t).read(t.spark, "positions", POSITION_SCHEMA).select(
+    return _run(t).read(t.spark, "positions").select(
         "event_id", "vehicle_id", "trip_id", "ingested_at", "feed_timestamp", "latitude", "speed"
     )
 
 
+def _identified(t: Tables) -> DataFrame:
+    """Messages whose ids are made from their records, and each seventh once more on another feed date."""
+    key = build_event_id(*map(F.col, ("source", "entity_id", "vehicle_id", "feed_timestamp")))
+    own = t.positions.withColumn("event_id", key)
+    moved = own.filter("id % 7 = 0").withColumns(
+        {
+            "feed_timestamp": F.col("ingested_at") + F.expr("interval 3 days"),
+            "id": F.col("id") + 1_000_000_000,
+        }
+    )
+    rows = own.unionByName(moved)
+    sent = to_event_envelope(rows.withColumn("event_id", F.concat_ws(":", "event_id", "id")))
+    # The place in the topic travels in the key: repeats come after the first of their id.
+    return sent.select(
+        F.split("key", ":")[0].alias("key"),
+        F.encode(F.regexp_replace("value", '("event_id":"[0-9a-f]+):[0-9]+"', '$1"'), "UTF-8").alias("value"),
+        F.lit("vehicle_positions").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.split("key", ":")[1].cast("long").alias("offset"),
+        F.current_timestamp().alias("timestamp"),
+    )
+
+
 @query(
     "stream_to_table_by_feed_date",
-    "select key event_id from v_decoded where error_type is null",
+    """select distinct entity_id, vehicle_id, feed_timestamp from v_positions
+    where trim(coalesce(vehicle_id, '')) <> ''""",
 )
 def stream_to_table_by_feed_date(t: Tables) -> DataFrame:
-    """The same, looking for known ids only on the feed dates of each batch."""
-    return _run(t, ids_name_feed_time=True).read(t.spark, "positions", POSITION_SCHEMA).select("event_id")
+    """Ids made from their records are looked up by date; those that repeat on another date are still found."""
+    stored = _run(t, messages=_identified(t), compact_every=2).read(t.spark, "positions")
+    return stored.select("entity_id", "vehicle_id", "feed_timestamp")
 
 
 @query(
@@ -286,9 +320,9 @@ def stream_to_table_by_feed_date(t: Tables) -> DataFrame:
 def ingest_totals(t: Tables) -> DataFrame:
     """What the metric rows add up to, next to what the tables hold, after a full replay."""
     tables = _run(t)
-    letters = tables.read(t.spark, "dead_letters", DEAD_LETTER_SCHEMA)
-    stored = tables.read(t.spark, "positions", POSITION_SCHEMA)
-    totals = tables.read(t.spark, "metrics", METRIC_SCHEMA).agg(
+    letters = tables.read(t.spark, "dead_letters")
+    stored = tables.read(t.spark, "positions")
+    totals = tables.read(t.spark, "metrics").agg(
         *(F.sum(c).alias(c) for c in (
             "events_received", "events_persisted", "dead_letter_events", "duplicate_events",
             "error_count"))
@@ -425,6 +459,20 @@ def manifest(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "static_counts_of_manifest",
+    """select (select count(*) from v_routes) routes, (select count(*) from v_stops) stops,
+        (select count(*) from v_trips) trips, (select count(*) from v_stop_times) stop_times,
+        null::bigint calendar, (select count(distinct start_date) from v_positions) calendar_dates,
+        'load_manifest' static_count_source""",
+)
+def static_counts_of_manifest(t: Tables) -> DataFrame:
+    """Counts that the newest load wrote down, without reading its tables."""
+    root = _folder(t, "static")
+    activate_snapshot(t.spark, _feed_tables(t), root, "first", "archive/first")
+    return static_counts(load_history(t.spark, root), {})
+
+
 # Archive and retention
 
 
@@ -451,23 +499,25 @@ def archive_round_trip(t: Tables) -> DataFrame:
 
 @query(
     "retention_job",
-    """select 'positions' table_name, id, ingested_at as "at" from v_positions, v_now
-        where ingested_at >= now_ts - interval 14 days
+    """select 'positions' table_name, id, "at" from (
+        select id, case when id % 501 <> 0 then ingested_at end "at", now_ts from v_positions, v_now)
+        where "at" >= now_ts - interval 14 days or "at" is null
     union all select 'dead_letters', dead_letter_id, processed_at from v_dead_letters, v_now
         where processed_at >= now_ts - interval 30 days
     union all select 'metrics', metric_id, metric_timestamp from v_metrics, v_now
         where metric_timestamp >= now_ts - interval 30 days""",
 )
 def retention_job(t: Tables) -> DataFrame:
-    """Rows that survive one clean-up of the three tables."""
+    """Rows that survive one clean-up of the three tables; those without a time do."""
     root = _folder(t, "tables")
     keys = {
         "positions": ("id", "ingested_at"), "dead_letters": ("dead_letter_id", "processed_at"),
         "metrics": ("metric_id", "metric_timestamp"),
     }
+    timed = t.positions.withColumn("ingested_at", F.expr("if(id % 501 <> 0, ingested_at, null)"))
     for name, (_, column) in keys.items():
-        store_dated(getattr(t, name), root, name, column)
-    retention_run(t.spark, root, _folder(t, "archive"), now_of(t))
+        store_dated(timed if name == "positions" else getattr(t, name), root, name, column)
+    retention_run(t.spark, root, _folder(t, "archive"), _now_value(t))
     left = [
         read_published(t.spark, root, name).select(
             F.lit(name).alias("table_name"), F.col(key).alias("id"), F.col(column).alias("at")
@@ -477,6 +527,69 @@ def retention_job(t: Tables) -> DataFrame:
     return left[0].unionByName(left[1]).unionByName(left[2])
 
 
+@query(
+    "stream_retention",
+    """select count(*) filter (where p.ingested_at >= now_ts - interval 14 days) left_rows,
+        count(*) filter (where p.ingested_at < now_ts - interval 14 days) archived_rows
+    from v_decoded d join v_positions p on d.key = 'evt-' || p.id, v_now where error_type is null""",
+)
+def stream_retention_of(t: Tables) -> DataFrame:
+    """Positions that survive a clean-up of what the stream wrote, and what its archive holds."""
+    tables, archive = _run(t, copies=1), _folder(t, "archive")
+    stream_retention(t.spark, tables, archive, _now_value(t), before=1 << 30)
+    left = tables.read(t.spark, "positions").agg(F.count("*").alias("left_rows"))
+    return left.withColumn("archived_rows", t.spark.read.text(f"{archive}/positions/*").agg(F.count("*")).scalar())
+
+
+# Payload files
+
+
+def _payload_files(t: Tables) -> str:
+    """Message bodies as files below one folder per day."""
+    folder = _folder(t, "raw")
+    bodies = t.messages.filter("value is not null").select(
+        F.hex("value").alias("value"), F.to_date("timestamp").alias("day")
+    )
+    bodies.hint("rebalance", "day").write.partitionBy("day").text(folder)
+    return folder
+
+
+@query(
+    "raw_payload_scan",
+    """select cast(ingested_at as date) as day, count(*) payloads, true whole, true checked
+    from v_messages where value is not null group by 1""",
+)
+def raw_payload_scan(t: Tables) -> DataFrame:
+    """Files read whole: the bodies in them per day, and whether sizes and checksums are those of the bytes."""
+    files = scan_payloads(t.spark, _payload_files(t), "*.txt")
+    lines = F.size(F.split(F.col("content").cast("string"), "\n")) - 1
+    day = F.regexp_extract("path", r"day=(\d{4}-\d{2}-\d{2})/", 1).cast("date")
+    return files.groupBy(day.alias("day")).agg(
+        F.sum(lines).alias("payloads"),
+        F.bool_and(F.col("length") == F.octet_length("content")).alias("whole"),
+        F.bool_and(F.col("checksum_sha256") == F.sha2("content", 256)).alias("checked"),
+    )
+
+
+@query("latest_snapshot", "select max(cast(ingested_at as date)) as day from v_messages where value is not null")
+def latest_snapshot_of(t: Tables) -> DataFrame:
+    path = latest_snapshot(t.spark, _payload_files(t), "*.txt")
+    day = F.regexp_extract(F.lit(path), r"day=(\d{4}-\d{2}-\d{2})/", 1).cast("date")
+    return t.spark.range(1).select(day.alias("day"))
+
+
+@query(
+    "payload_retention",
+    "select count(*) archived from v_messages where value is not null",
+)
+def payload_retention(t: Tables) -> DataFrame:
+    """What the archive holds after two runs over the same expired files."""
+    raw, archive = _payload_files(t), _folder(t, "archive")
+    later = datetime.now(UTC) + timedelta(days=30)
+    for _ in range(2):
+        archive_expired_payloads(t.spark, raw, archive, later, pattern="*.txt")
+    content = archived_payloads(t.spark, archive).select(F.col("content").cast("string").alias("content"))
+    return content.agg(F.sum(F.size(F.split("content", "\n")) - 1).alias("archived"))
 
 
 # Stored marts

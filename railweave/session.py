@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_workspace: dict[str, str] = {}
+_chosen: dict[str, str] = {}
 _written: list[str] = []
 
 
@@ -19,6 +18,7 @@ def build_session(app: str = "railweave", master: str | None = None, **conf: str
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
     )
     if master:
         builder = builder.master(master)
@@ -27,20 +27,41 @@ def build_session(app: str = "railweave", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def use_shared_dir(path: str) -> None:
+    """The folder to use where ``spark.checkpoint.dir`` is unset, for local sessions such as tests."""
+    _chosen["path"] = path
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``).
+    """The shared folder: ``spark.checkpoint.dir``, or on a local master what ``use_shared_dir`` named.
 
-    Without that setting only a local master may fall back to a temporary folder: on a cluster
-    a machine-local path would be lost with its machine.
+    Intermediate tables outlive the executors that wrote them, so the folder is never guessed.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("Set spark.checkpoint.dir to a folder every executor can reach")
-    if "path" not in _local_workspace:
-        _local_workspace["path"] = tempfile.mkdtemp(prefix="railweave-")
-    return _local_workspace["path"]
+    if not configured and spark.conf.get("spark.master", "").startswith("local"):
+        configured = _chosen.get("path")
+    if not configured:
+        raise RuntimeError("Set spark.checkpoint.dir to a folder that the driver and every executor can reach")
+    return configured.rstrip("/")
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path``, and the function that makes its paths."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    system, make = file_system(spark, path)
+    system.delete(make(path), True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``, in order; none if it does not exist."""
+    system, make = file_system(spark, path)
+    if not system.exists(make(path)):
+        return []
+    return sorted(entry.getPath().getName() for entry in system.listStatus(make(path)) if entry.isDirectory())
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -61,10 +82,7 @@ def release(spark: SparkSession) -> int:
 
     For the end of a job, when its results are stored: frames built on them cannot be read after.
     """
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    configuration = spark.sparkContext._jsc.hadoopConfiguration()
     count = len(_written)
     while _written:
-        path = hadoop.Path(_written.pop())
-        path.getFileSystem(configuration).delete(path, True)
+        delete_folder(spark, _written.pop())
     return count

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railweave.operators.retention import METRIC_DAYS, POSITION_DAYS, expired, kept
-from railweave.sinks.published import current_version, publish, read_entries, write_parts
+from railweave.sinks.published import clean_up, current_version, publish, read_entries, write_parts
 from railweave.sources.events import ARCHIVE_TIME_FORMAT
 
 
@@ -62,7 +62,8 @@ def enforce_retention(
 
     Only the dates at or before the cutoff are read and only the cutoff's own date is rewritten.
     Removal is the publication of a manifest without the expired folders, so it happens after
-    the archive has been read back and never in part.
+    the archive has been read back and never in part; then the folders are deleted. Rows without a
+    time are kept.
     """
     cutoff = now - timedelta(days=days)
     _, entries = current_version(spark, root)
@@ -86,6 +87,7 @@ def enforce_retention(
     if boundary is not None:
         rewritten = write_parts(kept(boundary, column, now, days), root, name, "_date")
     publish(spark, root, [e for e in entries if e not in reached] + rewritten)
+    clean_up(spark, root)
     return removed
 
 

@@ -1,8 +1,11 @@
 """Tables replaced as a whole by publishing a manifest.
 
-Data goes to new folders first. A version becomes visible when its manifest, one small JSON file,
-is committed; readers take the highest version, so they see all of a change or none of it and
-keep the previous version when a writer fails. One writer per root at a time is assumed.
+Data goes to new folders first. A version becomes visible when its manifest, one small JSON file in
+a folder named by the version, is committed; readers take the highest version, so they see all of a
+change or none of it and keep the previous version when a writer fails. Only that manifest is read,
+however many there are. One writer per root at a time is assumed.
+
+Replaced folders stay until ``clean_up`` removes them, so that running readers can finish.
 """
 
 from __future__ import annotations
@@ -10,12 +13,12 @@ from __future__ import annotations
 import uuid
 from dataclasses import asdict, dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railweave.schemas import columns
+from railweave.session import delete_folder, file_system, subfolders
 
 MANIFEST_SCHEMA = T.StructType(
     [
@@ -32,6 +35,10 @@ MANIFEST_SCHEMA = T.StructType(
 )
 
 
+# Spark's folder name for rows without a partition value.
+NO_PART = "__HIVE_DEFAULT_PARTITION__"
+
+
 @dataclass(frozen=True)
 class Entry:
     """One folder of a published table; ``part`` tells folders of a divided table apart."""
@@ -42,25 +49,32 @@ class Entry:
     part: str | None = None
 
 
+def _versions(spark: SparkSession, root: str) -> list[str]:
+    """Folders of the committed manifests, oldest first."""
+    system, make = file_system(spark, root)
+    return [
+        name for name in subfolders(spark, f"{root}/_manifest")
+        if system.exists(make(f"{root}/_manifest/{name}/_SUCCESS"))
+    ]
+
+
 def manifests(spark: SparkSession, root: str) -> DataFrame | None:
-    """All published versions, None before the first."""
-    try:
-        return spark.read.schema(MANIFEST_SCHEMA).json(f"{root}/_manifest")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    """All versions that were not cleaned up, None before the first."""
+    names = _versions(spark, root)
+    if not names:
+        return None
+    return spark.read.schema(MANIFEST_SCHEMA).json([f"{root}/_manifest/{name}" for name in names])
+
+
+def _entries(spark: SparkSession, root: str, name: str) -> list[Entry]:
+    manifest = spark.read.schema(MANIFEST_SCHEMA).json(f"{root}/_manifest/{name}").first()
+    return [Entry(e.table_name, e.path, e.row_count, e.part) for e in manifest.entries]
 
 
 def current_version(spark: SparkSession, root: str) -> tuple[int, list[Entry]]:
     """Newest version number and its entries; (0, []) before the first."""
-    versions = manifests(spark, root)
-    newest = versions.orderBy(F.col("version").desc()).first() if versions is not None else None
-    if newest is None:
-        return 0, []
-    return newest.version, [
-        Entry(e.table_name, e.path, e.row_count, e.part) for e in newest.entries
-    ]
+    names = _versions(spark, root)
+    return (int(names[-1][1:]), _entries(spark, root, names[-1])) if names else (0, [])
 
 
 def publish(
@@ -73,10 +87,37 @@ def publish(
     manifest = spark.createDataFrame(rows, MANIFEST_SCHEMA).withColumn(
         "activated_at", F.current_timestamp()
     )
-    manifest.coalesce(1).write.mode("append").json(f"{root}/_manifest")
+    # What a writer that failed left under this number is replaced.
+    manifest.coalesce(1).write.mode("overwrite").json(f"{root}/_manifest/v{version:012d}")
     return version
 
 
+def clean_up(spark: SparkSession, root: str, keep: int = 1) -> int:
+    """Delete manifests older than the newest ``keep`` and every data folder that none of those
+    names; returns how many folders went."""
+    names = _versions(spark, root)
+    system, make = file_system(spark, root)
+    named = {
+        make(entry.path).toUri().getPath() for name in names[-keep:] for entry in _entries(spark, root, name)
+    }
+    for name in names[:-keep]:
+        delete_folder(spark, f"{root}/_manifest/{name}")
+    gone = 0
+    for folder in subfolders(spark, f"{root}/data"):
+        path = f"{root}/data/{folder}"
+        own = make(path).toUri().getPath()
+        if own in named:
+            continue
+        parts = [f"{path}/{part}" for part in subfolders(spark, path) if part.startswith("_part=")]
+        unused = [p for p in parts if make(p).toUri().getPath() not in named]
+        if len(unused) == len(parts):
+            unused = [path]
+        for part in unused:
+            delete_folder(spark, part)
+        gone += len(unused)
+    return gone
+
+
 def write_folder(df: DataFrame, root: str, name: str) -> Entry:
     """Write a new folder that no manifest names yet."""
     path = f"{root}/data/{name}-{uuid.uuid4().hex}"
@@ -94,9 +135,10 @@ def write_parts(df: DataFrame, root: str, name: str, part_column: str) -> list[E
     divided.hint("rebalance", "_part").write.partitionBy("_part").parquet(path)
     # With its schema given, a result without any rows can be read back as well.
     written = df.sparkSession.read.schema(divided.schema).parquet(path)
+    counts = written.groupBy(F.col("_part").alias("part")).count().collect()
     return [
-        Entry(name, f"{path}/_part={row.part}", row["count"], row.part)
-        for row in written.groupBy(F.col("_part").alias("part")).count().collect()
+        Entry(name, f"{path}/_part={NO_PART if row.part is None else row.part}", row["count"], row.part)
+        for row in counts
     ]
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railweave.operators.retention import PAYLOAD_DAYS
+from railweave.session import file_system, subfolders
 
 
 def scan_payloads(spark: SparkSession, root: str, pattern: str = "*.pb") -> DataFrame:
@@ -45,27 +47,52 @@ def store_payloads(payloads: DataFrame, root: str) -> None:
     dated.write.mode("append").partitionBy("ingest_date").parquet(root)
 
 
+IDENTITY = ["path", "modificationTime", "length"]
+
+
+def _index(spark: SparkSession, archive: str) -> DataFrame:
+    """Files whose copy was read back and found intact."""
+    schema = "path STRING, modificationTime TIMESTAMP, length BIGINT, checksum STRING"
+    runs = [f"{archive}/{name}/intact" for name in subfolders(spark, archive)]
+    system, make = file_system(spark, archive)
+    there = [path for path in runs if system.exists(make(path))]
+    return spark.read.schema(schema).parquet(*there) if there else spark.range(0).select(
+        *(F.lit(None).cast(kind).alias(name) for name, kind in (part.split() for part in schema.split(", ")))
+    )
+
+
+def archived_payloads(spark: SparkSession, archive: str) -> DataFrame:
+    """The copies of all runs, with their bytes."""
+    return spark.read.parquet(*(f"{archive}/{name}/copies" for name in subfolders(spark, archive)))
+
+
 def archive_expired_payloads(
-    spark: SparkSession, root: str, archive: str, now: datetime, days: int = PAYLOAD_DAYS
+    spark: SparkSession, root: str, archive: str, now: datetime, days: int = PAYLOAD_DAYS, pattern: str = "*.pb"
 ) -> DataFrame:
     """Copy payload files older than ``days`` to ``archive`` and list those safe to delete.
 
     A file is listed only if the bytes read back from the archive have its checksum. Files
-    changed at or after the cutoff are left alone.
+    changed at or after the cutoff are left alone. Every run writes a folder of its own and opens only files that no
+    earlier run has copied.
     """
-    cutoff = now - timedelta(days=days)
-    # The filter reaches the file listing, so young files are not opened.
-    old = (
+    listing = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.pb")
+        .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(root)
-        .filter(F.col("modificationTime") < F.lit(cutoff))
+        # Path, time and length come from the file listing; no file is opened for them.
+        .select(*IDENTITY)
+        .filter(F.col("modificationTime") < F.lit(now - timedelta(days=days)))
     )
-    old.select(
-        "path", "modificationTime", "length", F.sha2("content", 256).alias("checksum"), "content"
-    ).write.mode("append").parquet(archive)
-    copied = spark.read.parquet(archive)
-    intact = copied.filter(F.sha2("content", 256) == F.col("checksum")).select("path", "checksum")
-    source = old.select("path", F.sha2("content", 256).alias("checksum"))
-    return source.join(intact.distinct(), ["path", "checksum"], "left_semi").select("path")
+    fresh = listing.join(_index(spark, archive), IDENTITY, "left_anti")
+    # File names only, which the driver holds for every scan of the folder anyway.
+    paths = [row.path for row in fresh.select("path").collect()]
+    if paths:
+        run = f"{archive.rstrip('/')}/run-{uuid.uuid4().hex}"
+        spark.read.format("binaryFile").load(paths).select(
+            *IDENTITY, F.sha2("content", 256).alias("checksum"), "content"
+        ).write.parquet(f"{run}/copies")
+        copies = spark.read.parquet(f"{run}/copies")
+        intact = copies.filter(F.sha2("content", 256) == F.col("checksum"))
+        intact.select(*IDENTITY, "checksum").write.parquet(f"{run}/intact")
+    return listing.join(_index(spark, archive), IDENTITY, "left_semi").select("path")

@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from railweave.schemas import EVENT_FIELDS
 
 class Tables:
     """Lazily opened transit tables over one data folder."""
 
     def __init__(self, spark: SparkSession, data_dir: str):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
         self.spark = spark
         self.data_dir = data_dir.rstrip("/")
 
@@ -115,15 +117,7 @@ class Tables:
         """Stream messages: positions as JSON bytes, some broken in each way that is rejected."""
         fields = [
             F.concat(F.lit("evt-"), F.col("id")).alias("event_id"),
-            F.col("ingested_at"),
-            *(
-                F.col(name)
-                for name in (
-                    "feed_timestamp vehicle_timestamp entity_id vehicle_id vehicle_label trip_id"
-                    " route_id direction_id start_time start_date stop_id current_stop_sequence"
-                    " current_status latitude longitude bearing speed occupancy_status source"
-                ).split()
-            ),
+            *(F.col(field.name) for field in EVENT_FIELDS if field.name != "event_id"),
         ]
         options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"}
         return (
@@ -138,6 +132,8 @@ class Tables:
                      when 5 then cast(replace(json, '+00:00"', '"') as binary)
                      when 6 then cast(replace(json, '"ingested_at":"', '"ingested_at":"soon ') as binary)
                      when 7 then null
+                     when 8 then cast(concat('{"source":"earlier",', substr(json, 2)) as binary)
+                     when 9 then cast(concat('{"noise":NaN,', substr(json, 2)) as binary)
                      else cast(json as binary) end value""",
                 "'vehicle_positions' topic",
                 "cast(id % 3 as int) partition",

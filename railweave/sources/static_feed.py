@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 REQUIRED_TABLES = ("agency", "routes", "stops", "trips", "stop_times")
 CALENDAR_TABLES = ("calendar", "calendar_dates")
 FEED_TABLES = REQUIRED_TABLES + CALENDAR_TABLES
+# Tables with free text, whose quoted fields may hold line breaks. Such a file is read by one task, so
+# the table of stop times, which is the large one, is not among them.
+FREE_TEXT_TABLES = ("agency", "routes", "stops", "trips")
+# Stands for an unquoted empty field, which is NULL; a quoted one is an empty text.
+_ABSENT = "\u0000"
 
 
 class InvalidFeed(ValueError):
@@ -28,14 +33,18 @@ def header_columns(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_gtfs_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    """One table with every column as text; empty is NULL and malformed lines raise on read."""
+    """One table with every column as text; malformed lines and part files with another header raise on read.
+
+    An empty field is NULL, a quoted empty field an empty text.
+    """
     if name not in FEED_TABLES:
         raise InvalidFeed(f"Unsupported GTFS table: {name}")
     path = f"{directory.rstrip('/')}/{name}.txt"
     columns = header_columns(spark, path)
     schema = ", ".join(f"`{column}` STRING" for column in columns)
     return spark.read.schema(schema).csv(
-        path, header=True, enforceSchema=True, escape='"', mode="FAILFAST"
+        path, header=True, enforceSchema=False, escape='"', mode="FAILFAST", nullValue=_ABSENT,
+        multiLine=name in FREE_TEXT_TABLES,
     )
 
 

@@ -3,92 +3,33 @@
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from railweave.functions.event_json import dead_letters, decode_events, valid_records
 from railweave.functions.gtfs_time import source_time
+from railweave.functions.identity import build_event_id
 from railweave.operators.metrics import batch_metric
 from railweave.operators.scan import HOT_ROWS, Measure, exclusive_scan
 from railweave.schemas import DEAD_LETTER_SCHEMA, METRIC_SCHEMA, POSITION_SCHEMA
 from railweave.sinks.inserts import insert_new
-
-# Ids of one batch start at batch_id * BATCH_IDS, so a later batch always has higher ids and
-# assigning them needs no look at the stored table.
-BATCH_IDS = 1 << 32
+from railweave.streaming.tables import (
+    BATCH_IDS,
+    DAY,
+    DEAD_LETTERS,
+    FEED_DATE,
+    METRICS,
+    NAMED,
+    POSITIONS,
+    StreamTables,
+)
 
 OFFSET_RUN = 1 << 17
-
-POSITIONS, DEAD_LETTERS, METRICS = "positions", "dead_letters", "metrics"
-# More dates than this in one batch are not worth listing in a filter.
-MAX_PRUNED_DATES = 366
-FEED_DATE = T.StructField("feed_date", T.DateType())
-
-
-@dataclass(frozen=True)
-class StreamTables:
-    """Folders of the three tables a stream writes.
-
-    Rows lie under the id of their batch, positions also under the date of their feed time.
-    """
-
-    root: str
-
-    def folder(self, table: str) -> str:
-        return f"{self.root.rstrip('/')}/{table}"
-
-    def read(self, spark: SparkSession, table: str, schema: T.StructType) -> DataFrame | None:
-        """All stored rows with their partition columns; None before the first batch."""
-        dates = [FEED_DATE] if table == POSITIONS else []
-        stored = T.StructType([*schema.fields, *dates, T.StructField("batch_id", T.LongType())])
-        try:
-            return spark.read.schema(stored).parquet(self.folder(table))
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def before(self, spark: SparkSession, table: str, schema: T.StructType, batch_id: int):
-        """Rows of earlier batches; a batch that runs again does not see its own first attempt."""
-        stored = self.read(spark, table, schema)
-        return None if stored is None else stored.filter(F.col("batch_id") < batch_id)
-
-    def replace_batch(self, rows: DataFrame, table: str, batch_id: int) -> None:
-        """Write the rows of one batch in place of what an earlier attempt of it left."""
-        parts = [FEED_DATE.name, "batch_id"] if table == POSITIONS else ["batch_id"]
-        of_batch = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        # Few files per date, and several for a date too large for one task.
-        of_batch.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            *parts
-        ).parquet(self.folder(table))
-
-    def newest_positions(self, spark: SparkSession, rows: int) -> DataFrame | None:
-        """The batches that hold at least the newest ``rows`` positions (all, if there are fewer).
-
-        The metric rows say how many positions each batch added, so the batches are chosen from
-        that small table and all others are skipped by partition.
-        """
-        stored = self.read(spark, POSITIONS, POSITION_SCHEMA)
-        metrics = self.read(spark, METRICS, METRIC_SCHEMA)
-        if stored is None or metrics is None:
-            return stored
-        # Every batch listed adds a row or more, so this many are enough.
-        added = metrics.filter("events_persisted > 0").select("batch_id", "events_persisted")
-        last = added.orderBy(F.col("batch_id").desc()).limit(rows)
-        newer = Window.orderBy(F.col("batch_id").desc()).rowsBetween(Window.unboundedPreceding, -1)
-        needed = last.withColumn("newer", F.coalesce(F.sum("events_persisted").over(newer), F.lit(0)))
-        first = needed.filter(F.col("newer") < rows).agg(F.min("batch_id")).first()[0]
-        return stored if first is None else stored.filter(F.col("batch_id") >= first)
-
-    def batch_rows(self, spark: SparkSession, table: str, schema: T.StructType, batch_id: int) -> int:
-        stored = self.read(spark, table, schema)
-        return 0 if stored is None else stored.filter(F.col("batch_id") == batch_id).count()
+# Batches of a date are joined after this many.
+COMPACT_EVERY = 100
 
 
 def numbered(
@@ -142,38 +83,38 @@ def _metric_row(spark: SparkSession, batch_id: int, at: datetime, kind: str, num
 class BatchWriter:
     """``foreachBatch`` function for decoded messages.
 
-    Every write replaces the batch's own partitions, so running a batch again after a failure
-    gives the same tables; offsets advance only after it returns.
+    Every write replaces what an earlier attempt of the batch left, so running a batch again after a
+    failure gives the same tables; offsets advance only after it returns.
 
-    An event id is unique over the whole history, which means reading the id column of the whole
-    table per batch. Ids made by ``build_event_id`` name their feed time: with
-    ``ids_name_feed_time`` only the feed dates that occur in the batch are read.
+    An event id is unique over the whole history. Ids that ``build_event_id`` gives for their record
+    name its feed time and are looked up on that date; the others lie apart, and are looked up everywhere.
+    Either way every id that is equal is found.
     """
 
-    def __init__(self, tables: StreamTables, ids_name_feed_time: bool = False):
+    def __init__(self, tables: StreamTables, compact_every: int = COMPACT_EVERY):
         self.tables = tables
-        self.ids_name_feed_time = ids_name_feed_time
+        self.compact_every = compact_every
 
     def __call__(self, decoded: DataFrame, batch_id: int) -> None:
         started = time.monotonic()
+        spark = decoded.sparkSession
+        for table in (POSITIONS, DEAD_LETTERS, METRICS):
+            self.tables.finish_replacements(spark, table)
         decoded = decoded.persist()
         try:
-            self._write(decoded.sparkSession, decoded, batch_id, started)
+            self._write(spark, decoded, batch_id, started)
         finally:
             decoded.unpersist()
+        if batch_id % self.compact_every == self.compact_every - 1:
+            for table in (POSITIONS, DEAD_LETTERS, METRICS):
+                self.tables.compact(spark, table, before=batch_id)
 
-    def _stored_positions(self, spark: SparkSession, fresh: DataFrame, batch_id: int):
-        stored = self.tables.before(spark, POSITIONS, POSITION_SCHEMA, batch_id)
-        if stored is None or not self.ids_name_feed_time:
-            return stored
-        dates = fresh.select(FEED_DATE.name).distinct().limit(MAX_PRUNED_DATES + 1).collect()
-        if len(dates) > MAX_PRUNED_DATES:
-            return stored
-        known = [row[0] for row in dates if row[0] is not None]
-        wanted = F.col(FEED_DATE.name).isin(known)
-        if len(known) < len(dates):
-            wanted = wanted | F.col(FEED_DATE.name).isNull()
-        return stored.filter(wanted)
+    def _stored_positions(self, spark: SparkSession, records: DataFrame, batch_id: int):
+        """What the batch's ids can be equal to, without what an earlier attempt of it left."""
+        seen = records.groupBy(NAMED.name, FEED_DATE.name).agg(F.count("event_id").alias("ids")).collect()
+        everywhere = any(row.ids and not row.named for row in seen)
+        stored = self.tables.lookup(spark, {row.feed_date for row in seen}, everywhere)
+        return None if stored is None else stored.filter(F.col("batch_id") != batch_id)
 
     def _write(self, spark: SparkSession, decoded: DataFrame, batch_id: int, started: float) -> None:
         tables = self.tables
@@ -187,56 +128,58 @@ class BatchWriter:
         ).first()
         metrics = []
         if arrived.valid:
-            records = valid_records(decoded).withColumn(FEED_DATE.name, F.to_date("feed_timestamp"))
+            own = build_event_id(*map(F.col, ("source", "entity_id", "vehicle_id", "feed_timestamp")))
+            records = valid_records(decoded).withColumns(
+                {FEED_DATE.name: F.to_date("feed_timestamp"), NAMED.name: F.col("event_id") == own}
+            )
             fresh = insert_new(
                 self._stored_positions(spark, records, batch_id), records, ["event_id"],
                 ["topic", "partition", "offset"], batch_rows=arrived.valid,
             )
             rows = numbered(
                 fresh, batch_id * BATCH_IDS + 1, "id", sliced=arrived.valid > HOT_ROWS
-            )
-            tables.replace_batch(
-                rows.select(*POSITION_SCHEMA.names, FEED_DATE.name), POSITIONS, batch_id
-            )
+            ).select(*POSITION_SCHEMA.names, NAMED.name, FEED_DATE.name)
+            persisted = tables.write_batch(rows, POSITIONS, batch_id)
             metrics.append(_metric_row(
                 spark, batch_id, arrived.now, "valid_batch", 0, topic=arrived.topic,
-                batch_size=arrived.valid,
-                persisted=tables.batch_rows(spark, POSITIONS, POSITION_SCHEMA, batch_id),
+                batch_size=arrived.valid, persisted=persisted,
                 dead_letters=0, errors=0, duration=time.monotonic() - started,
                 latest_source_event_timestamp=arrived.source,
                 latest_ingestion_timestamp=arrived.ingested,
             ))
         if arrived.rejected:
             letters = dead_letters(decoded, F.lit(arrived.now))
+            stored = tables.read(spark, DEAD_LETTERS)
             fresh = insert_new(
-                tables.before(spark, DEAD_LETTERS, DEAD_LETTER_SCHEMA, batch_id), letters,
+                None if stored is None else stored.filter(F.col("batch_id") != batch_id), letters,
                 ["topic", "partition", "kafka_offset"], ["kafka_offset"],
                 batch_rows=arrived.rejected,
             )
             rows = numbered(
                 fresh, batch_id * BATCH_IDS + 1, "dead_letter_id", "kafka_offset",
                 sliced=arrived.rejected > HOT_ROWS,
-            )
-            tables.replace_batch(rows.select(*DEAD_LETTER_SCHEMA.names), DEAD_LETTERS, batch_id)
+            ).select(*DEAD_LETTER_SCHEMA.names, F.to_date("processed_at").alias(DAY.name))
+            rejected = tables.write_batch(rows, DEAD_LETTERS, batch_id)
             metrics.append(_metric_row(
                 spark, batch_id, arrived.now, "dead_letter", 1, topic=arrived.topic,
-                batch_size=arrived.rejected, persisted=0,
-                dead_letters=tables.batch_rows(spark, DEAD_LETTERS, DEAD_LETTER_SCHEMA, batch_id),
+                batch_size=arrived.rejected, persisted=0, dead_letters=rejected,
                 errors=arrived.rejected, duration=time.monotonic() - started,
             ))
         if metrics:
-            rows = reduce(DataFrame.unionByName, metrics).select(*METRIC_SCHEMA.names)
-            tables.replace_batch(rows, METRICS, batch_id)
+            rows = reduce(DataFrame.unionByName, metrics).select(
+                *METRIC_SCHEMA.names, F.to_date("metric_timestamp").alias(DAY.name)
+            )
+            tables.write_batch(rows, METRICS, batch_id)
 
 
 def stream_to_tables(
     messages: DataFrame, root: str, checkpoint: str, *, available_now: bool = False,
-    ids_name_feed_time: bool = False,
+    compact_every: int = COMPACT_EVERY,
 ):
     """Start the stream. ``available_now`` works off what is there and stops."""
     # Decoding is part of the streaming plan, so it is analysed once and not once per batch.
     writer = decode_events(messages).writeStream.foreachBatch(
-        BatchWriter(StreamTables(root), ids_name_feed_time)
+        BatchWriter(StreamTables(root), compact_every)
     )
     writer = writer.option("checkpointLocation", checkpoint)
     if available_now:

@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -85,6 +86,7 @@ def main() -> int:
     spark = build_session(
         master="local[8]",
         **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g",
+           "spark.checkpoint.dir": tempfile.mkdtemp(prefix="oracle-"),
            "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -49,10 +49,19 @@ def write_feed(folder, **changes):
 
 
 def test_tables_are_read_as_text(spark, tmp_path):
-    folder = write_feed(tmp_path / "f", stops=b"\xef\xbb\xbfstop_id,stop_name\n007,\n8,\"a,b\"\n")
+    folder = write_feed(tmp_path / "f", stops=b"\xef\xbb\xbfstop_id,stop_name\n007,\n8,\"a,b\"\n9,\"\"\n10,\"two\nlines\"\n")
     stops = read_gtfs_table(spark, folder, "stops")
     assert stops.dtypes == [("stop_id", "string"), ("stop_name", "string")]
-    assert sorted(map(tuple, stops.collect())) == [("007", None), ("8", "a,b")]
+    assert sorted(map(tuple, stops.collect())) == [("007", None), ("10", "two\nlines"), ("8", "a,b"), ("9", "")]
+
+
+def test_part_files_with_another_header_are_rejected(spark, tmp_path):
+    folder = tmp_path / "f" / "stop_times.txt"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text("trip_id,stop_id\nT,S\n")
+    (folder / "b.csv").write_text("stop_id,trip_id\nS,T\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        read_gtfs_table(spark, str(tmp_path / "f"), "stop_times").collect()
 
 
 @pytest.mark.parametrize("header", ["a,a\n1,2\n", "a,,b\n1,2,3\n", ""])
@@ -115,13 +124,24 @@ def test_latest_snapshot_and_payloads(spark, tmp_path):
 def test_old_payloads_are_listed_once_their_copy_is_intact(spark, tmp_path):
     root, archive = tmp_path / "raw", tmp_path / "archive"
     root.mkdir()
-    for name, days in (("old.pb", 8), ("new.pb", 6), ("other.txt", 9)):
+
+    def add(name, days):
         (root / name).write_bytes(name.encode())
         at = (NOW - timedelta(days=days)).timestamp()
         os.utime(root / name, (at, at))
-    found = payloads.archive_expired_payloads(spark, str(root), str(archive), NOW)
-    assert [r.path.rsplit("/", 1)[1] for r in found.collect()] == ["old.pb"]
-    assert spark.read.parquet(str(archive)).count() == 1
+
+    def run():
+        found = payloads.archive_expired_payloads(spark, str(root), str(archive), NOW)
+        return sorted(r.path.rsplit("/", 1)[1] for r in found.collect())
+
+    for name, days in (("old.pb", 8), ("new.pb", 6), ("other.txt", 9)):
+        add(name, days)
+    assert run() == ["old.pb"] == run()
+    assert payloads.archived_payloads(spark, str(archive)).count() == 1
+    # A later run copies only what is new, however old its time is.
+    add("late.pb", 20)
+    assert run() == ["late.pb", "old.pb"]
+    assert sorted(bytes(r.content) for r in payloads.archived_payloads(spark, str(archive)).collect()) == [b"late.pb", b"old.pb"]
 
 
 def feed(spark, entities, header=1_788_091_200):
@@ -173,6 +193,18 @@ def test_retention_archives_then_removes(spark, tmp_path):
     assert kept.exceptAll(old_and_new(spark).filter("id in (1, 4)")).isEmpty() and kept.count() == 2
 
 
+def test_rows_without_a_time_stay_and_old_folders_go(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    rows = old_and_new(spark).unionByName(positions(spark, [position(5, NOW, 1, ingested_at=NOW)]))
+    rows = rows.withColumn("ingested_at", F.when(F.col("id") != 5, F.col("ingested_at")))
+    archiving.store_dated(rows, root, "positions", "ingested_at")
+    assert read_published(spark, root, "positions").count() == 5
+    archiving.retention_run(spark, root, str(tmp_path / "a"), NOW)
+    assert sorted(r.id for r in read_published(spark, root, "positions").collect()) == [2, 3, 5]
+    dates = {path.name for path in (tmp_path / "tables/data").glob("*/_part=*")}
+    assert "_part=2026-07-31" not in dates and len(list((tmp_path / "tables/_manifest").iterdir())) == 1
+
+
 def test_failed_archive_removes_nothing(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "tables")
     archiving.store_dated(old_and_new(spark), root, "positions", "ingested_at")
