@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from railweave.llm.text import host_of, path_of, plain_text
+from railweave.llm.text import bound_batches, host_of, path_of, plain_text
 from railweave.session import materialize
 
 BLOCK, TASK_BLOCKS = 64, 16
@@ -242,6 +242,7 @@ def _texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def main_texts(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
     """A row per row of ``pages``: id, url, text, n_chars (code points), n_deleted (lines)."""
+    bound_batches(pages.sparkSession)
     rows = pages.select(
         F.col(id_column).cast("long").alias("page_"),
         F.col(url_column).cast("string").alias("url_"),

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railweave.llm.mixing import uniform
-from railweave.llm.text import ascii_lower, host_of, packed, unpacked
+from railweave.llm.text import ascii_lower, bound_batches, host_of, packed, unpacked
 from railweave.session import materialize
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -39,7 +39,7 @@ SAMPLE = 500
 STRENGTH, LEAST = 40.0, 0.5
 #: Rows that a smoothing level counts as.
 PRIOR_ROWS = 5.0
-BUCKETS, CHUNK = 1 << 16, 1 << 20
+BUCKETS, CHUNK = 1 << 16, 1 << 18
 
 
 class Trigrams:
@@ -171,6 +171,7 @@ def identify(
     least: float = LEAST,
 ) -> DataFrame:
     """(id_, text_, declared_, suffix_, host_) to id_, language_, confidence_, text_language_, kept_."""
+    bound_batches(rows.sparkSession)
     number = len(languages)
     labelled = rows.select("id_", F.col("declared_").alias("label_"), "text_")
     model = fit_text_model(labelled, languages, sample)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from railweave.llm.components import components
 from railweave.llm.shingles import MinHash, Shingles
-from railweave.llm.text import packed, unpacked
+from railweave.llm.text import bound_batches, packed, unpacked
 from railweave.session import materialize
 
 THRESHOLD_PERCENT = 75
@@ -300,6 +300,7 @@ def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = THRESHOLD_PERCENT
 ) -> DataFrame:
     """A row per row of ``docs``: the id, n_shingles, component_id (the least id reachable by links), kept."""
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col(id_column).cast("long").alias("id_"), F.col(text_column).alias("text_"))
     signed = materialize(texts.mapInArrow(_sign, SIGNED), "signed")
     key = ["set_a_", "set_b_"]

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railweave.llm.text import WORD, ascii_lower, plain_text, word_count
+from railweave.llm.text import WORD, ascii_lower, bound_batches, plain_text, word_count
 
 #: Words per window, words per shard, and pieces of one source per window.
 WINDOW, SHARD_WORDS, PER_SOURCE = 2048, 1_000_000, 2
@@ -139,6 +139,7 @@ def pack(
 ) -> DataFrame:
     """A row per bin: bin_id, n_words, and of its pieces in order doc_ids, pieces, starts and sizes (in
     words), with the joined text."""
+    bound_batches(docs.sparkSession)
     text = plain_text(F.col(text_column))
     words = word_count(F.col(text_column))
     total = docs.select(words.alias("words_")).agg(F.sum("words_")).first()[0] or 0

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railweave.llm.mixing import uniform
-from railweave.llm.text import plain_text
+from railweave.llm.text import bound_batches, plain_text
 
 #: The kinds, in the order in which spans with one start are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -382,6 +382,7 @@ def find_personal_data(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE, weights: dict[str, float] | None = None
 ) -> DataFrame:
     """A row per row of ``docs``: the id, n_email, n_ip, n_card, n_phone and base_sha256 of the base spans, spans (all of them), n_added."""
+    bound_batches(docs.sparkSession)
     texts = docs.select(F.col(id_column).cast("long").alias("id_"), plain_text(F.col(text_column)).alias("text_"))
     if weights is None:
         weights = fit_on(texts, sample)

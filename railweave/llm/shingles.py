@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes hashed at once; a longer text is hashed on its own.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,3 +43,15 @@ def packed(df: DataFrame, name: str = "row_") -> DataFrame:
 
 def unpacked(df: DataFrame, schema: T.StructType, name: str = "row_") -> DataFrame:
     return df.select(*(F.col(f"{name}.`{c}`").alias(c) for c in schema.fieldNames()))
+
+
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Spark's default, and the rows of text that go to a Python worker at once instead.
+DEFAULT_BATCH, TEXT_BATCH = "10000", "500"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lets batches of texts be small, unless the session chose their size: a batch is held by the
+    executor and by its Python worker at once."""
+    if spark.conf.get(BATCH_SETTING) == DEFAULT_BATCH:
+        spark.conf.set(BATCH_SETTING, TEXT_BATCH)
