@@ -90,8 +90,9 @@ def drop_exact_copies(
         packed(docs).withColumn("text_", F.col(f"row_.`{text_column}`")), "text_"
     ).withColumn("id_", F.col(f"row_.`{id_column}`"))
     groups = merge_runs(rows.select("id_", *KEY), keep)
-    # Only texts that occur more than once are looked up.
+    # Only texts that occur more than once are looked up. Their number follows the input, so the join is a
+    # merge at every size; Spark splits a frequent digest.
     repeated = materialize(groups.where("group_size_ > 1"), "digest-groups")
-    joined = rows.join(repeated, KEY, "left")
+    joined = rows.join(repeated.hint("merge"), KEY, "left")
     stays = F.col("group_size_").isNull() | F.col("id_").eqNullSafe(F.col("keep_id_"))
     return unpacked(joined.where(stays), schema)

@@ -179,7 +179,9 @@ def mix(
         & F.col("of_source_").eqNullSafe(F.col("source_"))
         & (F.col("of_size_") == F.col("size_"))
     )
-    copies = rows.join(materialize(plan.where("times_ > 0"), "mix-plan"), same).withColumn(
+    # The plan follows the input, so the join is a merge at every size.
+    plan = materialize(plan.where("times_ > 0"), "mix-plan")
+    copies = rows.join(plan.hint("merge"), same).withColumn(
         "copy_", F.explode(F.sequence(F.lit(1), F.col("times_")))
     )
     return unpacked(copies, schema)
