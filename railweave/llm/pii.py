@@ -2,9 +2,9 @@
 
 Base spans follow the fixed patterns (emails, IP addresses, card and phone numbers) and always stay. The field adds
 spans the patterns miss, such as spelled-out emails, defanged addresses, cards with other separators and
-phone numbers without a plus. It works on regions, the text around digits and mail signs, cut into tokens. Every run of at most
-``MAX_TOKENS`` tokens is a candidate segment of every kind; features of the whole span and its context score
-it, and dynamic programming over the tokens chooses the best set of segments jointly, so that boundaries and kinds compete. Segments
+phone numbers without a plus. It works on regions, the text around whatever some shape of a span cannot do without, cut into
+tokens. Every run of tokens of at most ``MAX_SPAN`` characters is a candidate segment of every kind; features of the whole span and
+its context score it, and dynamic programming over the tokens chooses the best set of segments jointly, so that boundaries and kinds compete. Segments
 that touch a base span are no candidates.
 
 Fitting: about ``SAMPLE`` documents, chosen by a hash of their ids, give regions with their base spans. Each also
@@ -38,7 +38,8 @@ from railweave.llm.text import bound_batches, plain_text
 KINDS = ("email", "ip", "card", "phone")
 #: Documents sampled for fitting (expected) and regions fitted on (at most).
 SAMPLE, REGIONS = 4000, 300
-MAX_TOKENS, MAX_SPAN, CONTEXT = 24, 64, 40
+#: Longest candidate; text of a region on both sides of its sign, so that no candidate is cut; text before a span searched for cues.
+MAX_SPAN, CONTEXT, CUE = 64, 64, 40
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # Possessive forms of the fixed patterns: the same matches without trying a start twice.
@@ -47,8 +48,12 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-#: Where regions lie: two digits in a row, a mail sign, a spelled-out dot.
-_SIGN = re.compile(r"[0-9]{2,}|@|[\[({ ](?:dot|DOT)[\])} ]")
+#: Where regions lie: two digits in a row, a plus before a digit, a mail sign, a bracketed at or dot, a spelled-out dot, a
+#: spelled-out at before a domain, three groups of hex digits. Every shape below holds one of these.
+_SIGN = re.compile(
+    r"[0-9]{2,}|\+[0-9]|@|[\[({]\s?(?:at|AT|dot|DOT|\.)\s?[\])}]|\s(?:dot|DOT)(?=\s)"
+    r"|\s(?:at|AT)\s[A-Za-z0-9-]++\.[A-Za-z0-9-]|[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:[0-9A-Fa-f]"
+)
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^\sA-Za-z0-9]")
 
 Span = tuple[str, int, int]
@@ -145,7 +150,7 @@ def features(kind: str, text: str, start: int, end: int) -> list[str] | None:
     if kind == "email":
         tail = re.findall(r"[A-Za-z]+", span)[-1:] or [""]
         found.append(f"email tail {min(len(tail[0]), 7)}")
-    if _CUES[kind].search(text[max(0, start - CONTEXT) : start]):
+    if _CUES[kind].search(text[max(0, start - CUE) : start]):
         found.append(f"{kind} cue")
     for side, at in (("before", start - 1), ("after", end)):
         beside = text[at] if 0 <= at < len(text) else " "
@@ -194,7 +199,7 @@ def segments(text: str, low: int, high: int, taken: tuple[list[int], list[int]])
     out = []
     for i, (start, _) in enumerate(tokens):
         lead = text[start]
-        for j in range(i, min(len(tokens), i + MAX_TOKENS)):
+        for j in range(i, len(tokens)):
             end = tokens[j][1]
             if blocked[j] or end - start > MAX_SPAN:
                 break
@@ -270,7 +275,7 @@ def _rewritten(kind: str, span: str, draw: random.Random, valid: bool) -> str:
         if not valid:
             return span.replace("@", " ").replace(".", " ")
         at = draw.choice([" at ", " [at] ", "(at)", " (at) ", "[at]"])
-        dot = draw.choice([" dot ", "[dot]", " (dot) "])
+        dot = draw.choice([" dot ", "[dot]", " (dot) ", "."])
         local, _, domain = span.partition("@")
         return local + at + domain.replace(".", dot)
     if kind == "ip":

@@ -84,6 +84,39 @@ def test_the_field_adds_what_the_patterns_miss(spark):
     assert by_id[1003].spans == "card:10:26,card:27:43"
 
 
+REACHED = [
+    ("write to jane.doe (at) example.com for more", "email", "jane.doe (at) example.com"),
+    ("write to jane [at] example.org for more", "email", "jane [at] example.org"),
+    ("write to jane at example.org for more", "email", "jane at example.org"),
+    ("the host is 8[.]8[.]4[.]4 as you know", "ip", "8[.]8[.]4[.]4"),
+    ("the host is 8 (.) 8 (.) 4 (.) 4 as you know", "ip", "8 (.) 8 (.) 4 (.) 4"),
+    ("the host is a1b2:c3d4:e5f6:a7b8:c9d1:e2f3:a4b5:c6d7 as you know", "ip", "a1b2:c3d4:e5f6:a7b8:c9d1:e2f3:a4b5:c6d7"),
+    ("the host is f:e:d:c:b:a:1:2 as you know", "ip", "f:e:d:c:b:a:1:2"),
+    ("write to a.name.of.more.than.forty.letters.before.its.sign@x dot org", "email", "a.name.of.more.than.forty.letters.before.its.sign@x dot org"),
+    ("write to the.department.of.records.and.of.archives at example dot org", "email", "the.department.of.records.and.of.archives at example dot org"),
+    ("call +1 2 3 4 5 6 7 today", "phone", "+1 2 3 4 5 6 7"),
+]
+
+
+def test_every_shape_is_within_reach_of_the_field():
+    for text, kind, span in REACHED:
+        start = text.index(span)
+        whole = [
+            c for low, high in pii.regions(text) for c in pii.segments(text, low, high, pii.covered(pii.base_spans(text)))[1]
+            if (c[2], c[4], c[5]) == (kind, start, start + len(span))
+        ]
+        assert len(whole) == 1, text
+
+
+def test_spelled_and_defanged_spans_are_added(spark):
+    docs = corpus() + [(2000 + i, text) for i, (text, _, _) in enumerate(REACHED)]
+    rows = pii.find_personal_data(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    found = {r.doc_id - 2000: r.spans for r in rows if r.doc_id >= 2000}
+    for i in (0, 1, 2, 3):
+        text, kind, span = REACHED[i]
+        assert found[i] == f"{kind}:{text.index(span)}:{text.index(span) + len(span)}"
+
+
 def test_decoding_equals_the_best_of_all_segmentations():
     draw = random.Random(3)
     for _ in range(200):
