@@ -3,7 +3,8 @@
 1. A page becomes its visible lines: text between block tags, character references decoded, white space turned into single
    blanks. Scripts, styles, comments, the head and hidden elements give no lines. Lines are labelled: ``SITE`` in elements that
    say that they are menus, headers, footers, sidebars, notices, adverts, forms or reader comments (by tag, role, class or
-   id), and outside of the article on pages that mark one; ``ARTICLE`` in a marked article; else ``OPEN``.
+   id), and outside of the article on pages that mark one; ``ARTICLE`` in a marked article; else ``OPEN``. Elements end at their end tag, where HTML lets that be
+   omitted (p, li, dt, dd, option and the parts of tables), and with the elements around them.
 2. Pages are ordered by host, path and address. A page is paired with its neighbour in that order that has
    the same host and the longer common path, the earlier one if equal.
 3. The line sequences of a pair are aligned by their longest common subsequence. The page's shared lines are the site's
@@ -54,6 +55,24 @@ _BOILERPLATE_WORDS = frozenset(
     " overlay pager pagination popup promo promoted promotion recommended related share sharing sidebar signup social sponsor"
     " sponsored subscribe subscription toolbar widget".split()
 )
+#: Block elements at whose start an open paragraph ends.
+_ENDS_P = frozenset(
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
+    " header hgroup hr li main menu nav ol p pre search section summary table ul".split()
+)
+#: Elements whose end tag may be missing, and the open ones that their start ends.
+_ENDS_LIKE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "optgroup": {"option", "optgroup"}}
+_TABLE_SECTIONS = frozenset("tbody thead tfoot caption colgroup".split())
+#: Parts of tables, and the open elements that stay when one starts.
+_STAYS = {
+    **{tag: {"table"} for tag in _TABLE_SECTIONS},
+    "tr": {"table", *_TABLE_SECTIONS},
+    **{tag: {"table", "tr", *_TABLE_SECTIONS} for tag in ("td", "th")},
+}
+_CELLS = frozenset(("td", "th", "caption"))
+_HEADINGS = frozenset(f"h{n}" for n in range(1, 7))
+#: Deeper elements are not followed, as in browsers.
+MOST_DEPTH = 512
 _LABEL = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""\shidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _SPACE = re.compile(r"\s+")
@@ -78,14 +97,55 @@ def _is_boilerplate(tag: str, attributes: str) -> bool:
     return False
 
 
+def _left_at_start(open_: list[str], tag: str) -> int:
+    """How many of the open elements stay open where ``tag`` starts."""
+    left = len(open_)
+    if tag in _ENDS_P and "p" in open_:
+        for i in range(left - 1, -1, -1):
+            if open_[i] == "p":
+                left = i
+                break
+            if open_[i] in _CELLS or open_[i] in ("button", "article", "main"):
+                break
+    if tag in _ENDS_LIKE:
+        for i in range(left - 1, -1, -1):
+            if open_[i] in _ENDS_LIKE[tag]:
+                return i
+            if open_[i] not in _INLINE and open_[i] not in ("address", "div", "p"):
+                break
+    elif tag in _STAYS and "table" in open_[:left]:
+        while open_[left - 1] not in _STAYS[tag]:
+            left -= 1
+    return left
+
+
+def _left_at_end(open_: list[str], tag: str) -> int:
+    """How many of the open elements stay open after the end tag ``tag``. An article is left by its own end tag only; what is
+    open in it ends with any element around it."""
+    names = _HEADINGS if tag in _HEADINGS else {tag}
+    if names.isdisjoint(open_):
+        return len(open_)
+    article = 0
+    for i in range(len(open_) - 1, -1, -1):
+        if open_[i] in names:
+            return max(i, article)
+        if open_[i] in ("article", "main"):
+            article = article or (i + 1 if tag not in ("article", "main") else 0)
+        elif open_[i] in _CELLS and tag not in _STAYS and tag not in ("table", "section", "article", "main", "body", "html"):
+            break
+    return len(open_)
+
+
 def lines_of(html: str | None) -> list[tuple[str, int]]:
     """The page's visible lines in order, with their labels."""
     if not html:
         return []
     lines: list[tuple[str, int]] = []
     parts: list[str] = []
-    inside = 0  # depth of article and main elements
-    site, depth = "", 0  # the boilerplate or hidden element around, and how often its tag is open
+    open_: list[str] = []  # block elements, and the inline ones that matter for ``site``
+    counted: list[bool] = []  # which of them are articles outside of boilerplate
+    inside = 0  # how many are
+    site, top = "", 0  # the boilerplate or hidden element around, and how many elements are around it
     hidden = False
     at = 0
 
@@ -106,17 +166,28 @@ def lines_of(html: str | None) -> list[tuple[str, int]]:
         opens_site = not closing and tag not in _VOID and (conceals or _is_boilerplate(tag, attributes))
         if tag not in _INLINE or opens_site or site == tag:
             end_line()
-        if site and tag in ("article", "main") and not closing and not opens_site and site != tag:
+        if closing:
+            if tag not in _INLINE:
+                left = _left_at_end(open_, tag)
+            else:
+                left = len(open_) - 1 - open_[::-1].index(tag) if site == tag else len(open_)
+        else:
+            left = _left_at_start(open_, tag)
+        inside -= sum(counted[left:])
+        del open_[left:], counted[left:]
+        if site and left <= top:
+            site, hidden = "", False
+        if closing or tag in _VOID:
+            continue
+        if site and tag in ("article", "main") and not opens_site and site != tag:
             site, hidden = "", False  # it was never closed
-        if site:
-            if tag == site and not attributes.endswith("/"):
-                depth += -1 if closing else 1
-                if not depth:
-                    site, hidden = "", False
-        elif opens_site:
-            site, depth, hidden = tag, 1, conceals
-        elif tag in ("article", "main"):
-            inside = max(0, inside + (-1 if closing else 1))
+        if not site and opens_site:
+            site, top, hidden = tag, len(open_), conceals
+        elif tag in _INLINE and tag != site or attributes.endswith("/") or len(open_) >= MOST_DEPTH:
+            continue
+        open_.append(tag)
+        counted.append(not site and tag in ("article", "main"))
+        inside += counted[-1]
     parts.append(html[at:])
     end_line()
     if any(label == ARTICLE for _, label in lines):

@@ -43,6 +43,33 @@ def test_lines_and_labels():
     assert lines_of(None) == lines_of("") == []
 
 
+def test_boilerplate_without_end_tags_ends():
+    def labels(html):
+        return {text: label for text, label in lines_of(html)}
+
+    assert labels("<article><p>a</p><p class=ad>buy<p>b</p><p>c</p></article>") == {"a": ARTICLE, "buy": SITE, "b": ARTICLE, "c": ARTICLE}
+    for before, after in (
+        ("<ul><li class=ad>buy", "<li>b</ul>"),
+        ("<ul><li class=ad><div>buy", "<li>b</ul>"),
+        ("<dl><dt class=ad>buy", "<dd>b</dl>"),
+        ("<table><tr><td class=ad>buy", "<td>b</table>"),
+        ("<table><tr class=ad><td>buy", "<tr><td>b</table>"),
+        ("<div><div class=ad>buy", "</div></div>b"),
+        ("<section><div class=ad>buy", "</section>b"),
+        ("<section class=ad><p>buy<section>buy</section>", "</section>b"),
+        ("<p>a <span class=ad>buy<span>buy</span>", "</span>b"),
+        ("<p style='display:none'>x", "<p>b"),
+    ):
+        found = labels(f"<article>{before}{after}<p>c</p></article><p>end</p>")
+        assert (found["b"], found["c"], found["end"]) == (ARTICLE, ARTICLE, SITE) and found.get("buy", SITE) == SITE, before
+    # An element of the article that was never closed ends with the article.
+    assert labels("<body><article>a<div class=ad>buy</article><main>b</main></body>") == {"a": ARTICLE, "buy": SITE, "b": ARTICLE}
+    assert labels("<div><nav>menu</div>b") == {"menu": SITE, "b": OPEN}
+    # Boilerplate inside of boilerplate does not end it, and a stray end tag does not end the article.
+    assert labels("<ul class=menu><li>x<li>y</ul>b") == {"x": SITE, "y": SITE, "b": OPEN}
+    assert labels("<div><article><div>a</div></div>b</article></div>") == {"a": ARTICLE, "b": ARTICLE}
+
+
 def test_shared_lines_go_between_nearest_pages_of_a_host(spark):
     def page(own):
         return f"<body><p>Welcome to the site</p><p>{own}</p><p>Write to us</p></body>"
