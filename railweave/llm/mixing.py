@@ -17,7 +17,8 @@ a source with a third of all rows is spread over ``slices`` groups; the result i
 
 Defined results: null text has size 0 and takes 0; the null source comes last in the order; null
 ids sort first among equal keys; a null, zero, negative or infinite quality counts as 1. Rows that repeat an id
-have equal keys: they are taken in the order of their size, and equal rows are interchangeable.
+have equal keys: they are taken in the order of their size, and equal rows are interchangeable. The mixed corpus has each row as
+often as its own plan says; rows are told apart by all their columns.
 Empty tables and tables without words give targets of 0.
 """
 
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from railweave.llm.text import packed, unpacked, word_count
+from railweave.llm.text import packed, plain_text, unpacked, word_count
 from railweave.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -74,8 +75,9 @@ def plan_mix(
     share: float = SHARE,
     max_epochs: int = MAX_EPOCHS,
     slices: int = SLICES,
+    mark: Column | None = None,
 ) -> DataFrame:
-    """A row per row of ``docs``: id_, source_, size_, key_, source_size_, target_, taken_.
+    """A row per row of ``docs``: id_, source_, size_, key_, source_size_, target_, taken_, and mark_ if a ``mark`` of the rows is given.
 
     ``quality`` gives weights by id in the columns (id, quality); the largest counts if there are
     several, and documents without one weigh 1.
@@ -84,7 +86,9 @@ def plan_mix(
         F.col(id_column).alias("id_"),
         F.col(source_column).alias("source_"),
         word_count(F.col(text_column)).alias("size_"),
+        *([] if mark is None else [mark.alias("mark_")]),
     )
+    marks = [] if mark is None else ["mark_"]
     good = F.lit(1.0)
     if quality is not None:
         by_id = quality.groupBy(F.col("id").alias("of_")).agg(F.max(F.col("quality").cast("double")).alias("quality_"))
@@ -119,7 +123,7 @@ def plan_mix(
         F.col("source_").eqNullSafe(F.col("of_")) & (F.col("slice_") == F.col("at_")),
     ).drop("of_", "at_")
     inside = (
-        Window.partitionBy("source_", "slice_").orderBy("key_", "id_", "size_").rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy("source_", "slice_").orderBy("key_", "id_", "size_", *marks).rowsBetween(Window.unboundedPreceding, 0)
     )
     placed = materialize(
         placed.withColumn("through_", F.col("start_") + F.sum("size_").over(inside)).drop("start_", "slice_"),
@@ -153,35 +157,53 @@ def plan_mix(
     return placed.join(extra, F.col("source_").eqNullSafe(F.col("of_")), "left").select(
         "id_", "source_", "size_", "key_", "source_size_", "target_",
         (F.col("size_") * (F.col("epochs_") + F.when(chosen, 1).otherwise(0))).alias("taken_"),
+        *marks,
     )
 
 
+def _row_mark(columns: dict[str, Column], text_column: str) -> Column:
+    """A digest of the whole row: rows with one mark are equal in all columns."""
+    others = F.struct(*(column.alias(name) for name, column in columns.items() if name != text_column))
+    exact = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    return F.sha2(F.concat(F.to_json(others, exact), plain_text(columns[text_column])), 256)
+
+
 def mix(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **options
 ) -> DataFrame:
     """The mixed corpus with the columns of ``docs``: each document as often as it was taken.
 
-    Rows with the same id, source and size share the mean number of times, rounded down.
+    Rows that repeat an id, or have none, are told apart by all their columns. Rows that agree in all are
+    interchangeable and come as often as they were taken together.
     """
     schema = docs.schema
-    taken = plan_mix(docs, id_column, text_column, source_column, **options)
-    plan = taken.groupBy("id_", "source_", "size_").agg(
-        (F.sum("taken_") / F.count("*") / F.greatest(F.col("size_"), F.lit(1))).cast("int").alias("times_")
+    mark = _row_mark({c: F.col(f"`{c}`") for c in docs.columns}, text_column)
+    taken = plan_mix(docs, id_column, text_column, source_column, mark=mark, **options)
+    plan = taken.where("size_ > 0").groupBy("id_", "source_", "mark_").agg(
+        F.sum(F.expr("taken_ div size_")).alias("times_"), F.count("*").alias("rows_")
     )
     rows = packed(docs).select(
         "row_",
         F.col(f"row_.`{id_column}`").alias("of_id_"),
         F.col(f"row_.`{source_column}`").alias("of_source_"),
-        word_count(F.col(f"row_.`{text_column}`")).alias("of_size_"),
+        _row_mark({c: F.col(f"row_.`{c}`") for c in docs.columns}, text_column).alias("of_mark_"),
     )
     same = (
         F.col("of_id_").eqNullSafe(F.col("id_"))
         & F.col("of_source_").eqNullSafe(F.col("source_"))
-        & (F.col("of_size_") == F.col("size_"))
+        & (F.col("of_mark_") == F.col("mark_"))
     )
     # The plan follows the input, so the join is a merge at every size.
     plan = materialize(plan.where("times_ > 0"), "mix-plan")
-    copies = rows.join(plan.hint("merge"), same).withColumn(
-        "copy_", F.explode(F.sequence(F.lit(1), F.col("times_")))
-    )
+    once = rows.join(plan.where("rows_ = 1").hint("merge"), same)
+    copies = once.withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("times_").cast("int"))))
+    several = plan.where("rows_ > 1")
+    if not several.isEmpty():
+        # One of the equal rows gives all their copies, in chunks, so that no task makes all copies of a frequent row.
+        chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(times_ - 1) div 1000")))
+        chunks = materialize(several.withColumn("chunk_", chunk), "mix-repeated")
+        one = rows.dropDuplicates(["of_id_", "of_source_", "of_mark_"])
+        inside = F.least(F.lit(1000).cast("long"), F.col("times_") - 1000 * F.col("chunk_")).cast("int")
+        repeated = one.join(chunks.hint("merge"), same).withColumn("copy_", F.explode(F.sequence(F.lit(1), inside)))
+        copies = copies.select("row_").unionByName(repeated.select("row_"))
     return unpacked(copies, schema)

@@ -54,6 +54,26 @@ def test_better_documents_are_taken_more_often(spark):
     assert 0.62 < good / len(rows) < 0.8
 
 
+def test_repeated_rows_and_rows_without_id_are_mixed_as_planned(spark):
+    # 1,000 equal rows, 600 rows without an id that differ in text alone, 400 distinct ones: one source, of which 60 % are wanted.
+    rows = (
+        [(7, "the same four words", "a")] * 1000
+        + [(None, f"three words t{i}", "a") for i in range(600)]
+        + [(100 + i, "one of some others", "a") for i in range(400)]
+    )
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for share, most in ((0.6, 1), (1.6, 2)):
+        options = {"share": share, "max_epochs": most}
+        plan = mixing.plan_mix(docs, **options).collect()
+        wanted, planned = plan[0].target_, sum(r.taken_ for r in plan)
+        mixed = mixing.mix(docs, **options).collect()
+        assert abs(planned - wanted) <= 4 and sum(len(words(r.text)) for r in mixed) == planned
+        for i in {r.id_ for r in plan}:
+            assert sum(r.doc_id == i for r in mixed) == sum(r.taken_ // r.size_ for r in plan if r.id_ == i)
+        texts = [r.text for r in mixed if r.doc_id is None]
+        assert max(texts.count(t) for t in set(texts)) <= most
+
+
 def test_awkward_and_empty_tables(spark):
     plan = mixing.plan_mix(awkward(spark)).collect()
     assert sorted((r.id_ or 0, r.size_) for r in plan) == sorted((i or 0, len(words(t))) for i, t, _, _ in AWKWARD)
