@@ -20,8 +20,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id stays."""
-    return exact_dedup.drop_exact_copies(docs)
+    """Of equal texts the document with the largest id stays, as a single row."""
+    return exact_dedup.drop_exact_copies(docs, one_per_text=True)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ already merged within each task.
 
 Defined results: null text counts as empty, and empty texts form one group like any other. A null
 identifier never wins over another; a group with only null identifiers keeps its rows. Rows that
-repeat identifier and text are the same document and share its verdict. Empty tables give empty
+repeat identifier and text are the same document and share its verdict; ``drop_exact_copies`` keeps a
+single row of either kind if asked for ``one_per_text``, as the pipeline does. Empty tables give empty
 results; extra columns are untouched.
 """
 
@@ -82,17 +83,43 @@ def dedup_report(
 
 
 def drop_exact_copies(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: str = "largest"
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep: str = "largest", one_per_text: bool = False
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, with the columns of ``docs``."""
+    """The rows of ``docs`` that stay, with the columns of ``docs``.
+
+    With ``one_per_text`` one row stays of those that repeat identifier and text, and one of a group without identifiers.
+    """
     schema = docs.schema
     rows = _with_digest(
         packed(docs).withColumn("text_", F.col(f"row_.`{text_column}`")), "text_"
     ).withColumn("id_", F.col(f"row_.`{id_column}`"))
-    groups = merge_runs(rows.select("id_", *KEY), keep)
+    entries = rows.select("id_", *KEY)
+    if one_per_text:
+        entries = materialize(entries, "digests")
+    groups = merge_runs(entries, keep)
     # Only texts that occur more than once are looked up. Their number follows the input, so the join is a
     # merge at every size; Spark splits a frequent digest.
     repeated = materialize(groups.where("group_size_ > 1"), "digest-groups")
     joined = rows.join(repeated.hint("merge"), KEY, "left")
     stays = F.col("group_size_").isNull() | F.col("id_").eqNullSafe(F.col("keep_id_"))
-    return unpacked(joined.where(stays), schema)
+    kept = joined.where(stays)
+    if one_per_text:
+        # Texts whose identifier that stays is that of several rows.
+        pairs = entries.groupBy("id_", *KEY).agg(F.count("*").alias("rows_")).where("rows_ > 1").drop("rows_")
+        best = repeated.select(*(F.col(k).alias(f"of_{k}") for k in KEY), "keep_id_")
+        same_text = [F.col(k) == F.col(f"of_{k}") for k in KEY]
+        tied = materialize(
+            materialize(pairs, "digest-pairs")
+            .join(best.hint("merge"), [*same_text, F.col("id_").eqNullSafe(F.col("keep_id_"))])
+            .select("id_", *KEY),
+            "digest-ties",
+        )
+        if not tied.isEmpty():
+            # Rows are reduced by identifier and text within each task before any of them meet.
+            one = rows.dropDuplicates(["id_", *KEY]).join(
+                tied.select(*(F.col(k).alias(f"of_{k}") for k in KEY), F.col("id_").alias("of_id_")).hint("merge"),
+                [*same_text, F.col("id_").eqNullSafe(F.col("of_id_"))],
+                "left_semi",
+            )
+            kept = kept.join(tied.select(*KEY).hint("merge"), KEY, "left_anti").select("row_").unionByName(one.select("row_"))
+    return unpacked(kept, schema)

@@ -6,6 +6,7 @@ from collections import defaultdict
 import pytest
 from helpers import AWKWARD, ascii_lower, awkward, empty
 
+import corpus_pipeline
 from railweave.llm import exact_dedup
 
 
@@ -44,6 +45,17 @@ def test_entries_that_differ_behind_one_digest_stay_apart(spark):
     assert found == [(2, 1), (3, 1), (4, 2)]
 
 
+def test_the_pipeline_keeps_one_row_per_text(spark):
+    rows = (
+        [(1, "Twice the same", "a")] * 3 + [(2, "twice THE same", "a")] * 2 + [(None, "twice the same", "b")] * 2
+        + [(None, "only without ids", "a")] * 40 + [(3, "once", "a"), (3, "once more", "a"), (None, "alone", "b")]
+        + [(4, None, "a"), (4, "", "a"), (None, None, "a")]
+    )
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    kept = sorted((r.doc_id or 0, ascii_lower(r.text)) for r in corpus_pipeline.drop_exact_copies(spark, docs, "").collect())
+    assert kept == [(0, "alone"), (0, "only without ids"), (2, "twice the same"), (3, "once"), (3, "once more"), (4, "")]
+
+
 def test_empty_table(spark):
     assert exact_dedup.dedup_report(empty(spark)).collect() == []
     assert exact_dedup.drop_exact_copies(empty(spark)).collect() == []
