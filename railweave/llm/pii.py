@@ -7,13 +7,15 @@ tokens. Every run of tokens of at most ``MAX_SPAN`` characters is a candidate se
 its context score it, and dynamic programming over the tokens chooses the best set of segments jointly, so that boundaries and kinds compete. Segments
 that touch a base span are no candidates.
 
-Fitting: about ``SAMPLE`` documents, chosen by a hash of their ids, give regions with their base spans. Each also
+Fitting: base spans are found in all documents first. Then, by a hash of the ids, at most ``PER_KIND`` windows around base spans
+are drawn for each kind, and at most ``NEGATIVES`` regions of documents without any; every task sends on no more than that.
+However rare a kind is, its spans are found among all rows. Each window also
 enters with its spans rewritten into forms the patterns miss, and with spans made invalid (a failing check
 digit, an address part above 255, too few digits), which then count as no data. The weights maximise the likelihood of these segmentations.
 
 Defined results: null and empty texts have no spans. Positions are code points, ends exclusive. Long texts are
 searched whole, in time linear in their length. Rows are judged one by one, repeated ids too. An empty
-table, or a sample without any base span, gives the base spans only.
+table, or one without any base span, gives the base spans only. A kind without any base span in the table is not added.
 """
 
 from __future__ import annotations
@@ -33,11 +35,14 @@ from pyspark.sql import functions as F
 
 from railweave.llm.mixing import uniform
 from railweave.llm.text import bound_batches, plain_text
+from railweave.session import materialize
 
 #: The kinds, in the order in which spans with one start are listed.
 KINDS = ("email", "ip", "card", "phone")
-#: Documents sampled for fitting (expected) and regions fitted on (at most).
-SAMPLE, REGIONS = 4000, 300
+#: Windows fitted on, at most: for each kind, and regions of documents without base spans; windows of one kind from one document.
+PER_KIND, NEGATIVES, PER_DOCUMENT = 50, 100, 4
+#: Longest window.
+WINDOW = 400
 #: Longest candidate; text of a region on both sides of its sign, so that no candidate is cut; text before a span searched for cues.
 MAX_SPAN, CONTEXT, CUE = 64, 64, 40
 
@@ -347,50 +352,77 @@ def _find(weights: dict[str, float]):
     return find
 
 
-def _sample_regions(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        rows = []
-        for doc, text in zip(frame.draw_, frame.text_):
-            if not (spans := base_spans(text)):
-                # A region without data teaches what to leave alone.
-                rows.extend((doc, text[a:b], "") for a, b in regions(text)[:1])
-                continue
-            for low, high in regions(text)[:4]:
+def _window(spans: list[Span], length: int, at: Span) -> tuple[int, int]:
+    """The text around a span, without the parts of other spans at its edges."""
+    _, start, end = at
+    low, high = max(0, start - CONTEXT), min(length, end + CONTEXT)
+    for _, a, b in spans:
+        if a < low < b <= start:
+            low = b
+        elif end <= a < high < b:
+            high = a
+    return low, high
+
+
+def labelled_windows(text: str) -> list[tuple[str, str, str]]:
+    """(kind, window, its base spans); kind is empty for a region of a text without base spans."""
+    spans = base_spans(text)
+    if not spans:
+        # A region without data teaches what to leave alone.
+        return [("", text[a : min(b, a + WINDOW)], "") for a, b in regions(text)[:1]]
+    out = []
+    for kind in KINDS:
+        for span in [s for s in spans if s[0] == kind][:PER_DOCUMENT]:
+            low, high = _window(spans, len(text), span)
+            if high - low <= WINDOW:
                 inside = [(k, s - low, e - low) for k, s, e in spans if low <= s and e <= high]
-                if high - low <= 400:
-                    rows.append((doc, text[low:high], ",".join(f"{k}:{a}:{b}" for k, a, b in inside)))
-        yield pd.DataFrame(rows, columns=["draw_", "region_", "spans_"])
-
-
-def fit_on(texts: DataFrame, sample: int = SAMPLE, limit: int = REGIONS) -> dict[str, float]:
-    """Weights from a sample of (id_, text_); empty if it holds no base span."""
-    total = texts.count()
-    draw = uniform(F.col("id_"))
-    chosen = texts.where(draw < min(1.0, sample / max(1, total))).select(draw.alias("draw_"), "text_")
-    # Not more than ``limit`` short regions come to the driver.
-    rows = (
-        chosen.mapInPandas(_sample_regions, "draw_ double, region_ string, spans_ string")
-        .orderBy("draw_", "region_", "spans_")
-        .limit(limit)
-        .collect()
+                out.append((kind, text[low:high], ",".join(f"{k}:{a}:{b}" for k, a, b in inside)))
+    return out
+
+
+def _draw_windows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of each kind, and of the regions without data, the first in order of the draw."""
+    drawn: dict[str, list[tuple]] = {kind: [] for kind in ("", *KINDS)}
+    for frame in frames:
+        for draw, text in zip(frame.draw_, frame.text_):
+            for kind, window, listed in labelled_windows(text):
+                drawn[kind].append((draw, window, listed))
+        for kind, found in drawn.items():
+            drawn[kind] = sorted(set(found))[: PER_KIND if kind else NEGATIVES]
+    rows = [(kind, *row) for kind, found in drawn.items() for row in found]
+    yield pd.DataFrame(rows, columns=["kind_", "draw_", "region_", "spans_"]).astype({"draw_": "float64"})
+
+
+def fit_on(texts: DataFrame) -> dict[str, float]:
+    """Weights from windows of (id_, text_), drawn by kind; empty if there is no base span."""
+    drawn = materialize(
+        texts.select(uniform(F.col("id_")).alias("draw_"), "text_").mapInPandas(
+            _draw_windows, "kind_ string, draw_ double, region_ string, spans_ string"
+        ),
+        "pii-windows",
     )
+    rows = set()
+    for kind in ("", *KINDS):
+        first = drawn.where(F.col("kind_") == kind).select("draw_", "region_", "spans_").distinct()
+        first = first.orderBy("draw_", "region_", "spans_").limit(PER_KIND if kind else NEGATIVES)
+        rows.update(tuple(row) for row in first.collect())
     found = []
-    for row in rows:
-        parts = [x.rsplit(":", 2) for x in row.spans_.split(",") if x]
-        found.append((row.region_, [(k, int(a), int(b)) for k, a, b in parts]))
+    for _, region, listed in sorted(rows):
+        parts = [x.rsplit(":", 2) for x in listed.split(",") if x]
+        found.append((region, [(k, int(a), int(b)) for k, a, b in parts]))
     if not any(spans for _, spans in found):
         return {}
     return fit(training_examples(found))
 
 
 def find_personal_data(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = SAMPLE, weights: dict[str, float] | None = None
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", weights: dict[str, float] | None = None
 ) -> DataFrame:
     """A row per row of ``docs``: the id, n_email, n_ip, n_card, n_phone and base_sha256 of the base spans, spans (all of them), n_added."""
     bound_batches(docs.sparkSession)
     texts = docs.select(F.col(id_column).cast("long").alias("id_"), plain_text(F.col(text_column)).alias("text_"))
     if weights is None:
-        weights = fit_on(texts, sample)
+        weights = fit_on(texts)
     counts = ", ".join(f"n_{k} long" for k in KINDS)
     return texts.mapInPandas(
         _find(weights), f"id_ long, {counts}, base_sha256 string, spans string, n_added long"

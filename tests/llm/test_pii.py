@@ -117,6 +117,24 @@ def test_spelled_and_defanged_spans_are_added(spark):
         assert found[i] == f"{kind}:{text.index(span)}:{text.index(span) + len(span)}"
 
 
+def test_rare_kinds_among_many_documents_are_fitted(spark):
+    # Most documents hold a region without data, few hold a span of a kind.
+    common = spark.range(30_000).selectExpr("id as doc_id", "concat('order ', 1000 + id, ' came in at noon') as text")
+    rare = [(100_000 + 7 * i, text) for i, text in corpus(24)]
+    asked = [(200_000, "write to john at example dot com for more"), (200_001, "the host is 10[.]20[.]30[.]40 as you know")]
+    docs = common.unionByName(spark.createDataFrame(rare + asked, "doc_id long, text string"))
+    found = {r.doc_id: r.spans for r in pii.find_personal_data(docs).where("n_added > 0").collect()}
+    assert found == {200_000: "email:9:32", 200_001: "ip:12:29"}
+
+
+def test_windows_hold_whole_spans():
+    text = "x " * 60 + "a@b.org " * 40 + "or 8.8.8.8 " + "y " * 60
+    windows = pii.labelled_windows(text)
+    assert {kind for kind, _, _ in windows} == {"email", "ip"}
+    for _, window, listed in windows:
+        assert pii.base_spans(window) == [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in listed.split(","))]
+
+
 def test_decoding_equals_the_best_of_all_segmentations():
     draw = random.Random(3)
     for _ in range(200):
