@@ -6,7 +6,10 @@
    id), and outside of the article on pages that mark one; ``ARTICLE`` in a marked article; else ``OPEN``. Elements end at their end tag, where HTML lets that be
    omitted (p, li, dt, dd, option and the parts of tables), and with the elements around them.
 2. Pages are ordered by host, path and address. A page is paired with its neighbour in that order that has
-   the same host and the longer common path, the earlier one if equal.
+   the same host and the longer common path, the earlier one if equal. With ``skip_copies`` pages of a host whose lines (but
+   for SITE lines) are equal stand in that order once, at their first address, and share the deletions found there; and
+   neighbours that share ``NEARLY_ALL`` lines are passed over, up to ``REACH`` places on either side. A page with no other
+   neighbour within reach loses nothing.
 3. The line sequences of a pair are aligned by their longest common subsequence. The page's shared lines are the site's
    and are deleted; so are SITE lines, which need not be the same on every page. ARTICLE lines stay: what two marked
    articles share is a passage that both quote.
@@ -25,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +40,8 @@ from railweave.llm.text import bound_batches, host_of, path_of, plain_text
 from railweave.session import materialize
 
 BLOCK, TASK_BLOCKS = 64, 16
+#: Neighbours looked at on either side, and the share of lines that makes one a copy.
+REACH, NEARLY_ALL = 4, 0.95
 SITE, OPEN, ARTICLE = 0, 1, 2
 
 _PIECE = re.compile(
@@ -259,6 +265,24 @@ def deleted_lines(page: dict, before: dict | None, after: dict | None) -> list[i
     return [i for i in shared_lines(page["lines"], nearest["lines"]) if page["labels"][i] != ARTICLE]
 
 
+def _is_copy(page: dict, other: dict) -> bool:
+    """Whether two pages share nearly all lines that are not SITE lines."""
+    a, b = (Counter(line for line, label in zip(x["lines"], x["labels"]) if label != SITE) for x in (page, other))
+    return (a & b).total() >= NEARLY_ALL * max(a.total(), b.total())
+
+
+def _neighbour(pages: dict, rank: int, step: int, reach: int, skip_copies: bool) -> dict | None:
+    """The next page of the same host in the direction of ``step``."""
+    page = pages[rank]
+    for at in range(rank + step, rank + step * (reach + 1), step):
+        other = pages.get(at)
+        if not other or not page["host"] or other["host"] != page["host"]:
+            return None
+        if not (skip_copies and _is_copy(page, other)):
+            return other
+    return None
+
+
 def _same_start(a: str, b: str) -> int:
     n = 0
     for x, y in zip(a, b):
@@ -274,24 +298,34 @@ def _outline(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pages = [lines_of(html) for html in frame.html_]
         digest = lambda text: hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest()
         hashes = [[int.from_bytes(digest(text), "little", signed=True) for text, _ in lines] for lines in pages]
-        yield frame.drop(columns="html_").assign(lines_=hashes, labels_=[[label for _, label in lines] for lines in pages])
-
-
-def _difference(frame: pd.DataFrame) -> pd.DataFrame:
-    """Deletions of the pages of some blocks; pages marked ``beside_`` are there for their neighbours only."""
-    out = []
-    for _, block in frame.groupby("block_"):
-        pages = {
-            r.rank_: {"host": r.host_, "path": r.path_, "lines": list(r.lines_), "labels": list(r.labels_)}
-            for r in block.itertuples(index=False)
-        }
-        for row in block[~block.beside_].itertuples(index=False):
-            near = [pages.get(row.rank_ + step) for step in (-1, 1)]
-            shared = deleted_lines(pages[row.rank_], *(x if x and row.host_ and x["host"] == row.host_ else None for x in near))
-            # SITE lines go anyway.
-            if gone := [i for i in shared if row.labels_[i] == OPEN]:
-                out.append((row.page_, row.key_, gone))
-    return pd.DataFrame(out, columns=["page_", "key_", "gone_"]).astype({"page_": "Int64", "key_": "Int64"})
+        labels = [[label for _, label in lines] for lines in pages]
+        kept = [[(h, label) for h, label in zip(*page) if label != SITE] for page in zip(hashes, labels)]
+        text = [hashlib.blake2b(repr(lines).encode(), digest_size=16).hexdigest() for lines in kept]
+        yield frame.drop(columns="html_").assign(lines_=hashes, labels_=labels, same_=text)
+
+
+def _difference(reach: int, skip_copies: bool):
+    """Deletions of the pages of some blocks, as places among the lines that are not SITE lines; pages marked ``beside_`` are
+    there for their neighbours only."""
+
+    def difference(frame: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, block in frame.groupby("block_"):
+            pages = {
+                r.rank_: {"host": r.host_, "path": r.path_, "lines": list(r.lines_), "labels": list(r.labels_)}
+                for r in block.itertuples(index=False)
+            }
+            for row in block[~block.beside_].itertuples(index=False):
+                near = [_neighbour(pages, row.rank_, step, reach, skip_copies) for step in (-1, 1)]
+                shared = set(deleted_lines(pages[row.rank_], *near))
+                # SITE lines go anyway.
+                places = [i for i, label in enumerate(row.labels_) if label != SITE]
+                if gone := [k for k, i in enumerate(places) if i in shared]:
+                    out.append((row.page_, row.key_, row.host_, row.same_, gone))
+        found = pd.DataFrame(out, columns=["page_", "key_", "host_", "same_", "gone_"])
+        return found.astype({"page_": "Int64", "key_": "Int64"})
+
+    return difference
 
 
 def _texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -299,7 +333,8 @@ def _texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         texts = []
         for html, gone in zip(frame.html_, frame.gone_):
             drop = set() if gone is None else set(gone)
-            texts.append(" ".join(x for i, (x, label) in enumerate(lines_of(html)) if label != SITE and i not in drop))
+            lines = [x for x, label in lines_of(html) if label != SITE]
+            texts.append(" ".join(x for i, x in enumerate(lines) if i not in drop))
         yield pd.DataFrame(
             {
                 "page_": frame.page_.array,
@@ -311,7 +346,9 @@ def _texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
-def main_texts(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:
+def main_texts(
+    pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html", skip_copies: bool = False
+) -> DataFrame:
     """A row per row of ``pages``: id, url, text, n_chars (code points), n_deleted (lines)."""
     bound_batches(pages.sparkSession)
     rows = pages.select(
@@ -319,18 +356,23 @@ def main_texts(pages: DataFrame, id_column: str = "page_id", url_column: str = "
         F.col(url_column).cast("string").alias("url_"),
         plain_text(F.col(html_column)).alias("html_"),
     ).withColumn("key_", F.xxhash64("page_", "url_", "html_"))
-    outline = "page_ long, key_ long, host_ string, path_ string, lines_ array<long>, labels_ array<int>"
+    outline = "page_ long, key_ long, host_ string, path_ string, lines_ array<long>, labels_ array<int>, same_ string"
     narrow = (
         rows.select("page_", "key_", host_of(F.col("url_")).alias("host_"), path_of(F.col("url_")).alias("path_"), "html_")
         .mapInPandas(_outline, outline)
         .dropDuplicates(["page_", "key_"])
     )
     narrow = materialize(narrow, "page-lines")
-    total = narrow.count()
+    compared, reach = narrow, 1
+    if skip_copies:
+        reach = REACH
+        first = F.min(F.struct("path_", "page_", "key_", "lines_", "labels_")).alias("first_")
+        compared = materialize(narrow.groupBy("host_", "same_").agg(first).select("host_", "same_", "first_.*"), "page-firsts")
+    total = compared.count()
     order = ["host_", "path_", "page_", "key_"]
     # Numbers rise along the order: the partition in the high bits, the place in it in the low ones.
     placed = materialize(
-        narrow.repartitionByRange(max(1, -(-total // 20_000)), *order)
+        compared.repartitionByRange(max(1, -(-total // 20_000)), *order)
         .sortWithinPartitions(*order)
         .withColumn("place_", F.monotonically_increasing_id()),
         "page-order",
@@ -345,16 +387,20 @@ def main_texts(pages: DataFrame, id_column: str = "page_id", url_column: str = "
         "rank_", F.col("start_") + F.col("place_").bitwiseAND(F.lit((1 << 33) - 1))
     ).drop("part_", "start_", "place_")
     own = F.floor(F.col("rank_") / BLOCK)
-    edge = F.col("rank_") % BLOCK
-    beside = F.when(edge == 0, own - 1).when(edge == BLOCK - 1, own + 1)
-    blocks = F.explode(F.array_compact(F.array(F.struct(own.alias("b"), F.lit(False).alias("s")), F.when(beside >= 0, F.struct(beside.alias("b"), F.lit(True).alias("s"))))))
-    dealt = ranked.withColumn("to_", blocks).select("*", F.col("to_.b").alias("block_"), F.col("to_.s").alias("beside_")).drop("to_")
+    low, high = (F.floor((F.col("rank_") + step) / BLOCK) for step in (-reach, reach))
+    dealt = ranked.withColumn("block_", F.explode(F.sequence(F.greatest(low, F.lit(0).cast("long")), high))).withColumn(
+        "beside_", F.col("block_") != own
+    )
     gone = materialize(
         dealt.groupBy(F.floor(F.col("block_") / TASK_BLOCKS).alias("task_")).applyInPandas(
-            _difference, "page_ long, key_ long, gone_ array<int>"
+            _difference(reach, skip_copies), "page_ long, key_ long, host_ string, same_ string, gone_ array<int>"
         ),
         "page-deletions",
-    ).withColumnsRenamed({"page_": "of_page_", "key_": "of_key_"})
+    )
+    if skip_copies:
+        shared = gone.select("host_", "same_", "gone_")
+        gone = materialize(narrow.select("page_", "key_", "host_", "same_").join(shared, ["host_", "same_"]), "copy-deletions")
+    gone = gone.select(F.col("page_").alias("of_page_"), F.col("key_").alias("of_key_"), "gone_")
     joined = rows.join(
         gone, F.col("page_").eqNullSafe(F.col("of_page_")) & (F.col("key_") == F.col("of_key_")), "left"
     ).select("page_", "url_", "html_", "gone_")

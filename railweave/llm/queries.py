@@ -39,7 +39,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query
 def op1_html_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_diff.main_texts(table(spark, sf_dir, "pages"))
+    return html_diff.main_texts(table(spark, sf_dir, "pages"), skip_copies=True)
 
 
 def listed_urls(pages: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from hypothesis import strategies as st
 
 from railweave.llm import html_diff
 from railweave.llm.html_diff import ARTICLE, OPEN, SITE, lines_of, shared_lines
+from railweave.llm.queries import op1_html_diff
 
 PAGES = "page_id long, url string, html string, key_ string, html_ string"
 
@@ -97,6 +98,34 @@ def test_shared_lines_go_between_nearest_pages_of_a_host(spark):
     ]
 
 
+def test_copies_are_not_compared_with_each_other(spark, tmp_path):
+    def page(own, extra=""):
+        return f"<body><p>Welcome to the site</p>{own}<p>Write to us</p><nav>{extra}</nav></body>"
+
+    def paragraphs(name, changed=()):
+        return "".join(f"<p>{name} {i}{' anew' if i in changed else ''}</p>" for i in range(30))
+
+    rows = [(i, f"http://a.org/x/{i % 7}?session={i}", page("<p>the article</p>", f"menu {i}")) for i in range(300)]
+    rows += [
+        (1000, "http://a.org/x/3", page("<p>another article</p>")),
+        # Alone on its host, but for its copies.
+        (1001, "http://b.org/1", page("<p>mirrored</p>")),
+        (1002, "http://b.org/1?print", page("<p>mirrored</p>")),
+        # Nearly copies, and a page beyond them.
+        (1003, "http://c.org/p/1", page(paragraphs("line"))),
+        (1004, "http://c.org/p/2", page(paragraphs("line", [4]))),
+        (1005, "http://c.org/p/3", page(paragraphs("other"))),
+    ]
+    pages(spark, rows).write.parquet(f"{tmp_path}/pages.parquet")
+    found = {r.page_id: (r.text, r.n_deleted) for r in op1_html_diff(spark, str(tmp_path)).collect()}
+    assert len(found) == len(rows)
+    assert all(found[i] == ("the article", 2) for i in range(300))
+    assert found[1000] == ("another article", 2)
+    assert found[1001] == found[1002] == ("Welcome to the site mirrored Write to us", 0)
+    for i, name, changed in ((1003, "line", ()), (1004, "line", (4,)), (1005, "other", ())):
+        assert found[i] == (" ".join(f"{name} {k}{' anew' if k in changed else ''}" for k in range(30)), 2)
+
+
 def test_blocks_give_the_result_of_one_pass(spark, monkeypatch):
     monkeypatch.setattr(html_diff, "BLOCK", 2)
     rows = [
