@@ -1,12 +1,12 @@
-"""Exact dedup: digest runs merged up a tree.
+"""Exact dedup: runs of digests merged up a tree of hash aggregations.
 
 Every row becomes (digest, length, second hash, id). Rows start in ``2 ** levels`` runs. In each
 round the runs whose numbers agree but for the lowest ``fan_bits`` bits meet: the exchange brings
-equal digests of the merging runs together, the sort aggregate merges them, and one entry per digest
+equal digests of the merging runs together, a hash aggregation merges them, and one entry per digest
 remains with its best identifier and its row count. An entry is merged only with entries whose
 length and second hash agree too, so that a digest alone never decides. After the last round one run
 is left, which is the table of groups. A group of any size arrives at a reducer as one entry per run,
-already merged within each task.
+already merged within each task. Runs are not sorted, and no round is a multiway merge of sorted runs.
 
 Defined results: null text counts as empty, and empty texts form one group like any other. A null
 identifier never wins over another; a group with only null identifiers keeps its rows. Rows that
