@@ -42,6 +42,8 @@ def canonical(value):
         return datetime.datetime(value.year, value.month, value.day)
     if isinstance(value, int):
         return float(value)
+    if isinstance(value, (list, tuple)):
+        return tuple(canonical(item) for item in value)
     return value if isinstance(value, str) else float(value)
 
 
