@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from railweave.llm import (
     ann,
     exact_dedup,
+    hard_negatives,
     html_diff,
     language,
     license_scan,
@@ -17,6 +18,7 @@ from railweave.llm import (
     near_dedup,
     packing,
     pii,
+    toxicity,
     url_filter,
 )
 from railweave.llm.text import host_of, path_of
@@ -129,6 +131,19 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "n_matches")
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
+
+
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
 
@@ -218,3 +233,22 @@ select doc_id, coalesce(n, 0) as n_shingles, least(doc_id, coalesce(low, doc_id)
        least(doc_id, coalesce(low, doc_id)) = doc_id as kept
 from words left join sizes using (doc_id)
 left join (select doc_id, min(seen) as low from reach group by doc_id) using (doc_id)"""
+
+CHECKS["op13_hard_negatives"] = """
+with rows as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * x::double)) as v
+    from embeddings
+    where vec_id is not null and label is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (
+    select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, list_dot_product(a.v, b.v)::bigint as score
+    from rows a join rows b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id and len(a.v) = len(b.v)),
+positives as (
+    select * from pairs where same qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select p.anchor_id, p.id as positive_id,
+       row_number() over (partition by p.anchor_id, p.id order by n.score desc, n.id)::int as rank,
+       n.id as negative_id, p.score as positive_score, n.score as negative_score
+from positives p join pairs n on n.anchor_id = p.anchor_id and not n.same
+     and 80 * p.score <= 100 * n.score and 100 * n.score <= 100 * p.score
+qualify rank <= 5"""
