@@ -64,15 +64,15 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(entry.getPath().getName() for entry in system.listStatus(make(path)) if entry.isDirectory())
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def materialize(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
+    """Write ``df`` once to the shared folder, by the values of ``partition_by`` if any, and read it back.
 
     Cuts lineage so that several consumers neither recompute the input nor depend on the
     executors that produced it, and lets each consumer read only the columns it needs.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/railweave/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
