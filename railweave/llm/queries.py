@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from railweave.llm import (
     ann,
+    collocations,
     exact_dedup,
     hard_negatives,
     html_diff,
@@ -137,6 +138,11 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted", "n_matches")
 
 
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_collocations(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.col("label")
@@ -234,6 +240,40 @@ select doc_id, coalesce(n, 0) as n_shingles, least(doc_id, coalesce(low, doc_id)
 from words left join sizes using (doc_id)
 left join (select doc_id, min(seen) as low from reach group by doc_id) using (doc_id)"""
 
+_PHRASES = " union all ".join(
+    f"""select lang, {k} as k, unnest(list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i : i + {k - 1}], ' '))) as p
+    from pieces where len(w) >= {k}"""
+    for k in range(1, 5)
+)
+CHECKS["op12_collocations"] = rf"""
+with pieces as (
+    select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from (
+        select coalesce(lang, 'und') as lang,
+               unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) as piece
+        from documents)),
+words as (select lang, sum(len(w))::bigint as n from pieces group by lang),
+frequent as (select lang, k, p, count(*) as f from ({_PHRASES}) group by lang, k, p having count(*) >= 30),
+split as (select lang, k, p, f as a, string_split(p, ' ') as w from frequent where k >= 2),
+inside as (
+    select lang, p, max(f) as around from (
+        select lang, a as f, unnest(case k
+            when 3 then [array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]
+            when 4 then [array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' '), array_to_string(w[3:4], ' '),
+                         array_to_string(w[1:3], ' '), array_to_string(w[2:4], ' ')] else [] end) as p from split)
+    group by lang, p),
+alone as (
+    select s.* from split s left join inside i on i.lang = s.lang and i.p = s.p
+    where i.around is null or 100 * i.around::hugeint < 80 * s.a::hugeint),
+cuts as (select *, unnest(range(1, k)) as c from alone),
+scored as (
+    select c.lang, c.p, c.a, h.f as l, t.f as r, c.c, (2000000 * c.a::hugeint) // (h.f::hugeint + t.f) as score
+    from cuts c join frequent h on h.lang = c.lang and h.p = array_to_string(c.w[1 : c.c], ' ')
+    join frequent t on t.lang = c.lang and t.p = array_to_string(c.w[c.c + 1 :], ' ')),
+weakest as (select * from scored qualify row_number() over (partition by lang, p order by score, c) = 1),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, p) as rank from weakest)
+select r.lang, r.rank, r.p as phrase, r.a, r.l, r.r, n, r.score::bigint as score
+from ranked r join words using (lang) where r.rank <= 2000"""
+
 CHECKS["op13_hard_negatives"] = """
 with rows as (
     select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
