@@ -16,7 +16,7 @@ Weights are log rate ratios. Of the matches in the drawn texts the phrases of a
 of the drawn texts, each standing for its share of its label, so the draw does not move the prior.
 ``SEEDS`` and ``EXCEPTIONS`` hold without any label.
 
-Defined results: null and empty texts have no match and the score of a text without one. Every row is judged by itself, repeated
+Defined results: null and empty texts have no match and the score of a text without one, which is below one half. Every row is judged by itself, repeated
 ids too; a label that repeats counts as toxic if any of its rows does. Rows without an id are held out like the id of no characters. Without labels of
 both kinds the default coefficients hold. Long texts are matched whole in time linear in their length. An empty table gives an empty result.
 """
@@ -47,6 +47,8 @@ SHORTEST, LONGEST, LEAST_TEXTS, RATIO = 4, 10, 8, 4.0
 CANDIDATES, ENTRIES, EXCEPTION_TEXTS = 4000, 400, 5
 #: Weight of an entry without labels, and the largest learned one.
 SEED_WEIGHT, MOST_WEIGHT = 4.0, 8.0
+#: The largest constant of a score: a text without a match stays below one half.
+MOST_CONSTANT = -1.0
 #: Of a score without labels: constant, any match, log evidence, log evidence for each block.
 DEFAULT_SCORE = (-4.0, 1.0, 1.5, 1.0)
 
@@ -275,7 +277,8 @@ def fit_score(features: np.ndarray, toxic: np.ndarray, weight: np.ndarray, round
         b += step / max(1.0, np.abs(step).max() / 2)
         if np.abs(step).max() < 1e-9:
             break
-    return tuple(float(v) for v in b)
+    # A text without a match is never called toxic, however common the label is.
+    return (min(float(b[0]), MOST_CONSTANT), *(float(v) for v in b[1:]))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Lexicon:
