@@ -12,6 +12,7 @@ from railweave.functions.gtfs_time import (
     is_weekend,
     service_timestamp,
 )
+from railweave.operators.carried import Carried, with_carried
 from railweave.operators.scan import (
     DAY_MICROS,
     HOT_ROWS,
@@ -111,8 +112,13 @@ def _clock(df: DataFrame) -> DataFrame:
     return df.withColumn("at", F.unix_micros("event_timestamp"))
 
 
-def previous_delay(current: DataFrame, hot_rows: int = HOT_ROWS, sliced: bool | None = None):
-    """Delay at the same vehicle and trip's previous observation, per ``row_id``."""
+def previous_delay(
+    current: DataFrame, hot_rows: int = HOT_ROWS, sliced: bool | None = None, carried: Carried | None = None
+):
+    """Delay at the same vehicle and trip's previous observation, per ``row_id``.
+
+    ``carried`` stands for the observations before those of ``current``.
+    """
     rows = _clock(current).select(
         "row_id", "vehicle_id", "trip_id", "at", "observation_id",
         F.struct("current_delay_sec").alias("delay"),
@@ -122,16 +128,22 @@ def previous_delay(current: DataFrame, hot_rows: int = HOT_ROWS, sliced: bool |
         tiebreak="observation_id", slice_width=7 * DAY_MICROS,
         hot_rows=hot_rows, sliced=sliced,
     )
-    return scanned.select(
-        "row_id", F.col("previous.current_delay_sec").alias("previous_observed_delay_sec")
-    )
+    delay = F.col("previous.current_delay_sec")
+    if carried is not None:
+        scanned = with_carried(scanned, carried, "vehicle")
+        earlier = F.col("carried_last.current_delay_sec").cast("int")
+        delay = F.when(F.col("previous").isNotNull(), delay).otherwise(earlier)
+    return scanned.select("row_id", delay.alias("previous_observed_delay_sec"))
 
 
 def historical_delay(
     current: DataFrame, key: str, name: str, slice_width: int = HOUR_MICROS,
-    hot_rows: int = HOT_ROWS, sliced: bool | None = None,
+    hot_rows: int = HOT_ROWS, sliced: bool | None = None, carried: Carried | None = None,
 ):
-    """Mean delay over all earlier observations with the same ``key``, per ``row_id``."""
+    """Mean delay over all earlier observations with the same ``key``, per ``row_id``.
+
+    ``carried`` stands for the observations before those of ``current``.
+    """
     rows = _clock(current).select(
         "row_id", "at", "observation_id",
         F.col(key).isNotNull().alias("has_key"),
@@ -145,7 +157,15 @@ def historical_delay(
         tiebreak="observation_id", slice_width=slice_width,
         hot_rows=hot_rows, sliced=sliced,
     )
-    return scanned.select("row_id", F.try_divide("delay_sum", "delay_count").alias(name))
+    total, count = F.col("delay_sum"), F.col("delay_count")
+    if carried is not None:
+        named = scanned.withColumn(key, F.when(F.col("has_key"), F.col("key")))
+        scanned = with_carried(named, carried, "route" if key == "route_id" else "stop")
+        total, count = (
+            F.coalesce(here, F.lit(0)) + F.coalesce(F.col(before), F.lit(0))
+            for here, before in ((total, "carried_sum"), (count, "carried_count"))
+        )
+    return scanned.select("row_id", F.try_divide(total, count).alias(name))
 
 
 def _target_keys(same_service_day: bool) -> list[str]:
@@ -219,21 +239,26 @@ def current_features(staged_positions: DataFrame, staged_stop_times: DataFrame)
     It is written because four scans and the final join read it. ``row_id`` also keeps apart the
     copies of an observation that a repeated (trip, sequence) in the schedule would make.
     """
-    matched = observations_with_schedule(
-        eligible_observations(staged_positions), schedule_features(staged_stop_times)
-    )
+    return matched_features(staged_positions, schedule_features(staged_stop_times))
+
+
+def matched_features(staged_positions: DataFrame, schedule: DataFrame) -> DataFrame:
+    """``current_features`` with the result of ``schedule_features``."""
+    matched = observations_with_schedule(eligible_observations(staged_positions), schedule)
     return materialize(
         matched.withColumn("row_id", F.monotonically_increasing_id()), "current-features"
     )
 
 
 def delay_features(
-    current: DataFrame, hot_rows: int = HOT_ROWS, same_service_day: bool = False
+    current: DataFrame, hot_rows: int = HOT_ROWS, same_service_day: bool = False,
+    carried: Carried | None = None,
 ) -> DataFrame:
     """All features and the label, one row per schedule-matched observation.
 
     ``current`` is the table of ``current_features``. Each scan moves only its own few columns
-    and the wide rows are shuffled once, for the final join on ``row_id``.
+    and the wide rows are shuffled once, for the final join on ``row_id``. With ``carried``, ``current`` holds the
+    observations from its start on, and the totals stand for all earlier ones.
     """
     keys = {"vehicle": ["vehicle_id", "trip_id"], "route": ["route_id"], "stop": ["scheduled_stop_id"]}
     # The label scan takes every row twice, hence half the limit. A small table needs no check.
@@ -244,16 +269,16 @@ def delay_features(
         return {"hot_rows": hot_rows, "sliced": key in large}
 
     route = historical_delay(
-        current, "route_id", "historical_route_delay_sec", **options("route")
+        current, "route_id", "historical_route_delay_sec", carried=carried, **options("route")
     )
     stop = historical_delay(
         current, "scheduled_stop_id", "historical_stop_delay_sec", slice_width=DAY_MICROS,
-        **options("stop"),
+        carried=carried, **options("stop"),
     )
     targets = first_future_target(
         current, same_service_day=same_service_day, **options("vehicle")
     )
-    joined = current.join(previous_delay(current, **options("vehicle")), "row_id", "left")
+    joined = current.join(previous_delay(current, carried=carried, **options("vehicle")), "row_id", "left")
     for found in (route, stop, targets):
         joined = joined.join(found, "row_id", "left")
     return joined.select(

@@ -270,6 +270,13 @@ select * exclude (entity_id, event_timestamp, has_target_delay_4_stops),
 from v_features where has_target_delay_4_stops
 """
 
+# The same over the older half of the observations, as an earlier run saw them.
+VIEWS["v_half_matched"] = """
+select * from v_matched where observation_id <= (select max(id) // 2 from v_positions)
+"""
+for _name in ("answers", "targets", "features", "training"):
+    VIEWS[f"v_half_{_name}"] = re.sub(r"\bv_(matched|answers|targets|features)\b", r"v_half_\1", VIEWS[f"v_{_name}"])
+
 VIEWS["v_recent"] = """
 select *, coalesce(vehicle_timestamp, feed_timestamp, ingested_at) event_timestamp
 from v_positions

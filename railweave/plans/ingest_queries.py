@@ -15,19 +15,13 @@ from railweave.functions.event_json import (
     valid_records,
 )
 from railweave.functions.identity import build_event_id
-from railweave.operators.features import (
-    current_features,
-    delay_features,
-    training_projection,
-)
 from railweave.operators.metrics import static_counts
-from railweave.operators.staging import stg_stop_times
 from railweave.plans.registry import query
 from railweave.session import materialize, shared_dir
 from railweave.sinks.archive import archive_jsonl, retention_run, store_dated
 from railweave.sinks.inserts import insert_new
 from railweave.sinks.ledger import read_ledger, record_ingestion
-from railweave.sinks.mart import append_staging, refresh_training
+from railweave.sinks.mart import append_staging, extend_training
 from railweave.sinks.published import load_history, read_published
 from railweave.sinks.static_snapshot import activate_snapshot, load_manifest
 from railweave.sources.events import read_archived_rows, read_event_files
@@ -610,12 +604,30 @@ def payload_retention(t: Tables) -> DataFrame:
 )
 def training_mart_refresh(t: Tables) -> DataFrame:
     """The published mart after a run over the older half and one over everything."""
+    return _extended_mart(t).select(
+        "observation_id", "prediction_timestamp", "target_observation_id", "target_delay_4_stops_sec"
+    )
+
+
+def _extended_mart(t: Tables, **options) -> DataFrame:
+    """The mart of two runs, of which the second knows the first half by its totals."""
     root, staging = _folder(t, "mart"), _folder(t, "staging")
     middle = t.positions.agg((F.max("id") / 2).cast("long").alias("id")).first().id
     for positions in (t.positions.filter(F.col("id") <= middle), t.positions):
         append_staging(t.spark, positions, staging)
-        current = current_features(t.spark.read.parquet(staging), stg_stop_times(t.stop_times))
-        refresh_training(t.spark, training_projection(delay_features(current)), root)
-    return read_published(t.spark, root, "ml_delay_training").select(
-        "observation_id", "prediction_timestamp", "target_observation_id", "target_delay_4_stops_sec"
-    )
+        extend_training(t.spark, t.spark.read.parquet(staging), t.stop_times, root, **options)
+    return read_published(t.spark, root, "ml_delay_training")
+
+
+@query(
+    "training_mart_extended",
+    """with first_run as (select * from v_half_training),
+    again as (
+        select * from v_training
+        where prediction_timestamp >= (select max(prediction_timestamp) from first_run) - interval 24 hours)
+    select * from first_run where observation_id not in (select observation_id from again)
+    union all by name select * from again""",
+)
+def training_mart_extended(t: Tables) -> DataFrame:
+    """All columns of the mart after two runs, with every scan of the second cut into slices."""
+    return _extended_mart(t, hot_rows=3).drop("training_row_created_at", "_date", "_part")
