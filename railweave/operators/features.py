@@ -12,6 +12,7 @@ from railweave.functions.gtfs_time import (
     is_weekend,
     service_timestamp,
 )
+from railweave.operators.availability import available_delay
 from railweave.operators.carried import Carried, with_carried
 from railweave.operators.scan import (
     DAY_MICROS,
@@ -252,14 +253,17 @@ def matched_features(staged_positions: DataFrame, schedule: DataFrame) -> DataFr
 
 def delay_features(
     current: DataFrame, hot_rows: int = HOT_ROWS, same_service_day: bool = False,
-    carried: Carried | None = None,
+    carried: Carried | None = None, availability: str | None = None,
 ) -> DataFrame:
     """All features and the label, one row per schedule-matched observation.
 
     ``current`` is the table of ``current_features``. Each scan moves only its own few columns
     and the wide rows are shuffled once, for the final join on ``row_id``. With ``carried``, ``current`` holds the
-    observations from its start on, and the totals stand for all earlier ones.
+    observations from its start on, and the totals stand for all earlier ones. With ``availability``, such as
+    ``ingested_at``, the historical means leave out what had not arrived when the observation itself did.
     """
+    if carried is not None and availability is not None:
+        raise ValueError("Totals of old observations do not say when each of them arrived")
     keys = {"vehicle": ["vehicle_id", "trip_id"], "route": ["route_id"], "stop": ["scheduled_stop_id"]}
     # The label scan takes every row twice, hence half the limit. A small table needs no check.
     limit = max(hot_rows // 2, 1)
@@ -268,12 +272,14 @@ def delay_features(
     def options(key: str) -> dict:
         return {"hot_rows": hot_rows, "sliced": key in large}
 
-    route = historical_delay(
-        current, "route_id", "historical_route_delay_sec", carried=carried, **options("route")
-    )
-    stop = historical_delay(
-        current, "scheduled_stop_id", "historical_stop_delay_sec", slice_width=DAY_MICROS,
-        carried=carried, **options("stop"),
+    def history(key: str, name: str, scan: str, **more) -> DataFrame:
+        if availability is not None:
+            return available_delay(current, key, name, availability=availability, **more, **options(scan))
+        return historical_delay(current, key, name, carried=carried, **more, **options(scan))
+
+    route = history("route_id", "historical_route_delay_sec", "route")
+    stop = history(
+        "scheduled_stop_id", "historical_stop_delay_sec", "stop", slice_width=DAY_MICROS
     )
     targets = first_future_target(
         current, same_service_day=same_service_day, **options("vehicle")

@@ -277,6 +277,22 @@ select * from v_matched where observation_id <= (select max(id) // 2 from v_posi
 for _name in ("answers", "targets", "features", "training"):
     VIEWS[f"v_half_{_name}"] = re.sub(r"\bv_(matched|answers|targets|features)\b", r"v_half_\1", VIEWS[f"v_{_name}"])
 
+# Observations that arrived up to six hours late, and what each could know of its route and stop.
+VIEWS["v_late"] = """
+select * replace (ingested_at + to_hours(observation_id % 7) as ingested_at) from v_matched
+"""
+VIEWS["v_available"] = """
+select observation_id, r.delay historical_route_delay_sec, s.delay historical_stop_delay_sec
+from v_late m, lateral (
+    select round(avg(current_delay_sec), 6) delay from v_late o
+    where o.route_id = m.route_id and o.ingested_at <= m.ingested_at and (o.event_timestamp < m.event_timestamp
+        or o.event_timestamp = m.event_timestamp and o.observation_id < m.observation_id)) r, lateral (
+    select round(avg(current_delay_sec), 6) delay from v_late o
+    where o.scheduled_stop_id = m.scheduled_stop_id and o.ingested_at <= m.ingested_at
+        and (o.event_timestamp < m.event_timestamp
+        or o.event_timestamp = m.event_timestamp and o.observation_id < m.observation_id)) s
+"""
+
 VIEWS["v_recent"] = """
 select *, coalesce(vehicle_timestamp, feed_timestamp, ingested_at) event_timestamp
 from v_positions

@@ -14,6 +14,7 @@ from railweave.functions.gtfs_time import (
 )
 from railweave.operators import features as feat
 from railweave.operators import incremental, profile, quality, staging
+from railweave.operators.availability import available_delay
 from railweave.operators.scan import Measure, exclusive_scan
 from railweave.plans.delay_training import build_features
 from railweave.plans.registry import query
@@ -185,6 +186,27 @@ query("historical_stop_delay", "select observation_id, historical_stop_delay_sec
 )
 
 
+def _late(t: Tables) -> DataFrame:
+    """Matched observations of which some arrived hours after their event."""
+    hours = F.make_dt_interval(hours=F.col("observation_id") % 7)
+    return _current(t).withColumn("ingested_at", F.col("ingested_at") + hours)
+
+
+@query("available_route_delay", "select observation_id, historical_route_delay_sec from v_available")
+def available_route_delay(t: Tables) -> DataFrame:
+    """History that had arrived, with every ordered scan cut into slices."""
+    late = _late(t)
+    found = available_delay(late, "route_id", "historical_route_delay_sec", hot_rows=SLICED)
+    return late.select("row_id", "observation_id").join(found, "row_id", "left").drop("row_id")
+
+
+@query("delay_features_available", "select * from v_available")
+def delay_features_available(t: Tables) -> DataFrame:
+    return feat.delay_features(_late(t), availability="ingested_at").select(
+        "observation_id", "historical_route_delay_sec", "historical_stop_delay_sec"
+    )
+
+
 @query("first_future_target", "select * from v_targets")
 def first_future_target(t: Tables) -> DataFrame:
     current = _current(t)
