@@ -145,13 +145,20 @@ def valid_latency(now: Moment, max_seconds: int = MAX_LATENCY_SECONDS) -> dict[s
 
 
 def latency_distribution(
-    positions: DataFrame, now: Moment, window_minutes: int = LATENCY_WINDOW_MINUTES
+    positions: DataFrame, now: Moment, window_minutes: int = LATENCY_WINDOW_MINUTES, approx: bool = False
 ) -> DataFrame:
     """Count, mean, percentiles and maximum of both latencies over the whole window, as one row.
 
-    Percentiles are exact, from counts per microsecond value, however many rows the window holds.
+    Percentiles are exact, from counts per microsecond value, however many rows the window holds. With ``approx`` they come
+    from quantile sketches of the window's minutes, which ``sketches.latency_from_sketches`` takes from a stored table as well.
     """
     _check_window(window_minutes)
+    if approx:
+        from railweave.operators.sketches import latency_from_sketches, minute_sketches
+
+        first = F.date_trunc("minute", before(now, minutes=window_minutes))
+        recent = within(positions, "ingested_at", first, now)
+        return latency_from_sketches(minute_sketches(recent), now, window_minutes)
     recent = within(positions, "ingested_at", before(now, minutes=window_minutes), now)
     latencies = valid_latency(now)
     micros = recent.select(

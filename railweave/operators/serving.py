@@ -70,19 +70,22 @@ def look_up(rows: DataFrame, dimension: DataFrame, key: str, columns: list[str])
     return rows.join(dimension.select(key, *columns), key, "left")
 
 
+def vehicle_key() -> Column:
+    """What a vehicle is known by: its id, else its entity, else the row's own id."""
+    def filled(name: str) -> Column:
+        return F.nullif(F.col(name), F.lit(""))
+
+    return F.coalesce(filled("vehicle_id"), filled("entity_id"), F.col("id").cast("string"))
+
+
 def latest_per_vehicle(recent: DataFrame) -> DataFrame:
     """Newest row per vehicle, by event time and then id.
 
-    The vehicle is known by its id, else its entity, else the row's own id. The maximum is
-    combined before the shuffle, so a vehicle with many rows sends one row per task.
+    The maximum is combined before the shuffle, so a vehicle with many rows sends one row per task.
     """
-    def filled(name: str) -> Column:
-        return F.nullif(F.col(name), F.lit(""))
-
-    key = F.coalesce(filled("vehicle_id"), filled("entity_id"), F.col("id").cast("string"))
     row = F.struct(*recent.columns)
     return (
-        recent.groupBy(key.alias("vehicle_key"))
+        recent.groupBy(vehicle_key().alias("vehicle_key"))
         .agg(F.max_by(row, F.struct("event_timestamp", "id")).alias("row"))
         .select("vehicle_key", "row.*")
     )

@@ -35,6 +35,7 @@ from railweave.sources.payloads import (
 from railweave.sources.realtime_feed import flatten_feed
 from railweave.sources.shaped import Tables
 from railweave.sources.static_feed import read_feed, validate_feed
+from railweave.streaming import live
 from railweave.streaming.ingest import (
     stream_dedupe,
     stream_minute_rates,
@@ -368,6 +369,54 @@ query(
 )
 
 
+def _as_stream(t: Tables, parts: list[DataFrame], label: str) -> DataFrame:
+    """Tables as a stream of files, one after the other."""
+    path = _folder(t, label)
+    for part in parts:
+        part.coalesce(2).write.mode("append").parquet(path)
+    return t.spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 2).parquet(path)
+
+
+@query(
+    "stream_sliding_rates",
+    """select w window_end, round(sum(events_persisted) / 5.0::double, 6) events_per_minute
+    from (select *, unnest(generate_series(
+        date_trunc('minute', metric_timestamp) + interval 1 minute,
+        date_trunc('minute', metric_timestamp) + interval 5 minutes, interval 1 minute)) w
+        from v_metrics)
+    where w <= (select max(metric_timestamp) from v_metrics) - interval 10 days
+    group by w""",
+)
+def stream_sliding_rates(t: Tables) -> DataFrame:
+    """Every window that the watermark has closed, of a stream of metric rows."""
+    at = F.col("metric_timestamp")
+    ends = t.metrics.agg(F.min(at).alias("low"), F.max(at).alias("high")).first()
+    cuts = [ends.low + (ends.high - ends.low) * i / 3 for i in range(4)]
+    parts = [t.metrics.filter((at >= a) & (at < b)) for a, b in zip(cuts, cuts[1:])]
+    rows = _as_stream(t, [*parts, t.metrics.filter(at >= cuts[-1])], "metric-rows")
+    return _drain(t, live.stream_sliding_rates(rows, "10 days"), "sliding")
+
+
+FLEET_AGE = timedelta(hours=12)
+
+
+@query(
+    "stream_current_fleet",
+    """select vehicle_key, event_timestamp, id, route_id, latitude, speed from (
+        select *, row_number() over (partition by vehicle_key order by event_timestamp desc, id desc) place
+        from (select *, coalesce(nullif(vehicle_id, ''), nullif(entity_id, ''), cast(id as varchar)) vehicle_key
+            from v_recent where event_timestamp >= (select max(event_timestamp) from v_recent) - interval 12 hours))
+    where place = 1""",
+)
+def stream_current_fleet(t: Tables) -> DataFrame:
+    """The fleet view after a stream whose rows come out of order."""
+    rows = _as_stream(t, [t.positions.filter(F.col("id") % 4 == i) for i in range(4)], "position-rows")
+    root = _folder(t, "fleet")
+    live.stream_fleet(rows, root, _folder(t, "checkpoint"), FLEET_AGE, available_now=True).awaitTermination()
+    fleet = live.read_fleet(t.spark, root, rows.schema, FLEET_AGE)
+    return fleet.select("vehicle_key", "event_timestamp", "id", "route_id", "latitude", "speed")
+
+
 # Schedule feeds
 
 
@@ -604,19 +653,59 @@ def payload_retention(t: Tables) -> DataFrame:
 )
 def training_mart_refresh(t: Tables) -> DataFrame:
     """The published mart after a run over the older half and one over everything."""
-    return _extended_mart(t).select(
-        "observation_id", "prediction_timestamp", "target_observation_id", "target_delay_4_stops_sec"
-    )
+    return _two_runs(t)[1].select(*LABEL_COLUMNS)
+
 
+LABEL_COLUMNS = [
+    "observation_id", "prediction_timestamp", "target_observation_id", "target_delay_4_stops_sec",
+]
 
-def _extended_mart(t: Tables, **options) -> DataFrame:
-    """The mart of two runs, of which the second knows the first half by its totals."""
+
+def _two_runs(t: Tables, **options) -> list[DataFrame]:
+    """The mart after a run over the older half and after one that knows that half by its totals."""
     root, staging = _folder(t, "mart"), _folder(t, "staging")
     middle = t.positions.agg((F.max("id") / 2).cast("long").alias("id")).first().id
+    marts = []
     for positions in (t.positions.filter(F.col("id") <= middle), t.positions):
         append_staging(t.spark, positions, staging)
         extend_training(t.spark, t.spark.read.parquet(staging), t.stop_times, root, **options)
-    return read_published(t.spark, root, "ml_delay_training")
+        marts.append(read_published(t.spark, root, "ml_delay_training"))
+    return marts
+
+
+@query(
+    "incremental_lookback",
+    """with first_run as (
+        select * from v_training where target_observation_id <= (select max(id) // 2 from v_positions)),
+    again as (
+        select * from v_training
+        where prediction_timestamp >= (select max(prediction_timestamp) from first_run) - interval 24 hours)
+    select observation_id, prediction_timestamp, target_observation_id, target_delay_4_stops_sec
+    from first_run where observation_id not in (select observation_id from again)
+    union all
+    select observation_id, prediction_timestamp, target_observation_id, target_delay_4_stops_sec
+    from again""",
+)
+def incremental_lookback(t: Tables) -> DataFrame:
+    """A first run over the older half of the observations, then a run over all of them."""
+    return _two_runs(t)[1].select(*LABEL_COLUMNS)
+
+
+@query(
+    "late_label_arrival",
+    """with first_run as (
+        select * from v_training where target_observation_id <= (select max(id) // 2 from v_positions))
+    select observation_id from v_training
+    where prediction_timestamp >= (select max(prediction_timestamp) from first_run) - interval 24 hours
+        and observation_id not in (select observation_id from first_run)
+        and observation_id <= (select max(id) // 2 from v_positions)""",
+)
+def late_label_arrival(t: Tables) -> DataFrame:
+    """Old observations that gain their label in the second run."""
+    first, second = _two_runs(t)
+    middle = t.positions.agg((F.max("id") / 2).cast("long").alias("id")).first().id
+    gained = second.join(first.select("observation_id"), "observation_id", "left_anti")
+    return gained.filter(F.col("observation_id") <= middle).select("observation_id")
 
 
 @query(
@@ -630,4 +719,4 @@ def _extended_mart(t: Tables, **options) -> DataFrame:
 )
 def training_mart_extended(t: Tables) -> DataFrame:
     """All columns of the mart after two runs, with every scan of the second cut into slices."""
-    return _extended_mart(t, hot_rows=3).drop("training_row_created_at", "_date", "_part")
+    return _two_runs(t, hot_rows=3)[1].drop("training_row_created_at", "_date", "_part")

@@ -480,51 +480,6 @@ def incremental_append(t: Tables) -> DataFrame:
     return incremental.new_observations(t.positions, staging.stg_positions(_half(t)))
 
 
-@query(
-    "incremental_lookback",
-    """with first_run as (
-        select * from v_training where target_observation_id <= (select max(id) // 2 from v_positions)),
-    again as (
-        select * from v_training
-        where prediction_timestamp >= (select max(prediction_timestamp) from first_run) - interval 24 hours)
-    select observation_id, prediction_timestamp, target_observation_id, target_delay_4_stops_sec
-    from first_run where observation_id not in (select observation_id from again)
-    union all
-    select observation_id, prediction_timestamp, target_observation_id, target_delay_4_stops_sec
-    from again""",
-)
-def incremental_lookback(t: Tables) -> DataFrame:
-    """A first run over the older half of the observations, then a run over all of them."""
-    columns = [
-        "observation_id", "prediction_timestamp", "target_observation_id", "target_delay_4_stops_sec",
-    ]
-    first = feat.training_projection(build_features(_half(t), t.stop_times)).select(*columns)
-    mart = materialize(first, "mart")
-    return incremental.refreshed_training(_training(t).select(*columns), mart)
-
-
-@query(
-    "late_label_arrival",
-    """with first_run as (
-        select * from v_training where target_observation_id <= (select max(id) // 2 from v_positions))
-    select observation_id from v_training
-    where prediction_timestamp >= (select max(prediction_timestamp) from first_run) - interval 24 hours
-        and observation_id not in (select observation_id from first_run)
-        and observation_id <= (select max(id) // 2 from v_positions)""",
-)
-def late_label_arrival(t: Tables) -> DataFrame:
-    """Old observations that gain their label in the second run."""
-    half = materialize(_half(t), "half")
-    mart = materialize(
-        feat.training_projection(build_features(half, t.stop_times)).drop("training_row_created_at"),
-        "mart",
-    )
-    refreshed = incremental.refreshed_training(_training(t), mart)
-    gained = refreshed.join(mart.select("observation_id"), "observation_id", "left_anti")
-    seen = half.select(F.col("id").alias("observation_id"))
-    return gained.join(seen, "observation_id", "left_semi").select("observation_id")
-
-
 # The scan on its own, against the plain window it stands for.
 
 

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railweave.functions.gtfs_time import source_time
-from railweave.operators import metrics, retention
+from railweave.operators import metrics, retention, sketches
 from railweave.operators.serving import newest_by_id
 from railweave.plans.registry import query
 from railweave.plans.serving_queries import now_of
+from railweave.session import materialize
 from railweave.sources.shaped import Tables
 
 # The bundled events are minutes apart, so the windows span more than the live defaults.
@@ -100,6 +101,47 @@ query("latency_distribution", LATENCY_SQL)(
 )
 
 
+SKETCHED_SQL = """
+select count(l) ingestion_latency_count, round(avg(l), 6) ingestion_latency_avg, round(max(l), 6) ingestion_latency_max,
+    true event_age_count_close, true ingestion_latency_p50_close, true ingestion_latency_p95_close,
+    true ingestion_latency_p99_close, true event_age_p50_close, true event_age_p95_close, true event_age_p99_close
+from (
+    select case when feed_timestamp <= ingested_at and feed_timestamp >= ingested_at - interval 86400 seconds
+            then epoch_us(ingested_at - feed_timestamp) / 1e6 end l
+    from v_positions, v_now
+    where ingested_at between date_trunc('minute', now_ts - interval 4320 minutes) and now_ts)
+"""
+
+
+@query("latency_sketches", SKETCHED_SQL)
+def latency_sketches(t: Tables) -> DataFrame:
+    """The distribution from a stored table of minutes, with each percentile's rank held against all values of the window."""
+    now = now_of(t)
+    minutes = materialize(sketches.minute_sketches(t.positions), "minutes")
+    found = sketches.latency_from_sketches(minutes, now, LATENCY_MINUTES)
+    first = F.date_trunc("minute", metrics.before(now, minutes=LATENCY_MINUTES))
+    values = metrics.within(t.positions, "ingested_at", first, now).select(
+        *(expr.alias(name) for name, expr in metrics.valid_latency(now).items())
+    )
+    exact = values.crossJoin(F.broadcast(found))
+    closeness = []
+    for kind in ("ingestion_latency", "event_age"):
+        size = F.count(kind)
+        for name, p in sketches.POINTS.items():
+            at = F.col(f"{kind}_{name}")
+            # The sketch's value lies between the values of the ranks around p; stored seconds are doubles.
+            below = F.count_if(F.col(kind) < at - 1e-6) / size
+            upto = F.count_if(F.col(kind) <= at + 1e-6) / size
+            error = sketches.RANK_ERROR + 1 / size
+            closeness.append(((below <= p + error) & (upto >= p - error)).alias(f"{kind}_{name}_close"))
+    ages = F.abs(F.max("event_age_count") - F.count("event_age")) <= 1 + sketches.RANK_ERROR * F.count("*")
+    return exact.agg(
+        *(F.max(c).alias(c) for c in ("ingestion_latency_count", "ingestion_latency_avg", "ingestion_latency_max")),
+        ages.alias("event_age_count_close"),
+        *closeness,
+    )
+
+
 @query(
     "valid_latency",
     """select id, round(case when feed_timestamp <= ingested_at
