@@ -44,11 +44,14 @@ BLOCK, TASK_BLOCKS = 64, 16
 REACH, NEARLY_ALL = 4, 0.95
 SITE, OPEN, ARTICLE = 0, 1, 2
 
-_PIECE = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|template|noscript|svg|iframe|textarea|select|head)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9]*)([^>]*)>|<[!?][^>]*>",
-    re.S | re.I,
-)
+#: Elements whose content is no visible text.
+_UNSEEN = frozenset("script style template noscript svg iframe textarea select title".split())
+#: Elements that a head may hold: any other starts the body, with or without ``</head>``.
+_IN_HEAD = frozenset("html head meta link base title script style template noscript".split())
+_NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9]*)")
+# Quotes hide ``>`` where they hold a value.
+_ATTRIBUTES = re.compile(r"""((?:[^>=]|=\s*+"[^"]*"|=\s*+'[^']*'|=)*+)>""")
+_END_OF = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in _UNSEEN}
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split()
 )
@@ -142,6 +145,48 @@ def _left_at_end(open_: list[str], tag: str) -> int:
     return len(open_)
 
 
+def tags_of(html: str) -> Iterator[tuple[str, str, bool, str]]:
+    """(text before it, name, whether it closes, attributes) of every tag; last, with no name, the text behind them. Comments,
+    declarations and what is never seen are left out. Every character is passed a bounded number of times."""
+    at, text, in_head, last = 0, [], False, html.rfind(">")
+    while True:
+        start = html.find("<", at)
+        # What comes without any ``>`` behind it is no tag, so an unclosed one is looked for once.
+        if start < 0 or start > last and not html.startswith("<!--", start):
+            text.append(html[at:])
+            break
+        text.append(html[at:start])
+        if html.startswith("<!--", start):
+            end = html.find("-->", start + 4)
+            at = len(html) if end < 0 else end + 3
+            continue
+        if html.startswith(("<!", "<?"), start):
+            at = html.find(">", start) + 1
+            continue
+        name = _NAME.match(html, start)
+        if not name:
+            text.append("<")
+            at = start + 1
+            continue
+        tag, closing = name[1].lower(), html[start + 1] == "/"
+        found = _ATTRIBUTES.match(html, name.end())
+        # A quote that is never closed quotes nothing.
+        at = found.end() if found else html.find(">", start) + 1
+        attributes = html[name.end() : at - 1]
+        if in_head and (tag not in _IN_HEAD or "".join(text).strip()):
+            in_head = False
+        if in_head:
+            text.clear()
+        yield "".join(text), tag, closing, attributes
+        text.clear()
+        if tag == "head":
+            in_head = not closing
+        elif tag in _UNSEEN and not closing and not (tag == "svg" and attributes.endswith("/")) and attributes[:1] in ("", "/", *" \t\n\r\f"):
+            end = _END_OF[tag].search(html, at)
+            at = len(html) if not end else end.start()
+    yield "".join(text), "", False, ""
+
+
 def lines_of(html: str | None) -> list[tuple[str, int]]:
     """The page's visible lines in order, with their labels."""
     if not html:
@@ -153,7 +198,6 @@ def lines_of(html: str | None) -> list[tuple[str, int]]:
     inside = 0  # how many are
     site, top = "", 0  # the boilerplate or hidden element around, and how many elements are around it
     hidden = False
-    at = 0
 
     def end_line() -> None:
         text = _SPACE.sub(" ", entities.unescape("".join(parts))).strip()
@@ -161,13 +205,10 @@ def lines_of(html: str | None) -> list[tuple[str, int]]:
             lines.append((text, SITE if site else ARTICLE if inside else OPEN))
         parts.clear()
 
-    for piece in _PIECE.finditer(html):
-        parts.append(html[at : piece.start()])
-        at = piece.end()
-        tag = (piece[3] or "").lower()
-        if not tag:
+    for text, tag, closing, attributes in tags_of(html):
+        parts.append(text)
+        if not tag or tag in _UNSEEN:
             continue
-        closing, attributes = bool(piece[2]), piece[4]
         conceals = not closing and tag not in _VOID and tag not in ("html", "body") and bool(_HIDDEN.search(attributes))
         opens_site = not closing and tag not in _VOID and (conceals or _is_boilerplate(tag, attributes))
         if tag not in _INLINE or opens_site or site == tag:
@@ -194,7 +235,6 @@ def lines_of(html: str | None) -> list[tuple[str, int]]:
         open_.append(tag)
         counted.append(not site and tag in ("article", "main"))
         inside += counted[-1]
-    parts.append(html[at:])
     end_line()
     if any(label == ARTICLE for _, label in lines):
         lines = [(text, SITE if label == OPEN else label) for text, label in lines]

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -147,3 +148,40 @@ def test_blocks_give_the_result_of_one_pass(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert html_diff.main_texts(pages(spark, [])).collect() == []
+
+
+def texts(html):
+    return [text for text, label in html_diff.lines_of(html)]
+
+
+@pytest.mark.parametrize(
+    "html,lines",
+    [
+        ("<html><head><title>x</title><body><article><p>hello</p></article></body></html>", ["hello"]),
+        ("<html><head><title>x</title><meta a=b><p>hello</p>", ["hello"]),
+        ("<head><title>x</title>bare text<p>hello</p>", ["bare text", "hello"]),
+        ("<head><title>a < b</title><script>if (a < b) '</head>'</script></head><p>hello", ["hello"]),
+        ('<p title="a>b">text</p>', ["text"]),
+        ("<p title='a>b' data-x = \"<i>\">text</p>", ["text"]),
+        ("<p title=it's>one</p><p>isn't</p>", ["one", "isn't"]),
+        ('<p title="never closed>one</p><p>two</p>', ["one", "two"]),
+        ("a <b c", ["a <b c"]),
+        ("1 < 2 <p>3 <4", ["1 < 2", "3 <4"]),
+        ("<p>a<!-- b > c --> d<!doctype x><?php e ?> f</p>", ["a d f"]),
+        ("<p>a</p><!-- never closed <p>b</p>", ["a"]),
+        ("<p>a</p><svg width=1/><p>b</p><svg><title>t</title></svg><p>c</p>", ["a", "b", "c"]),
+        ("<p>a</p><script src=x>never closed <p>b</p>", ["a"]),
+        ("<scripty>kept</scripty>", ["kept"]),
+    ],
+)
+def test_tags_are_told_from_text(html, lines):
+    assert texts(html) == lines
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<a x=\"", "<a x='>", "<!- ", "<script ", "</script ", "<p ", "<", "<!--", "<textarea>", "='", "<a ='>\"", "<head>"])
+def test_unclosed_tags_take_linear_time(piece):
+    import time
+
+    started = time.perf_counter()
+    html_diff.lines_of("<p>start</p>" + piece * (1_000_000 // len(piece)))
+    assert time.perf_counter() - started < 20
