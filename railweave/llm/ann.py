@@ -30,6 +30,8 @@ from pyspark.sql import types as T
 from railweave.session import materialize
 
 TABLES, PROBES, BLOCK, TASK_ROWS, SEED = 12, 12, 2048, 8192, 20
+#: More than rough scores of unit vectors are off by.
+ROUNDING = 1e-9
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -117,12 +119,15 @@ def _nearest(k: int):
             unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
             unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
             questions = np.stack(asking.vector_.to_numpy()).astype(np.float64)
-            # The query may be a candidate itself, ids may repeat, and rounding may swap neighbours: take a few more.
-            most = min(len(vectors), k + 3 + len(answers) - answers.id_.nunique())
+            # The query may be a candidate itself, and ids may repeat: the k-th place is among the first of these.
+            most = min(len(vectors), k + 1 + len(answers) - answers.id_.nunique())
             for low in range(0, len(questions), 256):
-                rough = (questions[low : low + 256] / np.abs(questions[low : low + 256]).max(axis=1, keepdims=True)) @ unit.T
-                best = np.argpartition(-rough, most - 1, axis=1)[:, :most]
-                for query_id, query, places in zip(asking.id_.tolist()[low : low + 256], questions[low:], best):
+                part = questions[low : low + 256] / np.abs(questions[low : low + 256]).max(axis=1, keepdims=True)
+                rough = part @ unit.T
+                # All that rounding may have put behind it are ranked exactly, so ties of any number go to the smaller ids.
+                least = -np.partition(-rough, most - 1, axis=1)[:, most - 1] - ROUNDING * np.sqrt((part * part).sum(axis=1))
+                for query_id, query, row, bar in zip(asking.id_.tolist()[low : low + 256], questions[low:], rough, least):
+                    places = np.flatnonzero(row >= bar)
                     scores = cosines(query, vectors[places]).tolist()
                     found: dict[int, float] = {}
                     for score, place in zip(scores, places):

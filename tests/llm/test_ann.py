@@ -81,3 +81,9 @@ def test_recall_on_the_bundled_vectors(spark):
     exact = brute(rows, [i for i, _ in rows if i % 50 == 0])
     hits = sum(len({i for _, i in found[q]} & {i for _, i in best}) for q, best in exact.items())
     assert hits >= 0.95 * sum(map(len, exact.values()))
+
+
+def test_ties_beyond_the_places_go_to_the_smaller_ids(spark):
+    rows = [(i, [2.0**i, 2.0 ** (i + 1), -(2.0**i)]) for i in range(31)] + [(40 + i, [1.0, -1.0, float(i)]) for i in range(40)]
+    found = result(ann.nearest_neighbours(table(spark, rows), F.col("vec_id") == 0))
+    assert [i for _, i in found[0]] == [1, 2, 3, 4, 5]
