@@ -72,26 +72,25 @@ def archive_expired_payloads(
     """Copy payload files older than ``days`` to ``archive`` and list those safe to delete.
 
     A file is listed only if the bytes read back from the archive have its checksum. Files
-    changed at or after the cutoff are left alone. Every run writes a folder of its own and opens only files that no
-    earlier run has copied.
+    changed at or after the cutoff are left alone. Every run writes a folder of its own with the files that no earlier run has
+    copied. It opens the files from the oldest of those on: the time bounds reach the scan, which opens no file outside of them.
     """
-    listing = (
+    files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(root)
-        # Path, time and length come from the file listing; no file is opened for them.
-        .select(*IDENTITY)
         .filter(F.col("modificationTime") < F.lit(now - timedelta(days=days)))
     )
+    # Path, time and length come from the file listing; no file is opened for them.
+    listing = files.select(*IDENTITY)
     fresh = listing.join(_index(spark, archive), IDENTITY, "left_anti")
-    # File names only, which the driver holds for every scan of the folder anyway.
-    paths = [row.path for row in fresh.select("path").collect()]
-    if paths:
+    oldest = fresh.agg(F.min("modificationTime")).first()[0]
+    if oldest is not None:
         run = f"{archive.rstrip('/')}/run-{uuid.uuid4().hex}"
-        spark.read.format("binaryFile").load(paths).select(
-            *IDENTITY, F.sha2("content", 256).alias("checksum"), "content"
-        ).write.parquet(f"{run}/copies")
+        opened = files.filter(F.col("modificationTime") >= F.lit(oldest))
+        new = opened.join(_index(spark, archive), IDENTITY, "left_anti")
+        new.select(*IDENTITY, F.sha2("content", 256).alias("checksum"), "content").write.parquet(f"{run}/copies")
         copies = spark.read.parquet(f"{run}/copies")
         intact = copies.filter(F.sha2("content", 256) == F.col("checksum"))
         intact.select(*IDENTITY, "checksum").write.parquet(f"{run}/intact")
