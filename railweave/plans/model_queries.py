@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +20,8 @@ from railweave.operators.availability import available_delay
 from railweave.operators.scan import Measure, exclusive_scan
 from railweave.plans.delay_training import build_features
 from railweave.plans.registry import query
-from railweave.session import materialize
+from railweave.session import materialize, shared_dir
+from railweave.sinks.bucketed import append_bucketed, read_bucketed
 from railweave.sources.shaped import Tables
 
 # Small enough that the sliced form of the scans, down to hot slices, runs on the bundled tables.
@@ -160,6 +163,20 @@ def observations_with_schedule(t: Tables) -> DataFrame:
     )
 
 
+@query("observations_with_bucketed_schedule", "select * from v_matched")
+def observations_with_bucketed_schedule(t: Tables) -> DataFrame:
+    """The same from tables in buckets of (trip, sequence): observations arrive in two parts, nothing is shuffled for the join."""
+    sides = []
+    eligible = feat.eligible_observations(_staged(t))
+    halves = [eligible.filter(F.col("observation_id") % 2 == i) for i in (0, 1)]
+    for parts, sequence in ((halves, "current_stop_sequence"), ([feat.schedule_features(_schedule(t))], "stop_sequence")):
+        path = f"{shared_dir(t.spark)}/railweave/bucketed-{uuid.uuid4().hex}"
+        for part in parts:
+            append_bucketed(part, path, ["trip_id", sequence], buckets=8)
+        sides.append(read_bucketed(t.spark, path, parts[0].schema, ["trip_id", sequence], buckets=8))
+    return feat.observations_with_schedule(*sides)
+
+
 # The four scans, forced into slices so that the large-data form is what the check sees.
 query("previous_delay", "select observation_id, previous_observed_delay_sec from v_features")(
     lambda t: _sliced_scan(
