@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railweave.functions.gtfs_time import elapsed_seconds, source_time
-from railweave.operators.percentiles import exact_percentiles
+from railweave.operators.percentiles import distributions
 
 RATE_WINDOW_MINUTES = 5
 LATENCY_WINDOW_MINUTES = 5
@@ -165,30 +165,11 @@ def latency_distribution(
         *(F.round(expr * 1_000_000).cast("long").alias(name) for name, expr in latencies.items())
     )
 
-    def seconds(value: Column) -> Column:
-        return value / 1_000_000
-
-    totals = micros.agg(
-        *(
-            column
-            for name in latencies
-            for column in (
-                F.count(name).alias(f"{name}_count"),
-                seconds(F.avg(name)).alias(f"{name}_avg"),
-                seconds(F.max(name)).alias(f"{name}_max"),
-            )
-        )
-    )
-    percentiles = [
-        exact_percentiles(micros, name, {f"{name}_p{p}": p / 100 for p in (50, 95, 99)})
-        for name in latencies
-    ]
-    every = side_by_side(totals, *percentiles)
+    every = distributions(micros, list(latencies), {f"p{p}": p / 100 for p in (50, 95, 99)})
     return every.select(
         *(
-            seconds(F.col(f"{name}_{what}")).alias(f"{name}_{what}") if what[0] == "p" else f"{name}_{what}"
-            for name in latencies
-            for what in ("count", "avg", "p50", "p95", "p99", "max")
+            (F.col(c) if c.endswith("_count") else F.col(c) / 1_000_000).alias(c)
+            for c in every.columns
         )
     )
 

@@ -45,3 +45,47 @@ def exact_percentiles(df: DataFrame, column: str, points: dict[str, float]) -> D
     return ranked.withColumn("total", total).agg(
         *(interpolated(p).alias(name) for name, p in points.items())
     )
+
+
+def distributions(df: DataFrame, columns: list[str], points: dict[str, float]) -> DataFrame:
+    """One row with ``<column>_count``, ``_avg``, ``_max`` and ``_<point>`` of every integer column, in its own unit.
+
+    One histogram by column and value holds it all: counts, means and maxima follow from it as the percentiles do, so
+    ``df`` is scanned once and its rows are combined once, however many columns there are.
+    """
+    measures = F.array(*(F.struct(F.lit(c).alias("measure"), F.col(c).cast("long").alias("value")) for c in columns))
+    histogram = (
+        df.select(F.explode(measures).alias("m")).select("m.measure", "m.value").filter("value is not null")
+        .groupBy("measure", "value").agg(F.count("*").alias("copies"))
+    )
+    ranked = exclusive_scan(
+        histogram, ["measure"], "value", [Measure("earlier", "sum", "copies")],
+        slice_width=SLICE_VALUES, hot_rows=None,
+    )
+    exact = F.col("value").cast("decimal(38,0)") * F.col("copies").cast("decimal(38,0)")
+    totals = histogram.groupBy("measure").agg(
+        F.sum("copies").alias("total"), F.sum(exact).alias("sum"), F.max("value").alias("most")
+    )
+    start = F.coalesce("earlier", F.lit(0))
+
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((rank >= start) & (rank < start + F.col("copies")), F.col("value")))
+
+    def interpolated(p: float) -> Column:
+        rank = F.lit(p) * (F.col("total") - 1)
+        low, high = value_at(F.floor(rank)), value_at(F.ceil(rank))
+        return low + (high - low) * F.max(rank - F.floor(rank))
+
+    # A row per column, so the totals are small by construction.
+    found = ranked.join(F.broadcast(totals), "measure").groupBy("measure").agg(
+        F.max("total").alias("count"),
+        (F.max("sum").cast("double") / F.max("total")).alias("avg"),
+        F.max("most").alias("max"),
+        *(interpolated(p).alias(name) for name, p in points.items()),
+    )
+
+    def of(column: str, what: str) -> Column:
+        value = F.max(F.when(F.col("measure") == column, F.col(what)))
+        return (F.coalesce(value, F.lit(0)) if what == "count" else value).alias(f"{column}_{what}")
+
+    return found.agg(*(of(c, what) for c in columns for what in ("count", "avg", *points, "max")))

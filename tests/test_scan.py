@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from railweave.operators.percentiles import exact_percentiles
+from railweave.operators.percentiles import distributions, exact_percentiles
 from railweave.operators.scan import Measure, exclusive_scan
 
 MEASURES = [Measure("total", "sum", "value"), Measure("previous", "last", "boxed")]
@@ -101,3 +101,18 @@ def test_percentiles_equal_numpy(spark, size):
 def test_percentiles_of_nothing_are_null(spark):
     row = exact_percentiles(spark.createDataFrame([], "v INT"), "v", {"p50": 0.5}).first()
     assert row.p50 is None
+
+
+def test_distributions_of_several_columns_share_one_scan(spark):
+    rows = [(i, None if i % 5 == 0 else i * i % 97, None) for i in range(200)]
+    df = spark.createDataFrame(rows, "a INT, b INT, c INT")
+    found = distributions(df, ["a", "b", "c"], {"p50": 0.5, "p95": 0.95})
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    row = found.first()
+    for name, values in (("a", [r[0] for r in rows]), ("b", [r[1] for r in rows if r[1] is not None])):
+        assert row[f"{name}_count"] == len(values) and row[f"{name}_max"] == max(values)
+        assert row[f"{name}_avg"] == pytest.approx(sum(values) / len(values))
+        for p in (50, 95):
+            assert row[f"{name}_p{p}"] == pytest.approx(float(np.percentile(values, p)))
+    assert row.c_count == 0 and row.c_p50 is None and row.c_max is None
+    assert "Generate explode" in plan
