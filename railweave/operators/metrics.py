@@ -169,7 +169,7 @@ def latency_distribution(
     return every.select(
         *(
             (F.col(c) if c.endswith("_count") else F.col(c) / 1_000_000).alias(c)
-            for c in every.columns
+            for c in every.columns if not c.endswith("_min")
         )
     )
 

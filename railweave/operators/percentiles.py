@@ -48,7 +48,7 @@ def exact_percentiles(df: DataFrame, column: str, points: dict[str, float]) -> D
 
 
 def distributions(df: DataFrame, columns: list[str], points: dict[str, float]) -> DataFrame:
-    """One row with ``<column>_count``, ``_avg``, ``_max`` and ``_<point>`` of every integer column, in its own unit.
+    """One row with ``<column>_count``, ``_avg``, ``_min``, ``_max`` and ``_<point>`` of every integer column, in its own unit.
 
     One histogram by column and value holds it all: counts, means and maxima follow from it as the percentiles do, so
     ``df`` is scanned once and its rows are combined once, however many columns there are.
@@ -58,13 +58,18 @@ def distributions(df: DataFrame, columns: list[str], points: dict[str, float]) -
         df.select(F.explode(measures).alias("m")).select("m.measure", "m.value").filter("value is not null")
         .groupBy("measure", "value").agg(F.count("*").alias("copies"))
     )
+    return distributions_of(histogram, columns, points)
+
+
+def distributions_of(histogram: DataFrame, columns: list[str], points: dict[str, float]) -> DataFrame:
+    """``distributions`` from a histogram (measure, value, copies) whose measures are ``columns``."""
     ranked = exclusive_scan(
         histogram, ["measure"], "value", [Measure("earlier", "sum", "copies")],
         slice_width=SLICE_VALUES, hot_rows=None,
     )
     exact = F.col("value").cast("decimal(38,0)") * F.col("copies").cast("decimal(38,0)")
     totals = histogram.groupBy("measure").agg(
-        F.sum("copies").alias("total"), F.sum(exact).alias("sum"), F.max("value").alias("most")
+        F.sum("copies").alias("total"), F.sum(exact).alias("sum"), F.min("value").alias("least"), F.max("value").alias("most")
     )
     start = F.coalesce("earlier", F.lit(0))
 
@@ -80,6 +85,7 @@ def distributions(df: DataFrame, columns: list[str], points: dict[str, float]) -
     found = ranked.join(F.broadcast(totals), "measure").groupBy("measure").agg(
         F.max("total").alias("count"),
         (F.max("sum").cast("double") / F.max("total")).alias("avg"),
+        F.max("least").alias("min"),
         F.max("most").alias("max"),
         *(interpolated(p).alias(name) for name, p in points.items()),
     )
@@ -88,4 +94,4 @@ def distributions(df: DataFrame, columns: list[str], points: dict[str, float]) -
         value = F.max(F.when(F.col("measure") == column, F.col(what)))
         return (F.coalesce(value, F.lit(0)) if what == "count" else value).alias(f"{column}_{what}")
 
-    return found.agg(*(of(c, what) for c in columns for what in ("count", "avg", *points, "max")))
+    return found.agg(*(of(c, what) for c in columns for what in ("count", "avg", "min", *points, "max")))
