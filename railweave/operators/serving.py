@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from railweave.functions.gtfs_time import event_time
@@ -37,19 +37,19 @@ def cutoff(max_age_seconds: int, as_of: datetime | None = None) -> datetime:
 def newest_by_id(df: DataFrame, rows: int, id_column: str = "id") -> DataFrame:
     """The ``rows`` rows with the largest ids.
 
-    Ids are handed out in insertion order, so the newest rows sit in a narrow id range. The range
-    is widened until it holds enough rows and reaches the scan as a pushed filter; a top-k over
-    the whole table would sort every partition's candidates in one task.
+    The rows are counted by ranges of ids, which combines before the shuffle as ids are handed out in insertion order. The newest
+    ranges that hold enough rows give a bound, which reaches the scan as a pushed filter and skips files by their
+    statistics; only rows above it are sorted. All of it is one plan. A top-k over the whole table would sort every partition's
+    candidates in one task.
     """
-    bounds = df.agg(F.min(id_column).alias("low"), F.max(id_column).alias("high")).first()
-    if bounds.high is None:
-        return df.limit(0)
-    span, column = rows, F.col(id_column)
-    recent = df.filter(column > bounds.high - span)
-    while bounds.high - span >= bounds.low and recent.count() < rows:
-        span *= 16
-        recent = df.filter(column > bounds.high - span)
-    return recent.orderBy(column.desc()).limit(rows)
+    column = F.col(id_column)
+    ranges = df.groupBy(F.floor(column / rows).alias("part")).agg(F.count("*").alias("n")).filter("part is not null")
+    # Every range listed holds a row or more, so this many are enough.
+    newest = ranges.orderBy(F.col("part").desc()).limit(rows)
+    above = Window.orderBy(F.col("part").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    needed = newest.withColumn("above", F.coalesce(F.sum("n").over(above), F.lit(0))).filter(F.col("above") < rows)
+    bound = needed.agg((F.min("part") * rows).cast(df.schema[id_column].dataType)).scalar()
+    return df.filter(column >= bound).orderBy(column.desc()).limit(rows)
 
 
 def at_or_after(df: DataFrame, column: str, oldest: datetime | Column) -> DataFrame:
