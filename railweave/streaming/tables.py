@@ -3,19 +3,19 @@
 Rows lie in folders by date and then by batch; positions are first divided by whether their id was made
 from the record itself. A batch looks only into the folders that can hold its ids, so the work per batch
 follows the dates it touches and not the number of batches so far. ``compact`` joins the batches
-of a date into one folder, ``expire`` removes what outlived its retention. One writer per root is
-assumed; upkeep runs in it, between batches.
+of a date into one folder, ``expire`` removes what outlived its retention. A joined folder of the
+batches below n is named ``~(n - 1)``, a negative number, so that it stands beside the batches it
+holds until they are dropped. One writer per root is assumed; upkeep runs in it, between batches.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,7 @@ DAY = T.StructField("day", T.DateType())
 # Whether the event id is the one that its record gives, and the date of the feed time that is in it.
 NAMED, FEED_DATE = T.StructField("named", T.BooleanType()), T.StructField("feed_date", T.DateType())
 PARTS = {POSITIONS: [NAMED, FEED_DATE, BATCH], DEAD_LETTERS: [DAY, BATCH], METRICS: [DAY, BATCH]}
+IDS = {POSITIONS: "id", DEAD_LETTERS: "dead_letter_id", METRICS: "metric_id"}
 TIMES = {POSITIONS: "ingested_at", DEAD_LETTERS: "processed_at", METRICS: "metric_timestamp"}
 
 
@@ -81,14 +82,14 @@ class StreamTables:
         folders = [f"{NAMED.name}=true/{FEED_DATE.name}={day}" for day in sorted(days)]
         return self.read_folders(spark, POSITIONS, [*folders, f"{NAMED.name}=false"])
 
-    def _parents(self, spark: SparkSession, table: str, below: str = "") -> list[str]:
-        """Folders that hold the batches of one date, relative to the table (or to a folder in it)."""
+    def _parents(self, spark: SparkSession, table: str) -> list[str]:
+        """Folders that hold the batches of one date, relative to the table."""
         parents = [""]
         for part in PARTS[table][:-1]:
             parents = [
                 f"{parent}{name}/"
                 for parent in parents
-                for name in subfolders(spark, f"{self.folder(table)}/{below}{parent}")
+                for name in subfolders(spark, f"{self.folder(table)}/{parent}")
                 if name.startswith(f"{part.name}=")
             ]
         return parents
@@ -105,10 +106,11 @@ class StreamTables:
         for folder in self._batch_folders(spark, table, batch_id):
             delete_folder(spark, f"{self.folder(table)}/{folder}")
         of_batch = rows.withColumn(BATCH.name, F.lit(batch_id).cast("long"))
-        # Few files per date, and several for a date too large for one task.
-        of_batch.hint("rebalance", *names).write.mode("append").partitionBy(*names).parquet(self.folder(table))
-        written = self.read_folders(spark, table, self._batch_folders(spark, table, batch_id))
-        return 0 if written is None else written.count()
+        # Few files per date, and several for a date too large for one task. The write counts what it writes.
+        written = Observation()
+        counted = of_batch.hint("rebalance", *names).observe(written, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("append").partitionBy(*names).parquet(self.folder(table))
+        return written.get["rows"]
 
     def newest_positions(self, spark: SparkSession, rows: int) -> DataFrame | None:
         """The batches that hold at least the newest ``rows`` positions (all, if there are fewer).
@@ -128,8 +130,9 @@ class StreamTables:
         first = needed.filter(F.col("newer") < rows).agg(F.min("batch")).first()[0]
         if first is None:
             return stored
-        # A joined folder has the number of its newest batch; the ids tell its batches apart.
-        return stored.filter((F.col(BATCH.name) >= first) & (F.col("id") > first * BATCH_IDS))
+        # A joined folder reaches up to the batch in its name; the ids tell its batches apart.
+        reach = F.when(F.col(BATCH.name) < 0, F.bitwise_not(BATCH.name)).otherwise(F.col(BATCH.name))
+        return stored.filter((reach >= first) & (F.col("id") > first * BATCH_IDS))
 
     # Upkeep
 
@@ -144,7 +147,7 @@ class StreamTables:
             batches = self._batches(spark, table, parent, before)
             if len(batches) >= least:
                 folders[parent] = batches
-        return self._replace(spark, table, folders, None)
+        return self._join(spark, table, folders, before)
 
     def _batches(self, spark: SparkSession, table: str, parent: str, before: int) -> list[int]:
         numbers = (int(n.split("=")[1]) for n in subfolders(spark, f"{self.folder(table)}/{parent}") if "=" in n)
@@ -161,7 +164,7 @@ class StreamTables:
         if stored is None:
             return 0
         column = TIMES[table]
-        old = expired(stored.filter(F.col(BATCH.name) < before), column, now, days)
+        old = expired(stored.filter(F.col(BATCH.name) < before), column, now, days).dropDuplicates([IDS[table]])
         divided = [part.name for part in PARTS[table][:-1]]
         # One row per date with something to remove.
         reached = old.groupBy(*divided).agg(F.count("*").alias("n")).collect()
@@ -172,58 +175,39 @@ class StreamTables:
             _, found, _ = archive_jsonl(old.select(*SCHEMAS[table].names), f"{archive}/{table}")
             if found != removed:
                 raise ArchiveMismatch(f"{table}: archived {found} rows of {removed}")
-        folders = {}
-        for row in reached:
-            values = (NO_PART if v is None else str(v).lower() if isinstance(v, bool) else str(v) for v in row[:-1])
-            parent = "".join(f"{name}={value}/" for name, value in zip(divided, values))
-            folders[parent] = self._batches(spark, table, parent, before)
-        self._replace(spark, table, folders, lambda rows: kept(rows, column, now, days))
+        parents = (self._parent(table, row[:-1]) for row in reached)
+        folders = {parent: self._batches(spark, table, parent, before) for parent in parents}
+        self._join(spark, table, folders, before, lambda rows: kept(rows, column, now, days))
         return removed
 
-    def _replace(self, spark: SparkSession, table: str, folders: dict[str, list[int]], choose) -> int:
-        """Write the chosen rows of the given batches once more, in one folder per date, and drop the batches.
+    def _join(self, spark: SparkSession, table: str, folders: dict[str, list[int]], before: int, choose=None) -> int:
+        """Write the chosen rows of the given batches once more, in one folder per date, then drop the batches.
 
-        What is to be done is noted before the first folder goes, so that it can be finished after a failure.
+        Until the last batch is dropped rows can lie in both places, never in none. A run after a
+        failure finds them there and takes each once.
         """
         paths = [f"{parent}{BATCH.name}={n}" for parent, batches in folders.items() for n in batches]
         if not paths:
             return 0
         rows = self.read_folders(spark, table, paths)
         rows = rows if choose is None else choose(rows)
-        names, newest = [part.name for part in PARTS[table]], max(n for batches in folders.values() for n in batches)
-        staged = f"_staged-{uuid.uuid4().hex}"
-        joined = rows.withColumn(BATCH.name, F.lit(newest).cast("long"))
-        joined.hint("rebalance", *names).write.partitionBy(*names).parquet(f"{self.folder(table)}/{staged}")
-        note = {"staged": staged, "batch": newest, "folders": folders, "filled": self._parents(spark, table, f"{staged}/")}
-        system, make = file_system(spark, self.root)
-        stream = system.create(make(f"{self.folder(table)}/_replace.part"), True)
-        stream.write(bytearray(json.dumps(note).encode()))
-        stream.close()
-        system.rename(make(f"{self.folder(table)}/_replace.part"), make(f"{self.folder(table)}/_replace.json"))
-        self.finish_replacements(spark, table)
+        names = [part.name for part in PARTS[table]]
+        # A date of which nothing is chosen gets no folder.
+        filled = {self._parent(table, row) for row in rows.select(*names[:-1]).distinct().collect()}
+        joined = ~(before - 1)
+        one = rows.dropDuplicates([IDS[table]]).withColumn(BATCH.name, F.lit(joined).cast("long"))
+        write = one.hint("rebalance", *names).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        write.partitionBy(*names).parquet(self.folder(table))
+        for parent, batches in folders.items():
+            for batch in batches:
+                if batch != joined or parent not in filled:
+                    delete_folder(spark, f"{self.folder(table)}/{parent}{BATCH.name}={batch}")
         return len(paths)
 
-    def finish_replacements(self, spark: SparkSession, table: str) -> None:
-        """Carry out a noted replacement: drop the old folders, move the new ones in. Date by date, and again
-        from where a failure stopped it."""
-        system, make = file_system(spark, self.root)
-        root = self.folder(table)
-        if not system.exists(make(f"{root}/_replace.json")):
-            return
-        stream = system.open(make(f"{root}/_replace.json"))
-        note = json.loads(bytes(stream.readAllBytes()))
-        stream.close()
-        for parent, batches in note["folders"].items():
-            arrival = make(f"{root}/{note['staged']}/{parent}{BATCH.name}={note['batch']}")
-            filled = parent in note["filled"]
-            if filled and not system.exists(arrival):
-                continue  # moved in before the failure
-            for batch in batches:
-                delete_folder(spark, f"{root}/{parent}{BATCH.name}={batch}")
-            if filled:
-                system.rename(arrival, make(f"{root}/{parent}{BATCH.name}={note['batch']}"))
-        delete_folder(spark, f"{root}/{note['staged']}")
-        system.delete(make(f"{root}/_replace.json"), False)
+    def _parent(self, table: str, values: Sequence) -> str:
+        """The folder of one date, relative to the table."""
+        texts = (NO_PART if v is None else str(v).lower() if isinstance(v, bool) else str(v) for v in values)
+        return "".join(f"{part.name}={text}/" for part, text in zip(PARTS[table][:-1], texts))
 
 
 def stream_retention(
@@ -233,7 +217,6 @@ def stream_retention(
     days = {POSITIONS: POSITION_DAYS, DEAD_LETTERS: METRIC_DAYS, METRICS: METRIC_DAYS}
     removed = {}
     for table, limit in days.items():
-        tables.finish_replacements(spark, table)
         target = None if table == METRICS else archive
         removed[table] = tables.expire(spark, table, now, limit, target, before)
     return {"positions_deleted": removed[POSITIONS], "metrics_deleted": removed[METRICS]}

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import math
-import shutil
 from datetime import UTC, datetime
 
 import pytest
@@ -22,6 +21,7 @@ from railweave.schemas import MESSAGE_SCHEMA
 from railweave.sinks.inserts import insert_new
 from railweave.sources.events import read_event_files
 from railweave.streaming import ingest
+from railweave.streaming import tables as streaming_tables
 from railweave.session import subfolders
 from railweave.streaming.ingest import BatchWriter, stream_to_tables
 from railweave.streaming.tables import StreamTables, stream_retention
@@ -232,21 +232,24 @@ def test_a_replacement_is_finished_after_a_failure(spark, tmp_path, monkeypatch)
         days = [f"2026-08-{d}T11:00:00Z" for d in (28, 29)]
         write(decode_events(messages(spark, [event(event_id=f"{batch_id}-{d}", feed_timestamp=d) for d in days])), batch_id)
     before = sorted(r.event_id for r in tables.read(spark, "positions").collect())
-    finish = StreamTables.finish_replacements
-    monkeypatch.setattr(StreamTables, "finish_replacements", lambda *_: None)
+    drop, dropped = streaming_tables.delete_folder, []
+
+    def dies(spark, path):
+        if len(dropped) == 3:
+            raise OSError("the writer died")
+        dropped.append(path)
+        drop(spark, path)
+
+    monkeypatch.setattr(streaming_tables, "delete_folder", dies)
+    with pytest.raises(OSError):
+        tables.compact(spark, "positions", before=4)
+    monkeypatch.undo()
+    # Nothing is lost meanwhile; what the next run finds twice it takes once.
+    assert {r.event_id for r in tables.read(spark, "positions").collect()} == set(before)
     tables.compact(spark, "positions", before=4)
-    monkeypatch.setattr(StreamTables, "finish_replacements", finish)
-    # One date was already moved when the writer died.
-    note = json.loads((tmp_path / "s/positions/_replace.json").read_text())
-    parent = note["filled"][0]
-    for batch in note["folders"][parent]:
-        shutil.rmtree(tmp_path / f"s/positions/{parent}batch_id={batch}")
-    (tmp_path / f"s/positions/{note['staged']}/{parent}batch_id={note['batch']}").rename(
-        tmp_path / f"s/positions/{parent}batch_id={note['batch']}"
-    )
-    tables.finish_replacements(spark, "positions")
     assert sorted(r.event_id for r in tables.read(spark, "positions").collect()) == before
-    assert len(tables._batches(spark, "positions", parent, 100)) == 1
+    assert [len(tables._batches(spark, "positions", p, 100)) for p in tables._parents(spark, "positions")] == [1, 1]
+    assert sorted({r.event_id for r in tables.newest_positions(spark, 2).collect()}) == sorted(b for b in before if b[0] == "3")
 
 
 def test_stream_retention_archives_then_deletes(spark, tmp_path):
