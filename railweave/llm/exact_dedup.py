@@ -1,12 +1,12 @@
-"""Exact dedup: runs of digests merged up a tree of hash aggregations.
+"""Exact dedup: sorted runs of digests merged up a tree.
 
-Every row becomes (digest, length, second hash, id). Rows start in ``2 ** levels`` runs. In each
-round the runs whose numbers agree but for the lowest ``fan_bits`` bits meet: the exchange brings
-equal digests of the merging runs together, a hash aggregation merges them, and one entry per digest
-remains with its best identifier and its row count. An entry is merged only with entries whose
-length and second hash agree too, so that a digest alone never decides. After the last round one run
-is left, which is the table of groups. A group of any size arrives at a reducer as one entry per run,
-already merged within each task. Runs are not sorted, and no round is a multiway merge of sorted runs.
+Every row becomes (digest, length, second hash, identifier) and belongs to one of ``2 ** levels``
+runs. In each round every task sorts the entries of its runs and walks them in order, so that equal
+entries become one; the sorted runs whose numbers agree but for the lowest ``fan_bits`` bits are then
+exchanged, digest by digest, and merged in order into one run. What stays of equal entries is their
+best identifier and their row count. Entries are equal only if length and second hash agree too, at
+every level, so that a digest alone never decides. After the last round one run is left, which is
+the table of groups. A group of any size arrives at a reducer as one entry per task and run.
 
 Defined results: null text counts as empty, and empty texts form one group like any other. A null
 identifier never wins over another; a group with only null identifiers keeps its rows. Rows that
@@ -44,18 +44,22 @@ def merge_runs(
 ) -> DataFrame:
     """Merges runs of (digest_, length_, second_, id_) to one row per text: keep_id_, group_size_.
 
-    ``keep`` names the identifier that survives every level: ``largest`` or ``smallest``.
+    ``keep`` names the identifier that survives every level: ``largest`` or ``smallest``. It travels in a
+    struct, for which Spark aggregates sorted entries instead of hashing them: sort and merge within the
+    task, exchange, sort and merge across tasks.
     """
     best = {"largest": F.max, "smallest": F.min}[keep]
     run = F.pmod(F.xxhash64(F.lit(7), "id_"), F.lit(1 << levels)).cast("int")
-    merged = entries.select(run.alias("run_"), *KEY, F.col("id_").alias("keep_id_"), F.lit(1).cast("long").alias("group_size_"))
+    # Null identifiers take no part, as no struct is made for them.
+    held = F.when(F.col("id_").isNotNull(), F.struct(F.col("id_").alias("id")))
+    merged = entries.select(run.alias("run_"), *KEY, held.alias("held_"), F.lit(1).cast("long").alias("group_size_"))
     left = levels
     while left >= 0:
         merged = merged.groupBy("run_", *KEY).agg(
-            best("keep_id_").alias("keep_id_"), F.sum("group_size_").alias("group_size_")
+            best("held_").alias("held_"), F.sum("group_size_").alias("group_size_")
         )
         if left == 0:
-            return merged.drop("run_")
+            return merged.select(*KEY, F.col("held_.id").alias("keep_id_"), "group_size_")
         step = min(fan_bits, left)
         merged, left = merged.withColumn("run_", F.shiftright("run_", step)), left - step
     return merged

@@ -39,6 +39,15 @@ def test_any_tree_gives_the_same_groups(spark, levels, fan):
     assert found == {d: (max(ids), len(ids)) for d, ids in expected.items()}
 
 
+def test_runs_are_sorted_and_merged_in_order(spark):
+    entries = spark.range(100).selectExpr("id as id_", "cast(id % 9 as string) as digest_", "1 as length_", "2L as second_")
+    plan = exact_dedup.merge_runs(entries)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("SortAggregate") == 6 and "HashAggregate" not in plan
+    physical = exact_dedup.merge_runs(entries)._jdf.queryExecution().executedPlan().toString()
+    # Three rounds: each sorts before its exchange and after it.
+    assert physical.count("Exchange hashpartitioning") == 3 and physical.count("Sort [") == 6
+
+
 def test_entries_that_differ_behind_one_digest_stay_apart(spark):
     entries = spark.createDataFrame([(1, "d", 4, 9), (2, "d", 5, 9), (3, "d", 4, 8), (4, "d", 4, 9)], "id_ long, digest_ string, length_ int, second_ long")
     found = sorted((r.keep_id_, r.group_size_) for r in exact_dedup.merge_runs(entries).collect())
