@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import random
+import time
 
+import pytest
 from helpers import AWKWARD, ascii_lower, awkward, empty, words
 
 from railweave.llm import packing
@@ -78,3 +80,34 @@ def test_awkward_and_empty_tables(spark):
     twice = [b.doc_ids for b in bins if 12 in b.doc_ids]
     assert len(twice) == 2 and all(ids.count(12) == 1 for ids in twice)
     assert packing.pack(empty(spark)).collect() == []
+
+
+def test_the_index_of_bins_equals_a_walk_over_all_of_them():
+    for seed in range(60):
+        draw = random.Random(seed)
+        n, window = draw.randint(0, 200), draw.choice([5, 40, 2048])
+        sizes = sorted((draw.randint(1, draw.choice([2, window])) for _ in range(n)), reverse=True)
+        sources = [draw.choice(["a", "b", None, "c", "a", "a"]) for _ in range(n)]
+        clusters = [draw.choice([None, 0, 0, draw.randint(1, 40)]) for _ in range(n)]
+        per_source = draw.randint(1, 3)
+        expected = tightest(sizes, sources, clusters, window, per_source)
+        assert best_fit(sizes, sources, clusters, window, per_source) == expected
+
+
+@pytest.mark.parametrize("cluster", [None, 7])
+def test_a_million_words_of_one_source_or_cluster_take_linear_time(cluster):
+    n = 1_000_000
+    started = time.perf_counter()
+    bins = best_fit([1] * n, ["a"] * (n - 1) + ["b"], [cluster] * n, 2048, 2)
+    assert time.perf_counter() - started < 60
+    assert max(bins) + 1 == (n if cluster else n // 2)
+
+
+def test_a_document_repeated_in_a_third_of_the_rows_spreads_over_shards(spark):
+    rows = [(None if i % 2 else 5, "the same words again", "a") for i in range(400)] + [(i, f"words of {i} here", "b") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    bins = packing.pack(docs, shard_words=400).collect()
+    assert sum(len(b.doc_ids) for b in bins) == 1200 and sum(b.n_words for b in bins) == 4 * 1200
+    same = [b.bin_id >> 32 for b in bins for i in b.doc_ids if i is None or (i == 5 and "the same words again" in b.text)]
+    assert max(same.count(shard) for shard in set(same)) < 100
+    assert all(b.text.count("the same words again") <= 1 for b in bins)
