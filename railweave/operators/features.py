@@ -40,7 +40,11 @@ def schedule_features(
     """Schedule clock as seconds, dwell at the stop and travel time to the trip's next stop."""
     arrival = gtfs_seconds(F.col("arrival_time"))
     departure = gtfs_seconds(F.col("departure_time"))
-    timed = staged_stop_times.select(
+    # Read by the checks and passes of the scan, and by the rows that stay out of it.
+    stops = materialize(
+        staged_stop_times.select("trip_id", "stop_id", "stop_sequence", "arrival_time", "departure_time"), "stops"
+    )
+    timed = stops.select(
         "trip_id",
         F.col("stop_id").alias("scheduled_stop_id"),
         "stop_sequence",
