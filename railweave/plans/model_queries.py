@@ -26,6 +26,8 @@ from railweave.sources.shaped import Tables
 
 # Small enough that the sliced form of the scans, down to hot slices, runs on the bundled tables.
 SLICED = 40
+# Rows of the larger table in a bucket.
+BUCKET_ROWS = 500_000
 
 
 def _staged(t: Tables) -> DataFrame:
@@ -167,13 +169,15 @@ def observations_with_schedule(t: Tables) -> DataFrame:
 def observations_with_bucketed_schedule(t: Tables) -> DataFrame:
     """The same from tables in buckets of (trip, sequence): observations arrive in two parts, nothing is shuffled for the join."""
     sides = []
+    rows = max(t.raw("lineitem").count(), t.raw("events").count())
+    buckets = max(8, -(-rows // BUCKET_ROWS))
     eligible = feat.eligible_observations(_staged(t))
     halves = [eligible.filter(F.col("observation_id") % 2 == i) for i in (0, 1)]
     for parts, sequence in ((halves, "current_stop_sequence"), ([feat.schedule_features(_schedule(t))], "stop_sequence")):
         path = f"{shared_dir(t.spark)}/railweave/bucketed-{uuid.uuid4().hex}"
         for part in parts:
-            append_bucketed(part, path, ["trip_id", sequence], buckets=8)
-        sides.append(read_bucketed(t.spark, path, parts[0].schema, ["trip_id", sequence], buckets=8))
+            append_bucketed(part, path, ["trip_id", sequence], buckets=buckets)
+        sides.append(read_bucketed(t.spark, path, parts[0].schema, ["trip_id", sequence], buckets=buckets))
     return feat.observations_with_schedule(*sides)
 
 
