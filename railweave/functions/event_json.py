@@ -217,9 +217,9 @@ def decode_events(messages: DataFrame) -> DataFrame:
     )
 
 
-def valid_records(decoded: DataFrame) -> DataFrame:
-    """Typed events with the place in the topic they came from."""
-    return decoded.filter("error_type is null").select("topic", "partition", "offset", "record.*")
+def valid_records(decoded: DataFrame, *more: str) -> DataFrame:
+    """Typed events with the place in the topic they came from, and ``more`` columns."""
+    return decoded.filter("error_type is null").select("topic", "partition", "offset", "record.*", *more)
 
 
 def dead_letters(decoded: DataFrame, processed_at: Column) -> DataFrame:

@@ -25,7 +25,9 @@ def json_text(value: Column) -> Column:
         units = F.hex(F.encode(char, "UTF-16BE"))
         return chain.otherwise(F.lower(F.regexp_replace(units, "(.{4})", r"\\u$1")))
 
-    inner = F.array_join(F.transform(F.split(value, ""), escaped), "")
+    # Most texts need no escape.
+    plain = value.rlike(r"^[ !#-\[\]-~]*\z")
+    inner = F.when(plain, value).otherwise(F.array_join(F.transform(F.split(value, ""), escaped), ""))
     quoted = F.concat(F.lit('"'), F.when(value == "", F.lit("")).otherwise(inner), F.lit('"'))
     return F.when(value.isNull(), F.lit("null")).otherwise(quoted)
 

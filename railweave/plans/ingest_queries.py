@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import UTC, datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railweave.functions.event_json import (
@@ -240,19 +242,44 @@ def dead_letter_replay(t: Tables) -> DataFrame:
 # Streams
 
 
-def _message_files(t: Tables, copies: int, messages: DataFrame | None = None) -> str:
-    """Messages as files, the whole set ``copies`` times over, as after a replayed topic."""
+# Messages of a topic's file; decoding takes long, so the files and with them the tasks grow in number and not in size.
+FILE_MESSAGES = 50_000
+
+
+def _message_files(t: Tables, copies: int, messages: DataFrame | None = None) -> tuple[str, int]:
+    """Messages as files, the whole set ``copies`` times over, as after a replayed topic; and the files of one copy."""
     path = _folder(t, "topic")
     messages = materialize(t.messages if messages is None else messages, "messages")
-    for _ in range(copies):
-        messages.repartitionByRange(8, "partition", "offset").write.mode("append").parquet(path)
-    return path
+    files = max(8, -(-messages.count() // FILE_MESSAGES))
+    messages.repartitionByRange(files, "partition", "offset").write.mode("append").parquet(path)
+    # The files of the first copy alone, whatever is added to their folder.
+    first = t.spark.read.schema(messages.schema).parquet(path)
+    for _ in range(copies - 1):
+        first.write.mode("append").parquet(path)
+    return path, max(1, len(first.inputFiles()))
+
+
+@contextmanager
+def _a_task_per_file(spark: SparkSession, files: int) -> Iterator[None]:
+    """Streams that run meanwhile do not gather their files into as few tasks as there are cores."""
+    name = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(files))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def _run(t: Tables, copies: int = 2, messages: DataFrame | None = None, **options) -> StreamTables:
     root = _folder(t, "stream")
-    source = read_event_files(t.spark, _message_files(t, copies, messages), files_per_batch=8)
-    stream_to_tables(source, root, _folder(t, "checkpoint"), available_now=True, **options).awaitTermination()
+    path, files = _message_files(t, copies, messages)
+    source = read_event_files(t.spark, path, files_per_batch=files)
+    with _a_task_per_file(t.spark, files):
+        stream_to_tables(source, root, _folder(t, "checkpoint"), available_now=True, **options).awaitTermination()
     return StreamTables(root)
 
 
@@ -329,31 +356,35 @@ def ingest_totals(t: Tables) -> DataFrame:
     })
 
 
-def _drain(t: Tables, stream: DataFrame, label: str) -> DataFrame:
-    """Run a stream over what is there into a Parquet table and read that."""
+def _drain(t: Tables, stream: DataFrame, label: str, files: int = 1) -> DataFrame:
+    """Run a stream over what is there, so many files, into a Parquet table and read that."""
     out = _folder(t, label)
-    stream.writeStream.format("parquet").option("path", out).option(
+    writer = stream.writeStream.format("parquet").option("path", out).option(
         "checkpointLocation", _folder(t, "checkpoint")
-    ).trigger(availableNow=True).start().awaitTermination()
+    ).trigger(availableNow=True)
+    with _a_task_per_file(t.spark, files):
+        writer.start().awaitTermination()
     return t.spark.read.schema(stream.schema).parquet(out)
 
 
-def _event_stream(t: Tables, copies: int) -> DataFrame:
-    messages = read_event_files(t.spark, _message_files(t, copies))
-    return valid_records(decode_events(messages))
+def _drain_events(t: Tables, copies: int, stream, label: str) -> DataFrame:
+    """What ``stream`` makes of the decoded events of a topic."""
+    path, files = _message_files(t, copies)
+    events = valid_records(decode_events(read_event_files(t.spark, path)))
+    return _drain(t, stream(events), label, copies * files)
 
 
 query(
     "event_stream_source",
     'select key, topic, "partition", "offset", value is null as empty from v_messages',
 )(
-    lambda t: _drain(t, read_event_files(t.spark, _message_files(t, 1)), "events").select(
+    lambda t: _drain(t, read_event_files(t.spark, _message_files(t, 1)[0]), "events").select(
         "key", "topic", "partition", "offset", F.col("value").isNull().alias("empty")
     )
 )
 query("stream_dedupe", "select key event_id from v_decoded where error_type is null")(
-    lambda t: _drain(
-        t, stream_dedupe(_event_stream(t, 2).select("event_id", "ingested_at"), "40 days"), "dedupe"
+    lambda t: _drain_events(
+        t, 2, lambda events: stream_dedupe(events.select("event_id", "ingested_at"), "40 days"), "dedupe"
     ).select("event_id")
 )
 query(
@@ -363,7 +394,7 @@ query(
     group by 1 having date_trunc('minute', min(ingested_at)) + interval 1 minute
         <= (select max(ingested_at) from seen) - interval 10 minutes""",
 )(
-    lambda t: _drain(t, stream_minute_rates(_event_stream(t, 1), "10 minutes"), "minutes").select(
+    lambda t: _drain_events(t, 1, lambda events: stream_minute_rates(events, "10 minutes"), "minutes").select(
         "minute", "events"
     )
 )

@@ -98,7 +98,11 @@ class BatchWriter:
     def __call__(self, decoded: DataFrame, batch_id: int) -> None:
         started = time.monotonic()
         spark = decoded.sparkSession
-        decoded = decoded.persist()
+        own = build_event_id(
+            *(F.col(f"record.{c}") for c in ("source", "entity_id", "vehicle_id", "feed_timestamp"))
+        )
+        # Whether an id is its record's own takes a hash, which is kept with the message.
+        decoded = decoded.withColumn(NAMED.name, F.col("record.event_id") == own).persist()
         try:
             self._write(spark, decoded, batch_id, started)
         finally:
@@ -128,10 +132,7 @@ class BatchWriter:
         ).first()
         metrics = []
         if arrived.valid:
-            own = build_event_id(*map(F.col, ("source", "entity_id", "vehicle_id", "feed_timestamp")))
-            records = valid_records(decoded).withColumns(
-                {FEED_DATE.name: F.to_date("feed_timestamp"), NAMED.name: F.col("event_id") == own}
-            )
+            records = valid_records(decoded, NAMED.name).withColumn(FEED_DATE.name, F.to_date("feed_timestamp"))
             fresh = insert_new(
                 self._stored_positions(spark, records, batch_id), records, ["event_id"],
                 ["topic", "partition", "offset"], batch_rows=arrived.valid,
