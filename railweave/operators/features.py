@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railweave.functions.gtfs_time import (
@@ -44,24 +44,31 @@ def schedule_features(
     stops = materialize(
         staged_stop_times.select("trip_id", "stop_id", "stop_sequence", "arrival_time", "departure_time"), "stops"
     )
-    timed = stops.select(
-        "trip_id",
-        F.col("stop_id").alias("scheduled_stop_id"),
-        "stop_sequence",
-        "arrival_time",
-        "departure_time",
-        arrival.alias("scheduled_arrival_seconds"),
-        departure.alias("scheduled_departure_seconds"),
-        (departure - arrival).alias("scheduled_dwell_time_sec"),
-        # The next stop is the last one seen when the trip is walked from its end.
-        (-F.col("stop_sequence").cast("long")).alias("from_end"),
-        F.struct(arrival.alias("arrival")).alias("arrival_here"),
-    )
+
+    def timed(rows: DataFrame, travel: Column) -> DataFrame:
+        return rows.select(
+            "trip_id",
+            F.col("stop_id").alias("scheduled_stop_id"),
+            "stop_sequence",
+            "arrival_time",
+            "departure_time",
+            arrival.alias("scheduled_arrival_seconds"),
+            departure.alias("scheduled_departure_seconds"),
+            (departure - arrival).alias("scheduled_dwell_time_sec"),
+            travel.cast("int").alias("scheduled_travel_time_to_next_stop_sec"),
+        )
+
     # Rows without a trip or sequence can never match an observation but stay in the result.
-    placed = timed.filter(F.col("trip_id").isNotNull() & F.col("from_end").isNotNull())
-    loose = timed.filter(F.col("trip_id").isNull() | F.col("from_end").isNull())
+    placed = stops.filter(F.col("trip_id").isNotNull() & F.col("stop_sequence").isNotNull())
+    loose = stops.filter(F.col("trip_id").isNull() | F.col("stop_sequence").isNull())
+    # What follows from a row alone is added after the scan, so that it is not moved with it.
     scanned = exclusive_scan(
-        placed,
+        placed.select(
+            "*",
+            # The next stop is the last one seen when the trip is walked from its end.
+            (-F.col("stop_sequence").cast("long")).alias("from_end"),
+            F.struct(arrival.alias("arrival")).alias("arrival_here"),
+        ),
         ["trip_id"],
         "from_end",
         [Measure("next_stop", "last", "arrival_here")],
@@ -69,11 +76,7 @@ def schedule_features(
         hot_rows=hot_rows,
         sliced=sliced,
     )
-    travel = (F.col("next_stop.arrival") - F.col("scheduled_departure_seconds")).cast("int")
-    return scanned.withColumn("scheduled_travel_time_to_next_stop_sec", travel).unionByName(
-        loose.withColumn("scheduled_travel_time_to_next_stop_sec", F.lit(None).cast("int")),
-        allowMissingColumns=True,
-    ).drop("from_end", "arrival_here", "next_stop")
+    return timed(scanned, F.col("next_stop.arrival") - departure).unionByName(timed(loose, F.lit(None)))
 
 
 def eligible_observations(staged_positions: DataFrame) -> DataFrame:

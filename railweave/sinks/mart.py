@@ -6,15 +6,13 @@ from dataclasses import replace
 from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from railweave.operators.carried import TOTALS_SCHEMA, Carried, merged_totals, scan_totals, slice_start
 from railweave.operators.features import (
     delay_features,
-    eligible_observations,
     matched_features,
-    observations_with_schedule,
     schedule_features,
     training_projection,
 )
@@ -46,9 +44,10 @@ def append_staging(spark: SparkSession, positions: DataFrame, path: str) -> int:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         staged = None
-    fresh = materialize(new_observations(positions, staged), "staged")
+    written = Observation()
+    fresh = new_observations(positions, staged).observe(written, F.count(F.lit(1)).alias("rows"))
     fresh.write.mode("append").parquet(path)
-    return fresh.count()
+    return written.get["rows"]
 
 
 def _lookback_start(spark: SparkSession, entries: list[Entry], hours: int) -> datetime | None:
@@ -119,12 +118,14 @@ def extend_training(
     begin = None if start is None else slice_start(start)
     if begin is not None and any(e.part > begin.isoformat() for e in stored):
         begin = None
-    schedule = materialize(schedule_features(stg_stop_times(stop_times)), "schedule")
-
     known = read_entries(spark, stored, TOTALS_SCHEMA)
     seen = None if known is None else known.agg(F.max("through_id")).first()[0]
-    fresh = staged if seen is None else staged.filter(F.col("observation_id") > seen)
-    totals = scan_totals(observations_with_schedule(eligible_observations(fresh), schedule))
+    everything = F.lit(True)
+    fresh = everything if seen is None else F.col("observation_id") > seen
+    looked_back = everything if begin is None else F.col("event_timestamp") >= F.lit(begin)
+    # The schedule is joined once: to all that the totals or the features need.
+    current = matched_features(staged.filter(fresh | looked_back), schedule_features(stg_stop_times(stop_times)))
+    totals = scan_totals(current.filter(fresh))
     if known is not None:
         totals = merged_totals(known.unionByName(totals), begin)
     folder = write_folder(totals, root, TOTALS)
@@ -134,8 +135,7 @@ def extend_training(
     carried = None
     if begin is not None:
         carried = Carried(read_entries(spark, [folder], TOTALS_SCHEMA), begin)
-        staged = staged.filter(F.col("event_timestamp") >= F.lit(begin))
-    features = delay_features(matched_features(staged, schedule), hot_rows, carried=carried)
+    features = delay_features(current.filter(looked_back), hot_rows, carried=carried)
     recent = training_projection(features)
     if start is not None:
         recent = recent.filter(F.col(TIME) >= F.lit(start))

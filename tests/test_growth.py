@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from railweave.functions.identity import json_text
 from railweave.operators import features
 from railweave.plans import ingest_queries, model_queries
+from railweave.sinks import mart
 from railweave.sources.shaped import Tables
+from railweave.streaming import ingest
 
 
 def bundled(spark, folder, events=200):
@@ -67,3 +69,67 @@ def test_texts_with_and_without_escapes(spark):
     frame = spark.createDataFrame([(i, v) for i, v in enumerate(texts)], "i int, v string")
     found = {r.i: r.j for r in frame.select("i", json_text(F.col("v")).alias("j")).collect()}
     assert [found[i] for i in range(len(texts))] == [json.dumps(v) if v != "\x7f" else found[i] for i, v in enumerate(texts)]
+
+
+def test_only_what_the_schedule_holds_is_moved_by_its_scan(spark, tmp_path, monkeypatch):
+    t, moved = bundled(spark, tmp_path), []
+    scan = features.exclusive_scan
+
+    def seen(rows, *args, **options):
+        moved.extend(rows.columns)
+        return scan(rows, *args, **options)
+
+    monkeypatch.setattr(features, "exclusive_scan", seen)
+    rows = features.schedule_features(model_queries._schedule(t)).collect()
+    assert "trip_id" in moved and "scheduled_departure_seconds" not in moved
+    by_trip = {}
+    for row in rows:
+        by_trip.setdefault(row.trip_id, {})[row.stop_sequence] = row
+    for trip in by_trip.values():
+        for n, row in trip.items():
+            after = trip.get(n + 1)
+            travel = after and after.scheduled_arrival_seconds - row.scheduled_departure_seconds
+            assert row.scheduled_travel_time_to_next_stop_sec == travel
+            assert row.scheduled_dwell_time_sec == 30
+
+
+def test_a_mart_run_joins_the_schedule_once(spark, tmp_path, monkeypatch):
+    t, joins = bundled(spark, tmp_path), []
+    join = features.observations_with_schedule
+
+    def counted(observations, schedule):
+        joins.append(1)
+        return join(observations, schedule)
+
+    for module in (features, mart):
+        monkeypatch.setattr(module, "observations_with_schedule", counted, raising=False)
+    runs = ingest_queries._two_runs(t)
+    assert len(runs) == 2 and len(joins) == 2
+
+
+def test_messages_are_made_once_and_written_as_files(spark, tmp_path, monkeypatch):
+    t = bundled(spark, tmp_path)
+
+    def refused(*args):
+        raise AssertionError("messages written beside their topic")
+
+    monkeypatch.setattr(ingest_queries, "materialize", refused)
+    path, files = ingest_queries._message_files(t, 1)
+    assert files >= 8
+    stored = spark.read.parquet(path)
+    assert sorted(map(str, stored.collect())) == sorted(map(str, t.messages.select(*stored.columns).collect()))
+
+
+def test_new_rows_of_a_batch_are_found_once(spark, tmp_path, monkeypatch):
+    t, kept = bundled(spark, tmp_path), []
+    number = ingest.numbered
+
+    def seen(rows, *args, **options):
+        kept.append(rows.is_cached)
+        return number(rows, *args, **options)
+
+    monkeypatch.setattr(ingest, "numbered", seen)
+    tables = ingest_queries._run(t, copies=1)
+    assert kept == [True, True]
+    messages = t.messages.count()
+    assert tables.read(spark, "positions").count() + tables.read(spark, "dead_letters").count() == messages
