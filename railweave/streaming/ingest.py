@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime
 from functools import reduce
 
@@ -80,6 +82,16 @@ def _metric_row(spark: SparkSession, batch_id: int, at: datetime, kind: str, num
     )
 
 
+@contextmanager
+def _kept(rows: DataFrame) -> Iterator[DataFrame]:
+    """Rows of a batch that are read more than once: what it takes to find them is done once."""
+    rows = rows.persist()
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
 class BatchWriter:
     """``foreachBatch`` function for decoded messages.
 
@@ -137,10 +149,11 @@ class BatchWriter:
                 self._stored_positions(spark, records, batch_id), records, ["event_id"],
                 ["topic", "partition", "offset"], batch_rows=arrived.valid,
             )
-            rows = numbered(
-                fresh, batch_id * BATCH_IDS + 1, "id", sliced=arrived.valid > HOT_ROWS
-            ).select(*POSITION_SCHEMA.names, NAMED.name, FEED_DATE.name)
-            persisted = tables.write_batch(rows, POSITIONS, batch_id)
+            with _kept(fresh) as fresh:
+                rows = numbered(
+                    fresh, batch_id * BATCH_IDS + 1, "id", sliced=arrived.valid > HOT_ROWS
+                ).select(*POSITION_SCHEMA.names, NAMED.name, FEED_DATE.name)
+                persisted = tables.write_batch(rows, POSITIONS, batch_id)
             metrics.append(_metric_row(
                 spark, batch_id, arrived.now, "valid_batch", 0, topic=arrived.topic,
                 batch_size=arrived.valid, persisted=persisted,
@@ -160,11 +173,12 @@ class BatchWriter:
                 ["topic", "partition", "kafka_offset"], ["kafka_offset"],
                 batch_rows=arrived.rejected,
             )
-            rows = numbered(
-                fresh, batch_id * BATCH_IDS + 1, "dead_letter_id", "kafka_offset",
-                sliced=arrived.rejected > HOT_ROWS,
-            ).select(*DEAD_LETTER_SCHEMA.names, F.to_date("processed_at").alias(DAY.name))
-            rejected = tables.write_batch(rows, DEAD_LETTERS, batch_id)
+            with _kept(fresh) as fresh:
+                rows = numbered(
+                    fresh, batch_id * BATCH_IDS + 1, "dead_letter_id", "kafka_offset",
+                    sliced=arrived.rejected > HOT_ROWS,
+                ).select(*DEAD_LETTER_SCHEMA.names, F.to_date("processed_at").alias(DAY.name))
+                rejected = tables.write_batch(rows, DEAD_LETTERS, batch_id)
             metrics.append(_metric_row(
                 spark, batch_id, arrived.now, "dead_letter", 1, topic=arrived.topic,
                 batch_size=arrived.rejected, persisted=0, dead_letters=rejected,
