@@ -222,8 +222,8 @@ def valid_records(decoded: DataFrame, *more: str) -> DataFrame:
     return decoded.filter("error_type is null").select("topic", "partition", "offset", "record.*", *more)
 
 
-def dead_letters(decoded: DataFrame, processed_at: Column) -> DataFrame:
-    """Rejected messages with their raw bytes and whatever ids could be read."""
+def dead_letters(decoded: DataFrame, processed_at: Column, *more: str) -> DataFrame:
+    """Rejected messages with their raw bytes, whatever ids could be read, and ``more`` columns."""
     return decoded.filter("error_type is not null").select(
         F.col("context_event_id").alias("original_event_id"),
         "topic",
@@ -235,4 +235,5 @@ def dead_letters(decoded: DataFrame, processed_at: Column) -> DataFrame:
         F.coalesce("value", F.lit(b"")).alias("raw_payload"),
         F.col("context_vehicle_id").alias("vehicle_id"),
         F.col("context_trip_id").alias("trip_id"),
+        *more,
     )

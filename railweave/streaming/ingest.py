@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from datetime import datetime
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from railweave.functions.identity import build_event_id
 from railweave.operators.metrics import batch_metric
 from railweave.operators.scan import HOT_ROWS, Measure, exclusive_scan
 from railweave.schemas import DEAD_LETTER_SCHEMA, METRIC_SCHEMA, POSITION_SCHEMA
-from railweave.sinks.inserts import insert_new
+from railweave.sinks.inserts import BROADCAST_KEYS, insert_new
 from railweave.streaming.tables import (
     BATCH_IDS,
     DAY,
@@ -32,6 +33,11 @@ from railweave.streaming.tables import (
 OFFSET_RUN = 1 << 17
 # Batches of a date are joined after this many.
 COMPACT_EVERY = 100
+# The number of a message within its batch; unlike its place in the topic, it never repeats there.
+ROW = "_row"
+PLACE = ["topic", "partition", "offset"]
+# What only dead letters need of a message.
+LETTER_COLUMNS = ["value", "context_event_id", "context_vehicle_id", "context_trip_id"]
 
 
 def numbered(
@@ -54,7 +60,7 @@ def numbered(
         slice_width=OFFSET_RUN, hot_rows=None, sliced=sliced,
     )
     return (
-        counted.join(shifts, place)
+        counted.join(F.broadcast(shifts), place)
         .withColumn(id_column, F.lit(first) + F.col("_shift") + F.coalesce("_before", F.lit(0)))
         .drop("_one", "_before", "_shift")
     )
@@ -84,17 +90,30 @@ def _metric_row(spark: SparkSession, batch_id: int, at: datetime, kind: str, num
 
 @contextmanager
 def _kept(rows: DataFrame) -> Iterator[DataFrame]:
-    """Rows of a batch that are read more than once: what it takes to find them is done once."""
-    rows = rows.persist()
+    """Rows of a batch that are read more than once: what it takes to find them is done once.
+
+    They lie on the executors' disks, so memory does not grow with the batch. Rows should be narrow: a task
+    that does not run where its rows lie takes them into memory at once.
+    """
+    rows = rows.persist(StorageLevel.DISK_ONLY)
     try:
         yield rows
     finally:
         rows.unpersist()
 
 
+def _with_numbers(rows: DataFrame, numbers: DataFrame, count: int) -> DataFrame:
+    """The rows that ``count`` numbers are for; few numbers are sent to where the rows are read."""
+    return rows.join(F.broadcast(numbers) if count <= BROADCAST_KEYS else numbers, ROW)
+
+
 class BatchWriter:
     """``foreachBatch`` function for decoded messages.
 
+    A batch is decoded once, into files. Which of its messages are new, and their ids, is found from keys and
+    places alone; what else a message holds is moved once, to where it is stored. Neither is kept in
+    memory, so executors need no more of it for a larger batch.
+
     Every write replaces what an earlier attempt of the batch left, so running a batch again after a
     failure gives the same tables; offsets advance only after it returns.
 
@@ -113,12 +132,16 @@ class BatchWriter:
         own = build_event_id(
             *(F.col(f"record.{c}") for c in ("source", "entity_id", "vehicle_id", "feed_timestamp"))
         )
+        rejected = F.col("error_type").isNotNull()
         # Whether an id is its record's own takes a hash, which is kept with the message.
-        decoded = decoded.withColumn(NAMED.name, F.col("record.event_id") == own).persist()
-        try:
+        kept = decoded.select(
+            *PLACE, "record", "error_type", "error_reason",
+            *(F.when(rejected, F.col(name)).alias(name) for name in LETTER_COLUMNS),
+            (F.col("record.event_id") == own).alias(NAMED.name),
+            F.monotonically_increasing_id().alias(ROW),
+        )
+        with self.tables.staged(kept, batch_id) as decoded:
             self._write(spark, decoded, batch_id, started)
-        finally:
-            decoded.unpersist()
         if batch_id % self.compact_every == self.compact_every - 1:
             for table in (POSITIONS, DEAD_LETTERS, METRICS):
                 self.tables.compact(spark, table, before=batch_id)
@@ -144,15 +167,18 @@ class BatchWriter:
         ).first()
         metrics = []
         if arrived.valid:
-            records = valid_records(decoded, NAMED.name).withColumn(FEED_DATE.name, F.to_date("feed_timestamp"))
+            records = valid_records(decoded, NAMED.name, ROW).withColumn(FEED_DATE.name, F.to_date("feed_timestamp"))
             fresh = insert_new(
-                self._stored_positions(spark, records, batch_id), records, ["event_id"],
-                ["topic", "partition", "offset"], batch_rows=arrived.valid,
-            )
+                self._stored_positions(spark, records, batch_id), records.select("event_id", *PLACE, ROW),
+                ["event_id"], [*PLACE, ROW], batch_rows=arrived.valid,
+            ).select(*PLACE, ROW)
             with _kept(fresh) as fresh:
-                rows = numbered(
+                ids = numbered(
                     fresh, batch_id * BATCH_IDS + 1, "id", sliced=arrived.valid > HOT_ROWS
-                ).select(*POSITION_SCHEMA.names, NAMED.name, FEED_DATE.name)
+                ).select(ROW, "id")
+                rows = _with_numbers(records, ids, fresh.count()).select(
+                    *POSITION_SCHEMA.names, NAMED.name, FEED_DATE.name
+                )
                 persisted = tables.write_batch(rows, POSITIONS, batch_id)
             metrics.append(_metric_row(
                 spark, batch_id, arrived.now, "valid_batch", 0, topic=arrived.topic,
@@ -162,22 +188,24 @@ class BatchWriter:
                 latest_ingestion_timestamp=arrived.ingested,
             ))
         if arrived.rejected:
-            letters = dead_letters(decoded, F.lit(arrived.now))
+            letters = dead_letters(decoded, F.lit(arrived.now), ROW)
             stored = tables.read(spark, DEAD_LETTERS)
             if stored is not None:
                 # Offsets grow, so file statistics skip what earlier batches left unless a batch is sent again.
                 near = F.col("kafka_offset").between(arrived.first_offset, arrived.last_offset)
                 stored = stored.filter((F.col("batch_id") != batch_id) & near)
+            place = ["topic", "partition", "kafka_offset"]
             fresh = insert_new(
-                stored, letters,
-                ["topic", "partition", "kafka_offset"], ["kafka_offset"],
-                batch_rows=arrived.rejected,
+                stored, letters.select(*place, ROW), place, ["kafka_offset", ROW], batch_rows=arrived.rejected,
             )
             with _kept(fresh) as fresh:
-                rows = numbered(
+                ids = numbered(
                     fresh, batch_id * BATCH_IDS + 1, "dead_letter_id", "kafka_offset",
                     sliced=arrived.rejected > HOT_ROWS,
-                ).select(*DEAD_LETTER_SCHEMA.names, F.to_date("processed_at").alias(DAY.name))
+                ).select(ROW, "dead_letter_id")
+                rows = _with_numbers(letters, ids, fresh.count()).select(
+                    *DEAD_LETTER_SCHEMA.names, F.to_date("processed_at").alias(DAY.name)
+                )
                 rejected = tables.write_batch(rows, DEAD_LETTERS, batch_id)
             metrics.append(_metric_row(
                 spark, batch_id, arrived.now, "dead_letter", 1, topic=arrived.topic,

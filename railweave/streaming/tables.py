@@ -10,7 +10,8 @@ holds until they are dropped. One writer per root is assumed; upkeep runs in it,
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -100,6 +101,19 @@ class StreamTables:
         names = [f"{parent}{BATCH.name}={batch_id}" for parent in self._parents(spark, table)]
         return [name for name in names if system.exists(make(f"{self.folder(table)}/{name}"))]
 
+    @contextmanager
+    def staged(self, rows: DataFrame, batch_id: int) -> Iterator[DataFrame]:
+        """Rows of a batch in work, written once beside the tables: every reader takes only the columns it needs.
+
+        The folder goes with the batch; what a failed attempt left is replaced by the next one.
+        """
+        spark, path = rows.sparkSession, f"{self.root.rstrip('/')}/_staged-{batch_id}"
+        rows.write.mode("overwrite").parquet(path)
+        try:
+            yield spark.read.schema(rows.schema).parquet(path)
+        finally:
+            delete_folder(spark, path)
+
     def write_batch(self, rows: DataFrame, table: str, batch_id: int) -> int:
         """Write the rows of one batch in place of what an earlier attempt of it left; returns how many."""
         spark, names = rows.sparkSession, [part.name for part in PARTS[table]]

@@ -182,6 +182,25 @@ def test_a_batch_run_twice_gives_the_same_tables(spark, tmp_path):
     assert totals(tables, spark) == {"valid_batch": (6, 2, 4, 0, 0), "dead_letter": (4, 0, 2, 2, 4)}
 
 
+@pytest.mark.parametrize("few", [200_000, 0])
+def test_messages_of_one_place_are_told_apart(spark, tmp_path, monkeypatch, few):
+    """A topic can be read twice into one batch; new ids are joined to their messages either way."""
+    monkeypatch.setattr(ingest, "BROADCAST_KEYS", few, raising=False)
+    tables = StreamTables(str(tmp_path / "s"))
+    once = messages(spark, [event(), b"bad", event(event_id="e2")])
+    other = messages(spark, [event(event_id="e3", vehicle_id="v3"), b"[]"])
+    BatchWriter(tables)(decode_events(once.unionByName(once).unionByName(other)), 0)
+    rows = tables.read(spark, "positions").collect()
+    assert sorted((r.event_id, r.vehicle_id) for r in rows) == [
+        (EVENT["event_id"], EVENT["vehicle_id"]), ("e2", EVENT["vehicle_id"]), ("e3", "v3"),
+    ]
+    assert sorted(r.id for r in rows) == [1, 2, 3]
+    letters = tables.read(spark, "dead_letters").collect()
+    assert [(r.kafka_offset, bytes(r.raw_payload)) for r in letters] == [(1, b"bad")]
+    assert totals(tables, spark) == {"valid_batch": (5, 3, 2, 0, 0), "dead_letter": (3, 0, 2, 1, 3)}
+    assert [p.name for p in (tmp_path / "s").iterdir() if p.name not in ("positions", "dead_letters", "metrics")] == []
+
+
 def named(spark, **changes):
     """An event whose id is the one its record gives."""
     row = {**EVENT, **changes}

@@ -133,3 +133,28 @@ def test_new_rows_of_a_batch_are_found_once(spark, tmp_path, monkeypatch):
     assert kept == [True, True]
     messages = t.messages.count()
     assert tables.read(spark, "positions").count() + tables.read(spark, "dead_letters").count() == messages
+
+
+def test_a_batch_takes_no_memory_of_the_executors_between_its_steps(spark, tmp_path, monkeypatch):
+    t, kept, moved = bundled(spark, tmp_path), [], []
+    write, number = ingest.StreamTables.write_batch, ingest.numbered
+
+    def stored():
+        return sum(info.memSize() for info in spark.sparkContext._jsc.sc().getRDDStorageInfo())
+
+    def written(*args):
+        found = write(*args)
+        kept.append(stored())
+        return found
+
+    def seen(rows, *args, **options):
+        moved.append(rows.columns)
+        return number(rows, *args, **options)
+
+    monkeypatch.setattr(ingest.StreamTables, "write_batch", written)
+    monkeypatch.setattr(ingest, "numbered", seen)
+    before = stored()
+    ingest_queries._run(t, copies=1)
+    assert kept == [before] * 3
+    # New rows are found and numbered by their places alone.
+    assert [len(columns) for columns in moved] == [4, 4]
