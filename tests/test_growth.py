@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from railweave.functions.identity import json_text
@@ -135,7 +136,8 @@ def test_new_rows_of_a_batch_are_found_once(spark, tmp_path, monkeypatch):
     assert tables.read(spark, "positions").count() + tables.read(spark, "dead_letters").count() == messages
 
 
-def test_a_batch_takes_no_memory_of_the_executors_between_its_steps(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("identified", [False, True])
+def test_a_batch_takes_no_memory_of_the_executors_between_its_steps(spark, tmp_path, monkeypatch, identified):
     t, kept, moved = bundled(spark, tmp_path), [], []
     write, number = ingest.StreamTables.write_batch, ingest.numbered
 
@@ -154,7 +156,7 @@ def test_a_batch_takes_no_memory_of_the_executors_between_its_steps(spark, tmp_p
     monkeypatch.setattr(ingest.StreamTables, "write_batch", written)
     monkeypatch.setattr(ingest, "numbered", seen)
     before = stored()
-    ingest_queries._run(t, copies=1)
+    ingest_queries._run(t, copies=1, messages=ingest_queries._identified(t) if identified else None)
     assert kept == [before] * 3
     # New rows are found and numbered by their places alone.
     assert [len(columns) for columns in moved] == [4, 4]
